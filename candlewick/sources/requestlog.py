@@ -47,7 +47,7 @@ def parse_request_log(lines: DataFrame, line_col: str = "value") -> DataFrame:
         kind = F.when(msg.rlike(pattern), F.lit(name)).otherwise(kind)
     stamp = _extract(line, LINE_PATTERN)
     return lines.select(
-        F.to_timestamp_ntz(stamp, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("ts"),
+        F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz").alias("ts"),
         kind.alias("kind"),
         _extract(msg, SYMBOL_PATTERN).alias("symbol"),
         _extract(msg, INTERVAL_PATTERN).alias("interval"),
