@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 # A decimal number as plain text: optional sign, digits with optional point,
-# optional exponent, surrounding blanks allowed.  Spark's own string->double
-# cast is looser (it takes "1d", "2f", "0x1p3", "Infinity"), so the guard
-# keeps parsing to what a CSV reader treats as a number.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# optional exponent, surrounding blanks allowed (group 1 is the number).
+# Spark's own string->double cast is looser (it takes "1d", "2f", "0x1p3",
+# "Infinity", "NaN"), so only the captured text is ever cast.
+NUMBER_PATTERN = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 # A full ISO-8601 date and time (T or blank separator), optional seconds and
-# fraction, optional UTC offset.  Date-only or time-only text is rejected,
-# where a bare cast would accept "2026" or "12:00" (today's date).
+# fraction, optional UTC offset (group 1).  Date-only or time-only text is
+# rejected, where a bare cast would accept "2026" or "12:00" (today's date).
 TIMESTAMP_PATTERN = (
-    r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
-    r"\s*(Z|[+-]\d{2}(:?\d{2})?)?\s*$"
+    r"^\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+    r"\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)\s*$"
 )
 
 # Python's str.strip() also removes the ASCII separators 0x1C-0x1F, which are
@@ -35,10 +35,14 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def safe_double(c: ColumnOrName) -> Column:
-    """Text -> DOUBLE; anything that is not a finite decimal number -> NULL."""
-    text = _col(c).cast("string")
-    value = text.try_cast("double")
-    return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(value) < F.lit(float("inf"))), value)
+    """Text -> DOUBLE; anything that is not a decimal number -> NULL.
+
+    The input is referenced once (extract, then cast), which keeps the
+    expression small when upstream columns are themselves expressions.
+    A number too large for a double becomes +-Infinity, as in pandas.
+    """
+    number = F.nullif(F.regexp_extract(_col(c).cast("string"), NUMBER_PATTERN, 1), F.lit(""))
+    return number.try_cast("double")
 
 
 def safe_timestamp(c: ColumnOrName) -> Column:
@@ -48,9 +52,8 @@ def safe_timestamp(c: ColumnOrName) -> Column:
     UTC, then stored without a zone), so the result does not depend on where a
     job runs.  Unparsable or out-of-range text -> NULL.
     """
-    text = _col(c).cast("string")
-    instant = F.trim(text).try_cast("timestamp")
-    return F.when(text.rlike(TIMESTAMP_PATTERN), instant.cast("timestamp_ntz"))
+    stamp = F.nullif(F.regexp_extract(_col(c).cast("string"), TIMESTAMP_PATTERN, 1), F.lit(""))
+    return stamp.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def strip_unicode(c: ColumnOrName) -> Column:

@@ -31,15 +31,11 @@ def lit(text: str) -> str:
 
 
 def safe_double_sql(x: str) -> str:
-    v = f"TRY_CAST(trim({x}) AS DOUBLE)"
-    return f"(CASE WHEN regexp_matches({x}, {lit(NUMBER_PATTERN)}) AND isfinite({v}) THEN {v} END)"
+    return f"TRY_CAST(nullif(regexp_extract({x}, {lit(NUMBER_PATTERN)}, 1), '') AS DOUBLE)"
 
 
 def safe_ts_sql(x: str) -> str:
-    return (
-        f"(CASE WHEN regexp_matches({x}, {lit(TIMESTAMP_PATTERN)}) "
-        f"THEN (TRY_CAST(trim({x}) AS TIMESTAMPTZ) AT TIME ZONE 'UTC') END)"
-    )
+    return f"(TRY_CAST(nullif(regexp_extract({x}, {lit(TIMESTAMP_PATTERN)}, 1), '') AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
 
 
 def normalise_sql(x: str) -> str:

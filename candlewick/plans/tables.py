@@ -7,6 +7,8 @@ plan; nothing is materialised unless a caller asks for it.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators.clean import clean_candles
@@ -20,24 +22,66 @@ SEED = 42
 
 
 class Stages:
+    """Lazy plans of each stage for one session and data folder.
+
+    DataFrames are immutable plans, so one instance is shared by all queries
+    on the same (session, folder): a query only adds its own operators on
+    top instead of rebuilding (and re-analysing) the whole chain.
+    """
+
+    _shared: dict[tuple[int, str], "Stages"] = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            obj = super().__new__(cls)
+            obj.spark = ensure_session_defaults(spark)
+            obj.sf_dir = key[1]
+            cls._shared[key] = obj
+        ensure_session_defaults(spark)
+        return cls._shared[key]
+
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = ensure_session_defaults(spark)
-        self.sf_dir = sf_dir.rstrip("/")
+        pass
 
-    def events(self) -> DataFrame:
+    @cached_property
+    def _events(self) -> DataFrame:
         return read_events(self.spark, self.sf_dir)
 
+    @cached_property
+    def _candles(self) -> DataFrame:
+        return candles_from_events(self._events)
+
+    @cached_property
+    def _messy(self) -> DataFrame:
+        return inject_defects(self._candles, seed=SEED)
+
+    @cached_property
+    def _cleaned(self) -> DataFrame:
+        return clean_candles(self._messy)
+
+    @cached_property
+    def _featured(self) -> DataFrame:
+        return time_features(self._cleaned)
+
+    @cached_property
+    def _requests(self) -> DataFrame:
+        return requests_from_events(self._events)
+
+    def events(self) -> DataFrame:
+        return self._events
+
     def candles(self) -> DataFrame:
-        return candles_from_events(self.events())
+        return self._candles
 
     def messy(self) -> DataFrame:
-        return inject_defects(self.candles(), seed=SEED)
+        return self._messy
 
     def cleaned(self) -> DataFrame:
-        return clean_candles(self.messy())
+        return self._cleaned
 
     def featured(self) -> DataFrame:
-        return time_features(self.cleaned())
+        return self._featured
 
     def requests(self) -> DataFrame:
-        return requests_from_events(self.events())
+        return self._requests

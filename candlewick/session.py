@@ -17,8 +17,13 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Settings that only affect the physical plan.
+# Settings that only affect planning and the physical plan.
 PLAN_CONF = {
+    # Constraint propagation re-derives IS NOT NULL / equality facts through
+    # every projection; on the wide text-parsing projections of the cleaning
+    # plans it cost seconds of driver time per query (and again at every AQE
+    # re-plan) while inferring nothing the scans can use.
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -89,5 +89,21 @@ def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
     )
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a source that arrives in fewer splits than the session has
+    task slots.
+
+    A large table is read in thousands of splits and is returned unchanged
+    (no extra shuffle).  A small file with one row group is read by a single
+    task, and every narrow step after it -- JSON and regex parsing, hashing,
+    the partial aggregation -- would run on one core; spreading it first is
+    a shuffle of a few MB.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet"))
