@@ -156,3 +156,24 @@ __all__ = [
     "dq_report",
     "DERIVED_COLS",
 ]
+
+
+def table_shape(df: DataFrame) -> DataFrame:
+    """Row and column counts in one row (the column count is schema metadata)."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+
+
+def profile_schema(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type) of a frame's schema -- metadata only, no job."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """First n rows in a stated order (a per-task top-n, then a merge).
+
+    The reference previews with an unordered LIMIT; ordering first makes the
+    preview repeatable.
+    """
+    keys = order_by or df.columns
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in keys]).limit(n)

@@ -172,6 +172,14 @@ def q_dq_report(spark, sf_dir):
     return quality.dq_report(_stages(spark, sf_dir).messy())
 
 
+def q_table_shape(spark, sf_dir):
+    return quality.table_shape(_stages(spark, sf_dir).messy())
+
+
+def q_preview(spark, sf_dir):
+    return quality.preview(_stages(spark, sf_dir).candles(), 10, ["symbol", "open_time"])
+
+
 def q_dup_after(spark, sf_dir):
     return quality.duplicate_count(_stages(spark, sf_dir).cleaned())
 

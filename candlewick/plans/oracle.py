@@ -383,6 +383,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {i} AS position, {lit(n)} AS metric, CAST({e} AS BIGINT) AS value" for i, (n, e) in enumerate(report)
         )
     )
+    sql["table_shape"] = _q(f"SELECT count(*) AS rows, {len(FIELDNAMES)} AS columns FROM messy")
+    sql["preview"] = _q("SELECT * FROM candles ORDER BY symbol ASC NULLS FIRST, open_time ASC NULLS FIRST LIMIT 10")
     sql["dup_after"] = _q(
         f"""SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
         FROM (SELECT {', '.join(qi(c) for c in ALL17)}, count(*) AS n FROM cleaned GROUP BY ALL)"""

@@ -38,39 +38,29 @@ def symbol_from_event_type(c) -> F.Column:
     return F.concat(F.upper(F.col(c) if isinstance(c, str) else c), F.lit("USDT"))
 
 
-def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
-    """events(event_id, ts, user_id, event_type, value, props) -> candles.
-
-    One row per (symbol, bucket): open/close are the first/last value by
-    (ts, event_id); high/low the extremes; volume the sum of ``props.k``;
-    quote_volume the exact (DECIMAL) sum of value; trade_count the event count.
-    The generator has no trade side, so events of even ``user_id`` stand in for
-    taker-buy trades.  ``row_id`` = min(event_id) is a stable unique candle id.
-    """
-    label, length = INTERVALS[unit]
+def bar_aggregates() -> list[F.Column]:
+    """Aggregates of one candle over its events (shared by batch and streaming)."""
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     money = F.col("value").cast("decimal(18,2)")
     taker = (F.col("user_id") % 2) == 0
     first_last = event_order_key("ts", "event_id")
-    bars = (
-        events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-        .groupBy(
-            symbol_from_event_type("event_type").alias("symbol"),
-            F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("open_time"),
-        )
-        .agg(
-            F.min("event_id").alias("row_id"),
-            F.min_by("value", first_last).alias("open"),
-            F.max("value").alias("high"),
-            F.min("value").alias("low"),
-            F.max_by("value", first_last).alias("close"),
-            F.sum(k).alias("_volume"),
-            F.sum(money).alias("_quote"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.sum(F.when(taker, k)).alias("_taker_base"),
-            F.sum(F.when(taker, money)).alias("_taker_quote"),
-        )
-    )
+    return [
+        F.min("event_id").alias("row_id"),
+        F.min_by("value", first_last).alias("open"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.max_by("value", first_last).alias("close"),
+        F.sum(k).alias("_volume"),
+        F.sum(money).alias("_quote"),
+        F.count(F.lit(1)).alias("trade_count"),
+        F.sum(F.when(taker, k)).alias("_taker_base"),
+        F.sum(F.when(taker, money)).alias("_taker_quote"),
+    ]
+
+
+def finish_bars(bars: DataFrame, unit: str = "hour") -> DataFrame:
+    """Aggregated bars (symbol, open_time, aggregates) -> the candle columns."""
+    label, length = INTERVALS[unit]
     return bars.select(
         "row_id",
         "symbol",
@@ -89,6 +79,26 @@ def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
     )
 
 
+def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
+    """events(event_id, ts, user_id, event_type, value, props) -> candles.
+
+    One row per (symbol, bucket): open/close are the first/last value by
+    (ts, event_id); high/low the extremes; volume the sum of ``props.k``;
+    quote_volume the exact (DECIMAL) sum of value; trade_count the event count.
+    The generator has no trade side, so events of even ``user_id`` stand in for
+    taker-buy trades.  ``row_id`` = min(event_id) is a stable unique candle id.
+    """
+    bars = (
+        events.select("event_id", "ts", "user_id", "event_type", "value", "props")
+        .groupBy(
+            symbol_from_event_type("event_type").alias("symbol"),
+            F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("open_time"),
+        )
+        .agg(*bar_aggregates())
+    )
+    return finish_bars(bars, unit)
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin a source that arrives in fewer splits than the session has
     task slots.

@@ -135,3 +135,15 @@ def test_summary_single_pass_equals_join_form(table, spark):
 def test_rounding_is_display_only(table):
     ranked = rankings.volatility_ranking(table, decimals=2)
     assert _by_symbol(ranked, "volatility_rank") == {"BTCUSDT": 1, "ETHUSDT": 2}
+
+
+def test_profile_shape_preview(table):
+    from candlewick.operators import quality
+
+    prof = quality.profile_schema(table).collect()
+    assert [r["column_name"] for r in prof] == table.columns
+    assert prof[0]["data_type"] == "string"
+    shape = quality.table_shape(table).first()
+    assert (shape["rows"], shape["columns"]) == (6, len(table.columns))
+    first = quality.preview(table, 2, ["symbol", "open_time"]).collect()
+    assert [r["price_range"] for r in first] == [20.0, 15.0]
