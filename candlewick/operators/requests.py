@@ -9,8 +9,9 @@ Per-client time-ordered windows are the skew hazard here -- one client may
 own a third of all requests -- so no window below is partitioned by client
 alone.  Rows are split by (client, time bucket):
 
-* trailing-window counts copy each row into its own and the next bucket, so
-  every frame (t - W, t] lies inside one (client, bucket) partition;
+* trailing-window counts copy each row into its own and the following
+  bucket(s), so every frame (t - W, t] lies inside one (client, bucket)
+  partition;
 * running sums (in-flight counts) are done as a two-level scan: per-bucket
   totals -> cumulative offsets over buckets (one row per client and bucket)
   -> running sum inside the bucket plus its offset.
@@ -34,12 +35,23 @@ def rate_window_counts(
     ts: str = "ts",
     window_seconds: int = 60,
     cap: int = 100,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Adds ``in_window`` = requests of the same client in (ts - W, ts] and
-    ``over_limit`` = in_window > cap.  Equal timestamps count each other."""
+    ``over_limit`` = in_window > cap.  Equal timestamps count each other.
+
+    Rows are partitioned by (client, time bucket).  Each row is also copied
+    into the next ceil(W / B) buckets, so every frame lies inside one
+    partition; a narrower bucket (``bucket_seconds`` < W) bounds the size of
+    a hot client's partition further at the price of more copies.
+    """
     w_us = int(window_seconds * MICROS)
-    base = requests.withColumn("_t", _micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(w_us)))
-    copies = base.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_b", F.col("_b") + F.col("_shift"))
+    b_us = int((bucket_seconds or window_seconds) * MICROS)
+    reach = -(-w_us // b_us)  # ceil(W / B) earlier buckets can reach into a frame
+    base = requests.withColumn("_t", _micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
+    copies = base.withColumn("_shift", F.explode(F.sequence(F.lit(0), F.lit(reach)))).withColumn(
+        "_b", F.col("_b") + F.col("_shift")
+    )
     frame = Window.partitionBy(client, "_b").orderBy("_t").rangeBetween(-(w_us - 1), 0)
     counted = copies.withColumn("in_window", F.count(F.lit(1)).over(frame)).filter(F.col("_shift") == 0)
     return counted.drop("_t", "_b", "_shift").withColumn("over_limit", F.col("in_window") > F.lit(cap))

@@ -53,8 +53,7 @@ def q_union_batches(spark, sf_dir):
 
 
 def q_decode_klines(spark, sf_dir):
-    c = _stages(spark, sf_dir).candles().withColumn("_day", F.to_date("open_time"))
-    payloads = klines.encode_klines(c, group_by=("symbol", "interval", "_day"))
+    payloads = klines.encode_klines(_stages(spark, sf_dir).candles(), limit=1000)
     return klines.decode_klines(payloads)
 
 

@@ -68,14 +68,17 @@ def scan_kline_files(spark: SparkSession, path: str, interval: str = "1h") -> Da
     return raw.select(F.upper(name).alias("symbol"), F.lit(interval).alias("interval"), F.col("value").alias("payload"))
 
 
-def encode_klines(candles: DataFrame, group_by: tuple[str, ...] = ("symbol", "interval")) -> DataFrame:
-    """Candles -> payload rows, one per group, records in open_time order.
+def encode_klines(candles: DataFrame, limit: int = 1000, interval_ms: int = 3_600_000) -> DataFrame:
+    """Candles -> payload rows, the inverse of ``decode_klines``.
 
-    The inverse of ``decode_klines``.  Group payloads by a bounded key (e.g.
-    symbol and day) -- a payload is one row, so it must stay small.
+    Like the endpoint, a payload holds at most ``limit`` consecutive records:
+    candles are grouped by (symbol, interval, block of ``limit`` intervals),
+    so the ``collect_list`` behind each payload row is bounded by ``limit``
+    (plus any repeated copies of a candle), never by the size of the table.
     """
+    open_ms = F.unix_millis(F.col("open_time").cast("timestamp"))
     rec = F.array(
-        F.unix_millis(F.col("open_time").cast("timestamp")).cast("string"),
+        open_ms.cast("string"),
         *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")],
         F.unix_millis(F.col("close_time").cast("timestamp")).cast("string"),
         F.col("quote_volume").cast("string"),
@@ -83,7 +86,8 @@ def encode_klines(candles: DataFrame, group_by: tuple[str, ...] = ("symbol", "in
         F.col("taker_buy_base_volume").cast("string"),
         F.col("taker_buy_quote_volume").cast("string"),
     )
-    grouped = candles.groupBy(*group_by).agg(
+    block = F.floor(open_ms / F.lit(limit * interval_ms)).alias("block")
+    grouped = candles.groupBy("symbol", "interval", block).agg(
         F.sort_array(F.collect_list(F.struct(F.col("open_time").alias("k"), rec.alias("r")))).alias("_rs")
     )
-    return grouped.select(*group_by, F.to_json(F.transform("_rs", lambda s: s["r"])).alias("payload"))
+    return grouped.select("symbol", "interval", "block", F.to_json(F.transform("_rs", lambda s: s["r"])).alias("payload"))

@@ -72,8 +72,10 @@ def test_rate_window_matches_brute_force(spark, seed):
     df = spark.createDataFrame(
         [(i, c, base + dt.timedelta(seconds=s)) for i, (c, s) in enumerate(rows)], "id int, client string, ts timestamp_ntz"
     )
-    got = {r["id"]: r["in_window"] for r in requests.rate_window_counts(df, window_seconds=60, cap=5).collect()}
-    assert got == _brute_window(rows, 60)
+    want = _brute_window(rows, 60)
+    for bucket in (None, 25, 7):  # bucket = window, and narrower buckets with more copies
+        got = {r["id"]: r["in_window"] for r in requests.rate_window_counts(df, window_seconds=60, cap=5, bucket_seconds=bucket).collect()}
+        assert got == want
 
 
 def _brute_concurrency(rows):
