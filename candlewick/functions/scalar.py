@@ -106,3 +106,19 @@ def candle_direction(open_: ColumnOrName = "open", close: ColumnOrName = "close"
 def activity_score(trades: ColumnOrName, quote_volume: ColumnOrName) -> Column:
     """trades * ln(quote_volume + 1); NULL where the logarithm is undefined."""
     return _col(trades) * F.log(_col(quote_volume) + F.lit(1))
+
+
+# Sums of doubles depend on the order rows meet in, i.e. on partitioning
+# and retries.  Money-like sums and averages are accumulated exactly as
+# DECIMAL(38,8) (8 decimals = exchange precision), so results are the same
+# on every run and cluster size.
+EXACT_TYPE = "decimal(38,8)"
+
+
+def exact_sum(c: ColumnOrName) -> Column:
+    return F.sum(_col(c).try_cast(EXACT_TYPE)).cast("double")
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    v = _col(c).try_cast(EXACT_TYPE)
+    return F.try_divide(F.sum(v).cast("double"), F.count(v).cast("double"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalar import activity_score
+from candlewick.functions.scalar import activity_score, exact_avg, exact_sum
 
 
 def _ranked(df: DataFrame, metric: str, key: str, name: str) -> DataFrame:
@@ -29,12 +29,12 @@ def _display(df: DataFrame, cols: list[str], decimals: int | None) -> DataFrame:
 
 
 def avg_close_by_symbol(df: DataFrame, decimals: int | None = None) -> DataFrame:
-    out = df.filter(F.col("close").isNotNull()).groupBy("symbol").agg(F.avg("close").alias("avg_close"))
+    out = df.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("avg_close"))
     return _display(out, ["avg_close"], decimals).orderBy(F.col("symbol").asc_nulls_first())
 
 
 def avg_volume_by_symbol(df: DataFrame, decimals: int | None = None) -> DataFrame:
-    out = df.filter(F.col("volume").isNotNull()).groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
+    out = df.filter(F.col("volume").isNotNull()).groupBy("symbol").agg(exact_avg("volume").alias("avg_volume"))
     return _display(out, ["avg_volume"], decimals).orderBy(F.col("symbol").asc_nulls_first())
 
 
@@ -48,7 +48,7 @@ def volatility_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
         df.filter(F.col("price_range").isNotNull())
         .groupBy("symbol")
         .agg(
-            F.avg("price_range").alias("avg_price_range"),
+            exact_avg("price_range").alias("avg_price_range"),
             F.min("price_range").alias("min_price_range"),
             F.max("price_range").alias("max_price_range"),
             F.stddev_samp("price_range").alias("stddev_price_range"),
@@ -67,8 +67,8 @@ def activity_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
         .groupBy("symbol")
         .agg(
             F.sum("trade_count").alias("total_trades"),
-            F.sum("quote_volume").alias("total_quote_volume"),
-            F.avg("volume").alias("avg_volume"),
+            exact_sum("quote_volume").alias("total_quote_volume"),
+            exact_avg("volume").alias("avg_volume"),
         )
         .withColumn("symbol_activity_score", activity_score("total_trades", "total_quote_volume"))
     )
@@ -82,7 +82,7 @@ def _activity_by(df: DataFrame, key: str, score_name: str) -> DataFrame:
         .groupBy(key)
         .agg(
             F.sum("trade_count").alias("total_trades"),
-            F.sum("quote_volume").alias("total_quote_volume"),
+            exact_sum("quote_volume").alias("total_quote_volume"),
         )
         .withColumn(score_name, activity_score("total_trades", "total_quote_volume"))
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.scalar import exact_avg
 from candlewick.operators.rankings import avg_close_by_symbol
 
 
@@ -51,7 +52,7 @@ def sample_avg_close(sample: DataFrame) -> DataFrame:
 
 
 def top_avg_volume_symbol(sample: DataFrame) -> DataFrame:
-    per = sample.groupBy("symbol").agg(F.avg("volume").alias("avg_volume"))
+    per = sample.groupBy("symbol").agg(exact_avg("volume").alias("avg_volume"))
     return per.orderBy(F.col("avg_volume").desc_nulls_last(), F.col("symbol").asc_nulls_first()).limit(1)
 
 
@@ -64,8 +65,8 @@ def widest_candle(sample: DataFrame) -> DataFrame:
 
 def sample_vs_full(sample: DataFrame, full: DataFrame) -> DataFrame:
     """Per-symbol average close in the sample against the full table."""
-    s = sample.filter(F.col("close").isNotNull()).groupBy("symbol").agg(F.avg("close").alias("sample_avg_close"))
-    f = full.filter(F.col("close").isNotNull()).groupBy("symbol").agg(F.avg("close").alias("full_avg_close"))
+    s = sample.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("sample_avg_close"))
+    f = full.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("full_avg_close"))
     diff = F.col("sample_avg_close") - F.col("full_avg_close")
     return (
         f.join(s, "symbol", "inner")

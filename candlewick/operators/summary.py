@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalar import activity_score
+from candlewick.functions.scalar import activity_score, exact_avg, exact_sum
 
 SUMMARY_COLUMNS = [
     "symbol", "row_count",
@@ -37,16 +37,16 @@ def market_summary(df: DataFrame, decimals: int | None = None) -> DataFrame:
     per_symbol = df.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(rng).alias("_n_range"),
-        F.avg(rng).alias("avg_price_range"),
+        exact_avg(rng).alias("avg_price_range"),
         F.min(rng).alias("min_price_range"),
         F.max(rng).alias("max_price_range"),
         F.stddev_samp(rng).alias("stddev_price_range"),
         F.count_if(both).alias("_n_activity"),
         F.sum(F.when(both, F.col("trade_count"))).alias("total_trades"),
-        F.sum(F.when(both, F.col("quote_volume"))).alias("total_quote_volume"),
-        F.avg(F.when(both, F.col("volume"))).alias("avg_volume"),
+        exact_sum(F.when(both, F.col("quote_volume"))).alias("total_quote_volume"),
+        exact_avg(F.when(both, F.col("volume"))).alias("avg_volume"),
         F.count_if(move).alias("_n_move"),
-        F.avg(F.when(move, F.col("percent_change"))).alias("avg_percent_change"),
+        exact_avg(F.when(move, F.col("percent_change"))).alias("avg_percent_change"),
         F.count_if(move & (direction == "up")).alias("up_count"),
         F.count_if(move & (direction == "down")).alias("down_count"),
         F.count_if(move & (direction == "flat")).alias("flat_count"),

@@ -49,6 +49,14 @@ def iso_sql(x: str) -> str:
     )
 
 
+def xsum(x: str) -> str:
+    return f"CAST(sum(TRY_CAST({x} AS DECIMAL(38,8))) AS DOUBLE)"
+
+
+def xavg(x: str) -> str:
+    return f"(CASE WHEN count(TRY_CAST({x} AS DECIMAL(38,8))) > 0 THEN {xsum(x)} / count(TRY_CAST({x} AS DECIMAL(38,8))) END)"
+
+
 def score_sql(trades: str, qv: str) -> str:
     return f"({trades} * (CASE WHEN {qv} + 1 > 0 THEN ln({qv} + 1) END))"
 
@@ -207,20 +215,20 @@ def _long(rows: list[tuple[str, str]], name_col: str, value_col: str, src: str)
 
 def _summary_sql() -> str:
     return """vol AS (
-        SELECT symbol, avg(price_range) AS avg_price_range, min(price_range) AS min_price_range,
+        SELECT symbol, """ + xavg("price_range") + """ AS avg_price_range, min(price_range) AS min_price_range,
                max(price_range) AS max_price_range, stddev_samp(price_range) AS stddev_price_range,
-               CAST(row_number() OVER (ORDER BY avg(price_range) DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS volatility_rank
+               CAST(row_number() OVER (ORDER BY """ + xavg("price_range") + """ DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS volatility_rank
         FROM featured WHERE price_range IS NOT NULL GROUP BY symbol),
     act AS (
-        SELECT symbol, sum(trade_count) AS total_trades, sum(quote_volume) AS total_quote_volume, avg(volume) AS avg_volume,
-               """ + score_sql("sum(trade_count)", "sum(quote_volume)") + """ AS symbol_activity_score,
-               CAST(row_number() OVER (ORDER BY """ + score_sql("sum(trade_count)", "sum(quote_volume)") + """ DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS symbol_activity_rank
+        SELECT symbol, sum(trade_count) AS total_trades, """ + xsum("quote_volume") + """ AS total_quote_volume, """ + xavg("volume") + """ AS avg_volume,
+               """ + score_sql("sum(trade_count)", xsum("quote_volume")) + """ AS symbol_activity_score,
+               CAST(row_number() OVER (ORDER BY """ + score_sql("sum(trade_count)", xsum("quote_volume")) + """ DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS symbol_activity_rank
         FROM featured WHERE trade_count IS NOT NULL AND quote_volume IS NOT NULL GROUP BY symbol),
     rc AS (SELECT symbol, count(*) AS row_count FROM featured GROUP BY symbol),
     summary AS (
         SELECT v.symbol, rc.row_count, v.avg_price_range, v.min_price_range, v.max_price_range, v.stddev_price_range,
                v.volatility_rank, a.total_trades, a.total_quote_volume, a.avg_volume, a.symbol_activity_score,
-               a.symbol_activity_rank, avg(m.percent_change) AS avg_percent_change,
+               a.symbol_activity_rank, """ + xavg("m.percent_change") + """ AS avg_percent_change,
                CAST(sum(CASE WHEN m.candle_direction = 'up' THEN 1 ELSE 0 END) AS BIGINT) AS up_count,
                CAST(sum(CASE WHEN m.candle_direction = 'down' THEN 1 ELSE 0 END) AS BIGINT) AS down_count,
                CAST(sum(CASE WHEN m.candle_direction = 'flat' THEN 1 ELSE 0 END) AS BIGINT) AS flat_count
@@ -247,8 +255,8 @@ def _sample_sql(seed: int = SEED, n: int = 5) -> str:
 
 
 def _activity_by(key: str, score_name: str) -> str:
-    return f"""SELECT {key}, sum(trade_count) AS total_trades, sum(quote_volume) AS total_quote_volume,
-           {score_sql('sum(trade_count)', 'sum(quote_volume)')} AS {score_name}
+    return f"""SELECT {key}, sum(trade_count) AS total_trades, {xsum('quote_volume')} AS total_quote_volume,
+           {score_sql('sum(trade_count)', xsum('quote_volume'))} AS {score_name}
     FROM featured WHERE {key} IS NOT NULL GROUP BY {key}"""
 
 
@@ -391,8 +399,8 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # ------------------------------------------------------------ analytics
-    sql["avg_close_by_symbol"] = _q("SELECT symbol, avg(close) AS avg_close FROM featured WHERE close IS NOT NULL GROUP BY symbol")
-    sql["avg_volume_by_symbol"] = _q("SELECT symbol, avg(volume) AS avg_volume FROM featured WHERE volume IS NOT NULL GROUP BY symbol")
+    sql["avg_close_by_symbol"] = _q(f"SELECT symbol, {xavg('close')} AS avg_close FROM featured WHERE close IS NOT NULL GROUP BY symbol")
+    sql["avg_volume_by_symbol"] = _q(f"SELECT symbol, {xavg('volume')} AS avg_volume FROM featured WHERE volume IS NOT NULL GROUP BY symbol")
     sql["row_count_by_symbol"] = _q("SELECT symbol, count(*) AS row_count FROM featured GROUP BY symbol")
     sql["volatility_ranking"] = _q(", " + _summary_sql().strip().rstrip(",") + " SELECT * FROM vol")
     sql["activity_ranking"] = _q(", " + _summary_sql().strip() + " SELECT * FROM act")
@@ -423,15 +431,15 @@ def oracle_sql() -> dict[str, str]:
     s = ", " + _sample_sql().strip()
     sql["balanced_sample"] = _q(s + " SELECT * FROM sample")
     sql["direction_counts"] = _q(s + " SELECT candle_direction, count(*) AS direction_count FROM sample GROUP BY candle_direction")
-    sql["sample_avg_close"] = _q(s + " SELECT symbol, avg(close) AS avg_close FROM sample WHERE close IS NOT NULL GROUP BY symbol")
+    sql["sample_avg_close"] = _q(s + f" SELECT symbol, {xavg('close')} AS avg_close FROM sample WHERE close IS NOT NULL GROUP BY symbol")
     sql["top_avg_volume_symbol"] = _q(
-        s + " SELECT symbol, avg(volume) AS avg_volume FROM sample GROUP BY symbol ORDER BY avg_volume DESC NULLS LAST, symbol ASC NULLS FIRST LIMIT 1"
+        s + f" SELECT symbol, {xavg('volume')} AS avg_volume FROM sample GROUP BY symbol ORDER BY avg_volume DESC NULLS LAST, symbol ASC NULLS FIRST LIMIT 1"
     )
     sql["widest_candle"] = _q(s + " SELECT * FROM sample ORDER BY price_range DESC NULLS LAST, symbol ASC NULLS FIRST, sample_rank ASC LIMIT 1")
     sql["sample_vs_full"] = _q(
         s
-        + """, sa AS (SELECT symbol, avg(close) AS sample_avg_close FROM sample WHERE close IS NOT NULL GROUP BY symbol),
-        fa AS (SELECT symbol, avg(close) AS full_avg_close FROM cleaned WHERE close IS NOT NULL GROUP BY symbol)
+        + f""", sa AS (SELECT symbol, {xavg('close')} AS sample_avg_close FROM sample WHERE close IS NOT NULL GROUP BY symbol),
+        fa AS (SELECT symbol, {xavg('close')} AS full_avg_close FROM cleaned WHERE close IS NOT NULL GROUP BY symbol)
         SELECT fa.symbol, full_avg_close, sample_avg_close, sample_avg_close - full_avg_close AS abs_diff,
                (CASE WHEN full_avg_close = 0 THEN NULL ELSE (sample_avg_close - full_avg_close) / full_avg_close END) * 100 AS pct_diff
         FROM fa JOIN sa ON fa.symbol = sa.symbol"""
