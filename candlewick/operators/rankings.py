@@ -22,6 +22,14 @@ def _ranked(df: DataFrame, metric: str, key: str, name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(w))
 
 
+def sorted_small(df: DataFrame, *order) -> DataFrame:
+    """Order a result whose size is bounded by a key domain (symbols, hours,
+    dates): one single-partition exchange and a local sort, instead of a
+    range-partitioned sort that first samples its input in an extra job.
+    Never use it on detail rows."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def _display(df: DataFrame, cols: list[str], decimals: int | None) -> DataFrame:
     if decimals is None:
         return df
@@ -30,16 +38,16 @@ def _display(df: DataFrame, cols: list[str], decimals: int | None) -> DataFrame:
 
 def avg_close_by_symbol(df: DataFrame, decimals: int | None = None) -> DataFrame:
     out = df.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("avg_close"))
-    return _display(out, ["avg_close"], decimals).orderBy(F.col("symbol").asc_nulls_first())
+    return sorted_small(_display(out, ["avg_close"], decimals), F.col("symbol").asc_nulls_first())
 
 
 def avg_volume_by_symbol(df: DataFrame, decimals: int | None = None) -> DataFrame:
     out = df.filter(F.col("volume").isNotNull()).groupBy("symbol").agg(exact_avg("volume").alias("avg_volume"))
-    return _display(out, ["avg_volume"], decimals).orderBy(F.col("symbol").asc_nulls_first())
+    return sorted_small(_display(out, ["avg_volume"], decimals), F.col("symbol").asc_nulls_first())
 
 
 def row_count_by_symbol(df: DataFrame) -> DataFrame:
-    return df.groupBy("symbol").agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.col("symbol").asc_nulls_first())
+    return sorted_small(df.groupBy("symbol").agg(F.count(F.lit(1)).alias("row_count")), F.col("symbol").asc_nulls_first())
 
 
 def volatility_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
@@ -90,12 +98,12 @@ def _activity_by(df: DataFrame, key: str, score_name: str) -> DataFrame:
 
 def activity_by_hour(df: DataFrame) -> DataFrame:
     """Needs ``trade_hour`` (see ``time_features``)."""
-    return _activity_by(df, "trade_hour", "hour_activity_score").orderBy(F.col("hour_activity_score").desc_nulls_last(), "trade_hour")
+    return sorted_small(_activity_by(df, "trade_hour", "hour_activity_score"), F.col("hour_activity_score").desc_nulls_last(), "trade_hour")
 
 
 def activity_by_date(df: DataFrame) -> DataFrame:
     """Needs ``trade_date`` (see ``time_features``)."""
-    return _activity_by(df, "trade_date", "date_activity_score").orderBy(F.col("date_activity_score").desc_nulls_last(), "trade_date")
+    return sorted_small(_activity_by(df, "trade_date", "date_activity_score"), F.col("date_activity_score").desc_nulls_last(), "trade_date")
 
 
 def _top1(df: DataFrame, metric: str, key: str) -> DataFrame:

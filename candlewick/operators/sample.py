@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.scalar import exact_avg
-from candlewick.operators.rankings import avg_close_by_symbol
+from candlewick.operators.rankings import avg_close_by_symbol, sorted_small
 
 
 def sample_order_key(seed: int, key_cols: list[str]) -> F.Column:
@@ -40,11 +40,8 @@ def short_sample_groups(sample: DataFrame, n: int = 5, group: str = "symbol") ->
 
 
 def direction_counts(sample: DataFrame) -> DataFrame:
-    return (
-        sample.groupBy("candle_direction")
-        .agg(F.count(F.lit(1)).alias("direction_count"))
-        .orderBy(F.col("direction_count").desc(), F.col("candle_direction").asc_nulls_first())
-    )
+    counts = sample.groupBy("candle_direction").agg(F.count(F.lit(1)).alias("direction_count"))
+    return sorted_small(counts, F.col("direction_count").desc(), F.col("candle_direction").asc_nulls_first())
 
 
 def sample_avg_close(sample: DataFrame) -> DataFrame:
@@ -68,14 +65,11 @@ def sample_vs_full(sample: DataFrame, full: DataFrame) -> DataFrame:
     s = sample.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("sample_avg_close"))
     f = full.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("full_avg_close"))
     diff = F.col("sample_avg_close") - F.col("full_avg_close")
-    return (
-        f.join(s, "symbol", "inner")
-        .select(
-            "symbol",
-            "full_avg_close",
-            "sample_avg_close",
-            diff.alias("abs_diff"),
-            (F.try_divide(diff, F.col("full_avg_close")) * F.lit(100)).alias("pct_diff"),
-        )
-        .orderBy("symbol")
+    out = f.join(s, "symbol", "inner").select(
+        "symbol",
+        "full_avg_close",
+        "sample_avg_close",
+        diff.alias("abs_diff"),
+        (F.try_divide(diff, F.col("full_avg_close")) * F.lit(100)).alias("pct_diff"),
     )
+    return sorted_small(out, "symbol")

@@ -25,7 +25,10 @@ SUMMARY_COLUMNS = [
 
 
 def _rank_where(eligible: str, metric: str, name: str) -> F.Column:
-    w = Window.partitionBy(F.col(eligible)).orderBy(F.col(metric).desc_nulls_last(), F.col("symbol").asc_nulls_first())
+    # eligible rows first: their row numbers are their ranks among eligible
+    # rows.  Both rank windows are unpartitioned, so they share one
+    # single-partition step (one row per symbol) that the final ordering reuses.
+    w = Window.orderBy(F.col(eligible).desc(), F.col(metric).desc_nulls_last(), F.col("symbol").asc_nulls_first())
     return F.when(F.col(eligible), F.row_number().over(w))
 
 

@@ -52,6 +52,9 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CANDLEWICK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # a single machine: let AQE keep more, smaller post-shuffle partitions
+        # so CPU-heavy parsing after a small shuffle still uses every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for key, value in {**REQUIRED_CONF, **PLAN_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
