@@ -29,10 +29,10 @@ class Stages:
     top instead of rebuilding (and re-analysing) the whole chain.
     """
 
-    _shared: dict[tuple[int, str], "Stages"] = {}
+    _shared: dict[tuple[str, str], "Stages"] = {}
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
         if key not in cls._shared:
             obj = super().__new__(cls)
             obj.spark = ensure_session_defaults(spark)
