@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import scalar
 from candlewick.operators.clean import coerce_and_normalise, impossible_condition
-from candlewick.schema import DERIVED_COLS, FIELDNAMES, NUMERIC_COLS, TIME_COLS
+from candlewick.schema import FIELDNAMES, NUMERIC_COLS, TIME_COLS
 
 
 def _long(one_row: DataFrame, name_col: str, value_col: str) -> DataFrame:
@@ -147,16 +147,6 @@ def dq_report(raw: DataFrame, rule: str = "parity") -> DataFrame:
     return _long(one.na.fill(0), "metric", "value")
 
 
-__all__ = [
-    "missing_by_column",
-    "invalid_by_column",
-    "duplicate_count",
-    "impossible_counts",
-    "symbol_domain",
-    "dq_report",
-    "DERIVED_COLS",
-]
-
 
 def table_shape(df: DataFrame) -> DataFrame:
     """Row and column counts in one row (the column count is schema metadata)."""

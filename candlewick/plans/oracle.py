@@ -12,15 +12,12 @@ from __future__ import annotations
 
 from candlewick.functions.hashing import picked_sql
 from candlewick.functions.scalar import NUMBER_PATTERN, TIMESTAMP_PATTERN
-from candlewick.operators.defects import SALT, DefectRates, _present, decision_sql
 from candlewick.operators import defects as _defects
+from candlewick.operators.defects import SALT, DefectRates, _present, decision_sql
 from candlewick.plans.catalog import EXPECTED_CANDLES_PER_SYMBOL, RATE_CAP, RATE_WINDOW_S
 from candlewick.plans.tables import SEED
 from candlewick.sources import requestlog as rl
-from candlewick.schema import FIELDNAMES, INVALID_TIME_TOKENS, NUMERIC_COLS, NUMERIC_TEXT_TOKENS, SYMBOLS, TIME_COLS
-
-Q = '"'
-
+from candlewick.schema import FIELDNAMES, NUMERIC_COLS, SYMBOLS, TIME_COLS
 
 def qi(name: str) -> str:
     return f'"{name}"'
@@ -471,5 +468,3 @@ def oracle_sql() -> dict[str, str]:
     )
     return sql
 
-
-__all__ = ["oracle_sql", "INVALID_TIME_TOKENS", "NUMERIC_TEXT_TOKENS", "Q"]

@@ -109,10 +109,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     the partial aggregation -- would run on one core; spreading it first is
     a shuffle of a few MB.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 import glob
 import json
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
