@@ -118,15 +118,44 @@ def max_concurrency(
     return flights.groupBy(client).agg(F.max("in_flight").alias("max_concurrency"))
 
 
+RUN_MARKER = r"^Starting .* download"
+
+
+def assign_runs(log: DataFrame, marker: str = RUN_MARKER, bucket_seconds: int = 3600) -> DataFrame:
+    """Number the download runs of a log: ``run`` = how many run-start lines
+    (``marker``) came at or before each line, in (ts, line_order) order.
+
+    Needs ``parse_request_log(..., with_line_order=True)``.  The prefix count
+    is a two-level scan over time buckets (per-bucket counts -> cumulative
+    offsets -> running count inside the bucket), so no window spans the log.
+    """
+    b_us = int(bucket_seconds * MICROS)
+    is_marker = F.col("message").rlike(marker).cast("bigint")
+    rows = log.withColumns({"_m": is_marker, "_b": F.floor(_micros("ts") / F.lit(b_us)), "_k": F.lit(0)})
+    totals = rows.groupBy("_k", "_b").agg(F.sum("_m").alias("_sum"))
+    offsets = _prefix_offsets(totals, "_k").select("_b", "_offset")
+    inner = Window.partitionBy("_b").orderBy("ts", "line_order").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        rows.join(offsets, "_b", "inner")
+        .withColumn("run", F.col("_offset") + F.sum("_m").over(inner))
+        .drop("_m", "_b", "_k", "_offset")
+    )
+
+
 def request_latency(log: DataFrame) -> DataFrame:
-    """Pair each START with its END or ERROR by (symbol, request_id).
+    """Pair each START with its END or ERROR.
 
-    Needs the parsed log (``parse_request_log``).  A hash aggregate on the
-    request key: no ordering and no per-symbol partition.
+    The request key is ``request_id`` when the log carries one; otherwise
+    (the plain START/END format) it is the download ``run`` from
+    ``assign_runs`` -- one request per symbol and run.  A hash aggregate on
+    (symbol, key): no ordering and no per-symbol partition.
     """
-    req = log.filter(F.col("kind").isin("START", "END", "ERROR") & F.col("request_id").isNotNull())
+    key = F.col("request_id")
+    if "run" in log.columns:
+        key = F.coalesce(key, F.col("run"))
+    req = log.filter(F.col("kind").isin("START", "END", "ERROR")).withColumn("_key", key).filter(F.col("_key").isNotNull())
     kind = F.col("kind")
-    paired = req.groupBy("symbol", "request_id").agg(
+    paired = req.groupBy("symbol", F.col("_key").alias("request_id")).agg(
         F.min(F.when(kind == "START", F.col("ts"))).alias("start_ts"),
         F.min(F.when(kind != "START", F.col("ts"))).alias("end_ts"),
         F.max(F.when(kind == "END", F.col("records"))).alias("records"),

@@ -39,7 +39,11 @@ def _extract(text: F.Column, pattern: str) -> F.Column:
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 
-def parse_request_log(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def parse_request_log(lines: DataFrame, line_col: str = "value", with_line_order: bool = False) -> DataFrame:
+    """Typed log table.  ``with_line_order`` adds ``line_order``, increasing in
+    file order (needed to order lines that share a whole-second stamp)."""
+    if with_line_order:
+        lines = lines.withColumn("_line_order", F.monotonically_increasing_id())
     line = F.col(line_col)
     msg = F.regexp_extract(line, LINE_PATTERN, 2)
     kind = F.lit("OTHER")
@@ -58,6 +62,7 @@ def parse_request_log(lines: DataFrame, line_col: str = "value") -> DataFrame:
         _extract(msg, ID_PATTERN).cast("bigint").alias("request_id"),
         _extract(msg, ERROR_PATTERN).alias("error"),
         msg.alias("message"),
+        *([F.col("_line_order").alias("line_order")] if with_line_order else []),
     )
 
 

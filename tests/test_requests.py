@@ -122,3 +122,29 @@ def test_log_lines_round_trip(spark):
     )
     lat = {r["request_id"]: (r["latency_seconds"], r["failed"], r["records"]) for r in requests.request_latency(requestlog.parse_request_log(requestlog.log_lines_from_requests(req))).collect()}
     assert lat == {1: (90.0, False, 10), 2: (5.0, True, None)}
+
+
+RUN_LOG = """2026-07-03T08:59:21Z | Starting serial download for 2 symbols
+2026-07-03T08:59:21Z | START request symbol=BTCUSDT interval=1h limit=1000
+2026-07-03T08:59:23Z | END request symbol=BTCUSDT records=1000
+2026-07-03T08:59:23Z | START request symbol=ETHUSDT interval=1h limit=1000
+2026-07-03T08:59:24Z | END request symbol=ETHUSDT records=1000
+2026-07-03T08:59:24Z | Starting multithreaded download for 2 symbols
+2026-07-03T08:59:24Z | START request symbol=BTCUSDT interval=1h limit=1000
+2026-07-03T08:59:24Z | START request symbol=ETHUSDT interval=1h limit=1000
+2026-07-03T08:59:26Z | ERROR request symbol=ETHUSDT: 500 Server Error
+2026-07-03T08:59:29Z | END request symbol=BTCUSDT records=999"""
+
+
+def test_latency_by_run_without_ids(spark):
+    lines = spark.createDataFrame([(line,) for line in RUN_LOG.splitlines()], "value string").coalesce(1)
+    parsed = requestlog.parse_request_log(lines, with_line_order=True)
+    runs = requests.assign_runs(parsed, bucket_seconds=2)  # small buckets: offsets carry the count across
+    assert [r["run"] for r in runs.orderBy("ts", "line_order").collect()] == [1, 1, 1, 1, 1, 2, 2, 2, 2, 2]
+    got = {(r["symbol"], r["request_id"]): (r["latency_seconds"], r["failed"], r["records"]) for r in requests.request_latency(runs).collect()}
+    assert got == {
+        ("BTCUSDT", 1): (2.0, False, 1000),
+        ("ETHUSDT", 1): (1.0, False, 1000),
+        ("BTCUSDT", 2): (5.0, False, 999),
+        ("ETHUSDT", 2): (2.0, True, None),
+    }
