@@ -273,7 +273,7 @@ def q_sample_vs_full(spark, sf_dir):
 # ---------------------------------------------------------------- request log
 def q_rate_window_counts(spark, sf_dir):
     r = _stages(spark, sf_dir).requests().select("request_id", "client", F.col("start_ts").alias("ts"))
-    return requests.rate_window_counts(r, "client", "ts", window_seconds=RATE_WINDOW_S, cap=RATE_CAP)
+    return requests.rate_window_counts(r, "client", "ts", window_seconds=RATE_WINDOW_S, cap=RATE_CAP, id_col="request_id")
 
 
 def q_max_concurrency(spark, sf_dir):

@@ -447,7 +447,9 @@ def oracle_sql() -> dict[str, str]:
     sql["rate_window_counts"] = _q(
         f"""SELECT request_id, client, start_ts AS ts,
                count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) AS in_window,
-               count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) > {RATE_CAP} AS over_limit
+               count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) > {RATE_CAP} AS over_limit,
+               coalesce(greatest(lag(epoch_us(start_ts), {RATE_CAP}) OVER (PARTITION BY client ORDER BY epoch_us(start_ts), request_id)
+                                 + {w_us} - epoch_us(start_ts), 0), 0) / 1000000.0 AS wait_seconds
         FROM requests"""
     )
     sql["max_concurrency"] = _q(
