@@ -39,6 +39,18 @@ def short_sample_groups(sample: DataFrame, n: int = 5, group: str = "symbol") ->
     return sample.groupBy(group).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") < n)
 
 
+def require_full_sample(sample: DataFrame, n: int = 5, group: str = "symbol") -> DataFrame:
+    """Raise ``ValueError`` when a group could not supply n rows, as the
+    reference's sampler does; otherwise return the sample unchanged.  The check
+    is one small job over per-group counts (at most 20 groups reach the driver
+    for the message)."""
+    short = short_sample_groups(sample, n, group).limit(20).collect()
+    if short:
+        listed = ", ".join(f"{r[group]}={r['rows']}" for r in short)
+        raise ValueError(f"groups with fewer than {n} complete rows: {listed}")
+    return sample
+
+
 def direction_counts(sample: DataFrame) -> DataFrame:
     counts = sample.groupBy("candle_direction").agg(F.count(F.lit(1)).alias("direction_count"))
     return sorted_small(counts, F.col("direction_count").desc(), F.col("candle_direction").asc_nulls_first())

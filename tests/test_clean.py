@@ -185,3 +185,11 @@ def test_balanced_sample_plans_partial_group_limit(messy):
     s = sample.balanced_sample(clean.clean_candles(messy), n=5)
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2  # partial (before the shuffle) + final
+
+
+def test_require_full_sample_raises_on_short_group(spark, messy):
+    cleaned = clean.clean_candles(messy)
+    s = sample.balanced_sample(cleaned, n=5)
+    assert sample.require_full_sample(s, n=5) is s
+    with pytest.raises(ValueError, match="fewer than 500"):
+        sample.require_full_sample(sample.balanced_sample(cleaned, n=500), n=500)
