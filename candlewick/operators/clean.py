@@ -61,8 +61,25 @@ def drop_subset_null(df: DataFrame, subset: list[str]) -> DataFrame:
     return df.na.drop(how="any", subset=subset)
 
 
-def coerce_and_normalise(raw: DataFrame) -> DataFrame:
-    return normalise_symbols(coerce_timestamp(coerce_numeric(raw)))
+def typed_columns(columns: list[str]) -> list[F.Column]:
+    """The coerced form of every column: numbers, times, symbol; others as is."""
+    out = []
+    for c in columns:
+        if c in NUMERIC_COLS:
+            out.append(scalar.safe_double(c).alias(c))
+        elif c in TIME_COLS:
+            out.append(scalar.safe_timestamp(c).alias(c))
+        elif c == "symbol":
+            out.append(scalar.normalise_symbol(c).alias(c))
+        else:
+            out.append(F.col(c))
+    return out
+
+
+def coerce_and_normalise(raw: DataFrame, extra: list[F.Column] | None = None) -> DataFrame:
+    """coerce_numeric + coerce_timestamp + normalise_symbols as one projection
+    (``extra`` columns are computed from the raw text in the same pass)."""
+    return raw.select(*typed_columns(raw.columns), *(extra or []))
 
 
 def clean_candles(raw: DataFrame, rule: str = "parity") -> DataFrame:

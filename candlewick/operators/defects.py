@@ -216,5 +216,5 @@ def defect_summary(candles: DataFrame, seed: int = 42, rates: DefectRates = Defe
     )
     names = one.columns
     return one.select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("metric"), F.col(n).alias("value")) for i, n in enumerate(names)])).alias("m")
-    ).select("m.position", "m.metric", "m.value")
+        F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("metric"), F.col(n).alias("value")) for i, n in enumerate(names)]))
+    )

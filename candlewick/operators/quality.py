@@ -24,7 +24,7 @@ def _long(one_row: DataFrame, name_col: str, value_col: str) -> DataFrame:
         F.struct(F.lit(i).alias("position"), F.lit(c).alias(name_col), F.col(c).cast("bigint").alias(value_col))
         for i, c in enumerate(cols)
     ]
-    return one_row.select(F.explode(F.array(*structs)).alias("_m")).select("_m.*")
+    return one_row.select(F.inline(F.array(*structs)))
 
 
 def _nulls_in_row(cols: list[str]) -> Column:
@@ -49,11 +49,7 @@ def missing_by_column(df: DataFrame) -> DataFrame:
         )
         for i, c in enumerate(cols)
     ]
-    return (
-        one.select(F.explode(F.array(*structs)).alias("_m"))
-        .select("_m.*")
-        .filter(F.col("missing_count") > 0)
-    )
+    return one.select(F.inline(F.array(*structs))).filter(F.col("missing_count") > 0)
 
 
 def invalid_by_column(raw: DataFrame) -> DataFrame:
@@ -113,13 +109,14 @@ def dq_report(raw: DataFrame, rule: str = "parity") -> DataFrame:
         lambda a, b: a + b,
         [(F.col(c).isNotNull() & scalar.safe_timestamp(c).isNull()).cast("bigint") for c in present_time],
     )
-    pre = raw.select(
-        "*",
-        _nulls_in_row(raw.columns).alias("_raw_nulls"),
-        invalid_num.alias("_bad_num"),
-        invalid_time.alias("_bad_time"),
+    typed = coerce_and_normalise(
+        raw,
+        extra=[
+            _nulls_in_row(raw.columns).alias("_raw_nulls"),
+            invalid_num.alias("_bad_num"),
+            invalid_time.alias("_bad_time"),
+        ],
     )
-    typed = coerce_and_normalise(pre)
     cols = [c for c in FIELDNAMES if c in raw.columns]
     groups = typed.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -133,18 +130,21 @@ def dq_report(raw: DataFrame, rule: str = "parity") -> DataFrame:
         + (F.col("close").isNull() | F.col("open").isNull()).cast("bigint")
         + (F.col("close").isNull() | F.col("open").isNull() | (F.col("open") == 0)).cast("bigint")
     )
+    def total(c: F.Column) -> F.Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
     one = groups.agg(
-        F.sum("_n").alias("rows_before"),
+        total(F.col("_n")).alias("rows_before"),
         F.count_if(~bad).alias("rows_after"),
-        F.sum("_raw_nulls").alias("missing_before"),
-        F.sum(F.when(~bad, _nulls_in_row(cols) + derived_nulls)).alias("missing_after"),
-        F.sum(F.col("_n") - 1).alias("duplicates_found"),
-        F.sum("_bad_num").alias("invalid_numeric_cells"),
-        F.sum("_bad_time").alias("invalid_timestamp_cells"),
+        total(F.col("_raw_nulls")).alias("missing_before"),
+        total(F.when(~bad, _nulls_in_row(cols) + derived_nulls)).alias("missing_after"),
+        total(F.col("_n") - 1).alias("duplicates_found"),
+        total(F.col("_bad_num")).alias("invalid_numeric_cells"),
+        total(F.col("_bad_time")).alias("invalid_timestamp_cells"),
         F.count_if(F.col("volume") < 0).alias("negative_volume"),
         F.count_if(bad).alias("dropped_impossible"),
     )
-    return _long(one.na.fill(0), "metric", "value")
+    return _long(one, "metric", "value")
 
 
 
