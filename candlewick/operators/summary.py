@@ -24,12 +24,12 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def _rank_where(eligible: str, metric: str, name: str) -> F.Column:
+def _rank_where(eligible: F.Column, metric: F.Column) -> F.Column:
     # eligible rows first: their row numbers are their ranks among eligible
     # rows.  Both rank windows are unpartitioned, so they share one
     # single-partition step (one row per symbol) that the final ordering reuses.
-    w = Window.orderBy(F.col(eligible).desc(), F.col(metric).desc_nulls_last(), F.col("symbol").asc_nulls_first())
-    return F.when(F.col(eligible), F.row_number().over(w))
+    w = Window.orderBy(eligible.desc(), metric.desc_nulls_last(), F.col("symbol").asc_nulls_first())
+    return F.when(eligible, F.row_number().over(w))
 
 
 def market_summary(df: DataFrame, decimals: int | None = None) -> DataFrame:
@@ -54,22 +54,19 @@ def market_summary(df: DataFrame, decimals: int | None = None) -> DataFrame:
         F.count_if(move & (direction == "down")).alias("down_count"),
         F.count_if(move & (direction == "flat")).alias("flat_count"),
     )
-    scored = per_symbol.withColumns(
-        {
-            "symbol_activity_score": activity_score("total_trades", "total_quote_volume"),
-            "_has_range": F.col("_n_range") > 0,
-            "_has_activity": F.col("_n_activity") > 0,
-        }
-    )
-    ranked = scored.withColumns(
-        {
-            "volatility_rank": _rank_where("_has_range", "avg_price_range", "volatility_rank"),
-            "symbol_activity_rank": _rank_where("_has_activity", "symbol_activity_score", "symbol_activity_rank"),
-        }
+    # score and both ranks in one projection over the per-symbol rows
+    score = activity_score("total_trades", "total_quote_volume")
+    has_range, has_activity = F.col("_n_range") > 0, F.col("_n_activity") > 0
+    kept = (
+        per_symbol.select(
+            "*",
+            score.alias("symbol_activity_score"),
+            _rank_where(has_range, F.col("avg_price_range")).alias("volatility_rank"),
+            _rank_where(has_activity, score).alias("symbol_activity_rank"),
+        )
+        .filter(F.col("symbol").isNotNull() & has_range & has_activity & (F.col("_n_move") > 0))
+        .select(*SUMMARY_COLUMNS)
     )
-    kept = ranked.filter(
-        F.col("symbol").isNotNull() & F.col("_has_range") & F.col("_has_activity") & (F.col("_n_move") > 0)
-    ).select(*SUMMARY_COLUMNS)
     if decimals is not None:
         kept = kept.withColumns(
             {c: F.round(c, decimals) for c in ("avg_price_range", "min_price_range", "max_price_range", "stddev_price_range", "avg_volume", "avg_percent_change")}
