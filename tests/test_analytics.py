@@ -150,3 +150,17 @@ def test_profile_shape_preview(table):
     assert (shape["rows"], shape["columns"]) == (6, len(table.columns))
     first = quality.preview(table, 2, ["symbol", "open_time"]).collect()
     assert [r["price_range"] for r in first] == [20.0, 15.0]
+
+
+def test_two_avg_volumes_and_direction_totals(spark):
+    """Traps T13 / T14: the activity average needs both counters; direction
+    counts skip rows without percent_change, so they need not add up to row_count."""
+    rows = ROWS[:3] + [("BTCUSDT", "2026-06-02T01:00:00+00:00", None, 100.0, 90.0, 95.0, 9000.0, 900000.0, None)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("open_time", safe_timestamp("open_time"))
+    df = derive.time_features(derive.derived_columns(df))
+    plain = rankings.avg_volume_by_symbol(df).first()["avg_volume"]
+    active = rankings.activity_ranking(df).first()["avg_volume"]
+    assert plain == pytest.approx(6000.0) and active == pytest.approx(5000.0)
+    s = summary.market_summary(df).first()
+    assert s["row_count"] == 4
+    assert s["up_count"] + s["down_count"] + s["flat_count"] == 3  # the NULL-open row has no percent_change
