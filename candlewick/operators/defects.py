@@ -52,10 +52,25 @@ SALT = {
 
 # numbers are written with 8 decimals (exchange precision), as plain text
 NUMBER_TEXT_TYPE = "decimal(38,8)"
+# sign + 30 integer digits + 8 decimals: every DECIMAL(38,8) fits
+_PLAIN_FORMAT = "S" + "9" * 29 + "0.00000000"
 
 
-def number_text(c: Column) -> Column:
-    return c.try_cast(NUMBER_TEXT_TYPE).cast("string")
+def decimal_text_sql(expr: str, dialect: str = "spark") -> str:
+    """DECIMAL(38,8) -> plain text such as '-12.31000000' or '0.00000000'.
+
+    A bare CAST to string prints '0E-8' for zero when ANSI mode is off, so
+    Spark formats with to_char (independent of the mode); other engines
+    print decimals plainly already.
+    """
+    if dialect != "spark":
+        return f"CAST({expr} AS VARCHAR)"
+    padded = f"trim(to_char({expr}, '{_PLAIN_FORMAT}'))"
+    return f"regexp_replace(regexp_replace({padded}, '^([+-]?)[.]', '$10.'), '^[+]', '')"
+
+
+def number_text(name: str) -> Column:
+    return F.expr(decimal_text_sql(f"TRY_CAST(`{name}` AS {NUMBER_TEXT_TYPE.upper()})"))
 
 
 def candles_as_text(candles: DataFrame) -> DataFrame:
@@ -68,7 +83,7 @@ def candles_as_text(candles: DataFrame) -> DataFrame:
         elif name == "trade_count":
             exprs.append(c.cast("bigint").cast("string").alias(name))
         elif name in NUMERIC_COLS:
-            exprs.append(number_text(c).alias(name))
+            exprs.append(number_text(name).alias(name))
         else:
             exprs.append(c.cast("string").alias(name))
     return candles.select(F.col("row_id").cast("bigint").alias("row_id"), *exprs)
@@ -126,7 +141,7 @@ def decision_sql(copy: int, seed: int, rates: DefectRates, present: dict[str, li
     }
 
 
-def cell_sql(copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f"`{n}`") -> str:
+def cell_sql(copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f"`{n}`", dialect: str = "spark") -> str:
     """The messy text of column ``c`` for one copy, defects applied in reference order."""
 
     def d(name: str) -> str:
@@ -147,7 +162,7 @@ def cell_sql(copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f
         corrupted = f"CASE WHEN {w} = 0 THEN lower({v}) WHEN {w} = 1 THEN concat(' ', {v}, ' ') ELSE replace({v}, 'USDT', '/USDT') END"
         v = f"CASE WHEN {d('_m_symbol')} THEN {corrupted} ELSE {v} END"
     if c in present["vol"]:
-        negated = f"coalesce(CAST(-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()})) AS STRING), '-999')"
+        negated = f"coalesce({decimal_text_sql(f'-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()}))', dialect)}, '-999')"
         v = f"CASE WHEN {hit('vol', 'negative')} THEN {negated} ELSE {v} END"
     return v
 

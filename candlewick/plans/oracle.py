@@ -108,7 +108,7 @@ def _flagged_sql(seed: int = SEED, rates: DefectRates = DefectRates()) -> str:
     decided = "SELECT *, " + ", ".join(f"{v} AS {k}" for k, v in dec.items()) + " FROM candle_text"
 
     def rows(copy: int, cond: str) -> str:
-        cells = [f"{_defects.cell_sql(copy, c, present, quote=qi)} AS {qi(c)}" for c in FIELDNAMES]
+        cells = [f"{_defects.cell_sql(copy, c, present, quote=qi, dialect='ansi')} AS {qi(c)}" for c in FIELDNAMES]
         flags = [f"_m_{kind}_{copy} AS _m_{kind}" for kind in ("missing", "text", "time", "symbol", "negative")]
         return f"SELECT row_id, _dropped, {', '.join(cells)}, {copy} AS _copy, {', '.join(flags)} FROM decided WHERE {cond}"
 
