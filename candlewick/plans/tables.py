@@ -29,10 +29,13 @@ class Stages:
     top instead of rebuilding (and re-analysing) the whole chain.
     """
 
-    _shared: dict[tuple[str, str], "Stages"] = {}
+    _shared: dict[tuple[str, str, str], "Stages"] = {}
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
+        # casts resolve their ANSI behaviour when a plan is built, so plans
+        # are shared only while that setting is unchanged
+        ansi = str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower()
+        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), ansi)
         if key not in cls._shared:
             obj = super().__new__(cls)
             obj.spark = ensure_session_defaults(spark)
