@@ -56,25 +56,33 @@ NUMBER_TEXT_TYPE = "decimal(38,8)"
 _PLAIN_FORMAT = "S" + "9" * 29 + "0.00000000"
 
 
-def decimal_text_sql(expr: str, dialect: str = "spark") -> str:
+def plain_decimal_cast(spark) -> bool:
+    """Spark prints decimals plainly in a CAST only under ANSI mode."""
+    return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
+
+
+def decimal_text_sql(expr: str, dialect: str = "spark", plain_cast: bool = False) -> str:
     """DECIMAL(38,8) -> plain text such as '-12.31000000' or '0.00000000'.
 
-    A bare CAST to string prints '0E-8' for zero when ANSI mode is off, so
-    Spark formats with to_char (independent of the mode); other engines
-    print decimals plainly already.
+    Under ANSI mode (and in other engines) a CAST prints plainly.  With ANSI
+    off Spark's CAST prints '0E-8' for zero, so the text is built with
+    to_char instead (a little more work per cell).
     """
     if dialect != "spark":
         return f"CAST({expr} AS VARCHAR)"
+    if plain_cast:
+        return f"CAST({expr} AS STRING)"
     padded = f"trim(to_char({expr}, '{_PLAIN_FORMAT}'))"
     return f"regexp_replace(regexp_replace({padded}, '^([+-]?)[.]', '$10.'), '^[+]', '')"
 
 
-def number_text(name: str) -> Column:
-    return F.expr(decimal_text_sql(f"TRY_CAST(`{name}` AS {NUMBER_TEXT_TYPE.upper()})"))
+def number_text(name: str, plain_cast: bool = False) -> Column:
+    return F.expr(decimal_text_sql(f"TRY_CAST(`{name}` AS {NUMBER_TEXT_TYPE.upper()})", plain_cast=plain_cast))
 
 
 def candles_as_text(candles: DataFrame) -> DataFrame:
     """Typed candles -> the 13 text columns of a landed CSV (+ ``row_id``)."""
+    plain = plain_decimal_cast(candles.sparkSession)
     exprs = []
     for name in FIELDNAMES:
         c = F.col(name)
@@ -83,7 +91,7 @@ def candles_as_text(candles: DataFrame) -> DataFrame:
         elif name == "trade_count":
             exprs.append(c.cast("bigint").cast("string").alias(name))
         elif name in NUMERIC_COLS:
-            exprs.append(number_text(name).alias(name))
+            exprs.append(number_text(name, plain).alias(name))
         else:
             exprs.append(c.cast("string").alias(name))
     return candles.select(F.col("row_id").cast("bigint").alias("row_id"), *exprs)
@@ -141,7 +149,9 @@ def decision_sql(copy: int, seed: int, rates: DefectRates, present: dict[str, li
     }
 
 
-def cell_sql(copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f"`{n}`", dialect: str = "spark") -> str:
+def cell_sql(
+    copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f"`{n}`", dialect: str = "spark", plain_cast: bool = False
+) -> str:
     """The messy text of column ``c`` for one copy, defects applied in reference order."""
 
     def d(name: str) -> str:
@@ -162,7 +172,7 @@ def cell_sql(copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f
         corrupted = f"CASE WHEN {w} = 0 THEN lower({v}) WHEN {w} = 1 THEN concat(' ', {v}, ' ') ELSE replace({v}, 'USDT', '/USDT') END"
         v = f"CASE WHEN {d('_m_symbol')} THEN {corrupted} ELSE {v} END"
     if c in present["vol"]:
-        negated = f"coalesce({decimal_text_sql(f'-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()}))', dialect)}, '-999')"
+        negated = f"coalesce({decimal_text_sql(f'-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()}))', dialect, plain_cast)}, '-999')"
         v = f"CASE WHEN {hit('vol', 'negative')} THEN {negated} ELSE {v} END"
     return v
 
@@ -190,8 +200,10 @@ def defect_flags(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRat
     }
     df = text.selectExpr("*", *[f"{sql} AS {name}" for name, sql in decisions.items()])
 
+    plain = plain_decimal_cast(text.sparkSession)
+
     def row(copy: int) -> str:
-        cells = [f"{cell_sql(copy, c, present)} AS `{c}`" for c in fields]
+        cells = [f"{cell_sql(copy, c, present, plain_cast=plain)} AS `{c}`" for c in fields]
         flags = [f"_m_{kind}_{copy} AS _m_{kind}" for kind in ("missing", "text", "time", "symbol", "negative")]
         return f"named_struct({', '.join(_pairs(cells + [f'{copy} AS _copy'] + flags))})"
 
