@@ -7,10 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.llm.bpe import with_bpe
 from candlewick.llm.mixing import mix_sources
 from candlewick.llm.quality_rules import judge_quality
 from candlewick.llm.shared import table
+from candlewick.llm.simhash import simhash_components
 from candlewick.llm.url_filter import judge_urls
+from candlewick.llm.wordpiece import with_piece_counts
+
+#: File of the public byte-level tokenizer in the package that holds the vocabularies.
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER_FILE)
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_piece_counts(docs, tokenizer_path()).select("doc_id", "__cw_pieces.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,13 +46,21 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_bpe(docs, tokenizer_path(), digest=True).select("doc_id", "__cw_bpe.*")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_token_counts": op3_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
+    "op9_bpe": op9_bpe,
     "op10_source_mix": op10_source_mix,
 }
