@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm.bpe import with_bpe
+from candlewick.llm.langid import Profiles, learn_profiles, with_language
 from candlewick.llm.mixing import mix_sources
 from candlewick.llm.quality_rules import judge_quality
-from candlewick.llm.shared import table
+from candlewick.llm.shared import crc_remainder, table
 from candlewick.llm.simhash import simhash_components
+from candlewick.llm.toxicity import THRESHOLD, ToxicityModel, learn_toxicity, with_toxicity
 from candlewick.llm.url_filter import judge_urls
 from candlewick.llm.wordpiece import with_piece_counts
 
@@ -25,6 +27,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> ToxicityModel:
+    """Learned from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").where(crc_remainder("doc_id", 4) != 2)
+    return learn_toxicity(docs, table(spark, sf_dir, "labels"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = with_toxicity(docs, toxicity_model(spark, sf_dir), into="score")
+    return scored.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -36,6 +50,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_piece_counts(docs, tokenizer_path()).select("doc_id", "__cw_pieces.*")
 
 
+def language_profiles(docs: DataFrame) -> Profiles:
+    """Learned from the documents that are not held out."""
+    return learn_profiles(docs.where(crc_remainder("doc_id", 5) != 0))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = with_language(docs.select("doc_id", "text"), language_profiles(docs), into="r")
+    return judged.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "r.lang_pred", "r.score")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,8 +82,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_token_counts": op3_token_counts,
+    "op5_language_id": op5_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
