@@ -31,7 +31,7 @@ from candlewick.llm.shared import build_struct, per_slice, ship_code, slices, st
 PROFILE = 400
 UNKNOWN = "und"
 #: Texts nearer than this to no language are rejected by the filter.
-LEAST_SCORE = 0.05
+LEAST_SCORE = 0.2
 RESULT = struct_type(lang_pred=pa.string(), score=pa.float64())
 _WIDE, _NONE = 21, (1 << 21) - 1  # bits of a code point; "no letter here"
 

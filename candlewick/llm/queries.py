@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm.bpe import with_bpe
+from candlewick.llm.embedding_dedup import embedding_components
 from candlewick.llm.langid import Profiles, learn_profiles, with_language
+from candlewick.llm.lm import score_texts
 from candlewick.llm.mixing import mix_sources
 from candlewick.llm.quality_rules import judge_quality
 from candlewick.llm.shared import crc_remainder, table
@@ -50,6 +52,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_piece_counts(docs, tokenizer_path()).select("doc_id", "__cw_pieces.*")
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_remainder("doc_id", 10) == 0
+    scored = score_texts(docs, ~held_out, extra={"held_out": held_out})
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def language_profiles(docs: DataFrame) -> Profiles:
     """Learned from the documents that are not held out."""
     return learn_profiles(docs.where(crc_remainder("doc_id", 5) != 0))
@@ -61,6 +70,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "r.lang_pred", "r.score")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -85,7 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_lm_scores": op4_lm_scores,
     "op5_language_id": op5_language_id,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,

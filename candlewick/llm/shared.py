@@ -7,6 +7,7 @@ with ``__cw_``, and only the columns they name are read.
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -61,6 +62,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it again."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def crc_remainder(column: str | Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus`` (null counts as empty text)."""
     col = F.col(column) if isinstance(column, str) else column

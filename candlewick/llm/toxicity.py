@@ -2,7 +2,7 @@
 
 A word is the mean of the embeddings of its byte n-grams (three to six, with edge
 marks) and of itself, all hashed into ``2 ** BUCKET_BITS`` rows; a text is the mean of
-its words; two class vectors and a bias make a softmax of it.  Embeddings and classes
+its distinct words, each weighted by a power of its count; two class vectors and a bias make a softmax of it.  Embeddings and classes
 are trained together by Adam, in numpy on the driver, on at most ``SAMPLE_ROWS``
 labelled texts of a class and ``SAMPLE_BYTES`` in all, chosen by a hash of the id.  A
 misspelt insult shares n-grams with the insult and so its vectors.
@@ -30,9 +30,13 @@ from candlewick.llm.shared import cut, factorize, pack, per_slice, segment_sum,
 
 #: Labelled texts of each class to learn from, and their bytes in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 40 << 20
-BUCKET_BITS, DIMENSIONS = 17, 8
+BUCKET_BITS, DIMENSIONS = 16, 8
 NGRAMS = (3, 4, 5, 6)
 EPOCHS, BATCH, RATE, DECAY = 8, 128, 0.05, 1e-6
+#: Embeddings start within this of zero, so that n-grams never trained say little.
+START = 0.01
+#: A word that a text holds n times weighs n to this power in the text's mean.
+DAMPING = 0.5
 #: Scores from here on are predicted toxic.
 THRESHOLD = 0.3
 
@@ -72,6 +76,19 @@ def buckets(words: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.n
     return number[order].astype(np.int32), ends
 
 
+def bags(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of all texts; and of each text (by offsets) its words and their
+    weights, which add up to one."""
+    split = [tokens(t) for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    distinct, ids = factorize([w for words in split for w in words])
+    pairs, count = np.unique(np.repeat(np.arange(len(split)), sizes) << 32 | ids, return_counts=True)
+    doc = pairs >> 32
+    offsets = np.searchsorted(doc, np.arange(len(split) + 1))
+    weight = count.astype(np.float64) ** DAMPING
+    return distinct, offsets, pairs & 0xFFFFFFFF, weight / segment_sum(weight, offsets)[doc]
+
+
 @dataclass
 class ToxicityModel:
     """``embeddings`` (buckets by dimensions), ``classes`` (2 by dimensions), ``bias`` (2)."""
@@ -95,30 +112,25 @@ class Scorer:
     bits: int
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        split = [tokens(t) for t in texts]
-        offsets = np.cumsum([0, *map(len, split)])
-        distinct, ids = factorize([w for words in split for w in words])
+        distinct, offsets, ids, weight = bags(texts)
         number, ends = buckets(distinct, self.bits)
-        word = segment_sum(self.gain[number], ends) / np.maximum(np.diff(ends), 1)
-        logit = segment_sum(word[ids], offsets) / np.maximum(np.diff(offsets), 1) + self.bias
+        word = segment_sum(self.gain[number], ends) / np.diff(ends)
+        logit = segment_sum(word[ids] * weight, offsets) + self.bias
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -500.0, 500.0)))
 
 
 def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None, bits: int = BUCKET_BITS, dimensions: int = DIMENSIONS, epochs: int = EPOCHS, seed: int = 7) -> ToxicityModel:
     """Train embeddings and classes together.  ``share``: class 1 among all labelled rows."""
     size, rng = 1 << bits, np.random.default_rng(seed)
-    params = [rng.uniform(-1.0, 1.0, (size, dimensions)) / dimensions, rng.uniform(-1.0, 1.0, (2, dimensions)), np.zeros(2)]
+    params = [rng.uniform(-START, START, (size, dimensions)), rng.uniform(-1.0, 1.0, (2, dimensions)), np.zeros(2)]
     labels = np.asarray(labels, np.float64)
     mean = labels.mean() if len(labels) else 0.0
     if mean in (0.0, 1.0):
         params[2] = np.array([0.0, 1e3 if mean else -1e3])
         return ToxicityModel(np.zeros((size, dimensions)), params[1], params[2], bits)
     share = mean if share is None else share
-    weight = np.where(labels == 1, share / mean, (1 - share) / (1 - mean))
-    split = [tokens(t) for t in texts]
-    doc_ends = np.cumsum([0, *map(len, split)])
-    distinct, ids = factorize([w for words in split for w in words])
-    del split
+    cost = np.where(labels == 1, share / mean, (1 - share) / (1 - mean))
+    distinct, doc_ends, ids, weight = bags(texts)
     number, word_ends = buckets(distinct, bits)
     word_size = np.diff(word_ends)
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -136,10 +148,10 @@ def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None,
             embeddings, classes, bias = params
             gain = embeddings @ (classes[1] - classes[0])
             word = segment_sum(gain[flat], spans) / word_size[words]
-            logit = segment_sum(word[local], ends) / np.maximum(sizes, 1) + bias[1] - bias[0]
+            logit = segment_sum(word[local] * weight[inside], ends) + bias[1] - bias[0]
             chance = 1.0 / (1.0 + np.exp(-np.clip(logit, -500, 500)))
-            off = (chance - labels[rows]) * weight[rows] / len(rows)  # d loss / d (class 1 logit)
-            per_word = np.bincount(local, np.repeat(off / np.maximum(sizes, 1), sizes), len(words)) / word_size[words]
+            off = (chance - labels[rows]) * cost[rows] / len(rows)  # d loss / d (class 1 logit)
+            per_word = np.bincount(local, np.repeat(off, sizes) * weight[inside], len(words)) / word_size[words]
             bucket = np.bincount(flat, np.repeat(per_word, word_size[words]), size)
             pull = bucket @ embeddings  # d loss / d class 1; class 0 gets the opposite
             grads = [np.outer(bucket, classes[1] - classes[0]) + DECAY * embeddings, np.stack([-pull, pull]), np.array([-off.sum(), off.sum()])]
