@@ -32,7 +32,7 @@ from candlewick.llm.shared import cut, factorize, pack, per_slice, segment_sum,
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 40 << 20
 BUCKET_BITS, DIMENSIONS = 16, 8
 NGRAMS = (3, 4, 5, 6)
-EPOCHS, BATCH, RATE, DECAY = 8, 128, 0.05, 1e-6
+STEPS, BATCH, RATE, DECAY = 320, 128, 0.05, 1e-6
 #: Embeddings start within this of zero, so that n-grams never trained say little.
 START = 0.01
 #: A word that a text holds n times weighs n to this power in the text's mean.
@@ -119,7 +119,7 @@ class Scorer:
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -500.0, 500.0)))
 
 
-def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None, bits: int = BUCKET_BITS, dimensions: int = DIMENSIONS, epochs: int = EPOCHS, seed: int = 7) -> ToxicityModel:
+def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None, bits: int = BUCKET_BITS, dimensions: int = DIMENSIONS, steps: int = STEPS, seed: int = 7) -> ToxicityModel:
     """Train embeddings and classes together.  ``share``: class 1 among all labelled rows."""
     size, rng = 1 << bits, np.random.default_rng(seed)
     params = [rng.uniform(-START, START, (size, dimensions)), rng.uniform(-1.0, 1.0, (2, dimensions)), np.zeros(2)]
@@ -135,7 +135,7 @@ def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None,
     word_size = np.diff(word_ends)
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
