@@ -18,6 +18,7 @@ bias alone; with no labels of one of the classes, all scores are 0 or 1 for that
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import cut, factorize, pack, per_slice, segment_sum, ship_code
+from candlewick.llm.shared import cut, pack, per_slice, segment_sum, ship_code
 
 #: Labelled texts of each class to learn from, and their bytes in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 40 << 20
@@ -50,6 +51,12 @@ def tokens(text: str | None) -> list[str]:
 
 def buckets(words: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of each word: bucket numbers, and len(words) + 1 offsets."""
+    parts = [_buckets(words[at : at + 20_000], bits) for at in range(0, len(words), 20_000)]
+    sizes = [np.diff(ends) for _, ends in parts]
+    return np.concatenate([np.zeros(0, np.int32), *(n for n, _ in parts)]), np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])
+
+
+def _buckets(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = pack([b"<%s>" % w.encode("utf-8", "surrogatepass") for w in words])
     data, sizes = data.astype(np.uint64) + np.uint64(1), np.diff(offsets)
     owner = np.repeat(np.arange(len(words)), sizes)
@@ -79,14 +86,17 @@ def buckets(words: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.n
 def bags(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words of all texts; and of each text (by offsets) its words and their
     weights, which add up to one."""
-    split = [tokens(t) for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    distinct, ids = factorize([w for words in split for w in words])
-    pairs, count = np.unique(np.repeat(np.arange(len(split)), sizes) << 32 | ids, return_counts=True)
-    doc = pairs >> 32
-    offsets = np.searchsorted(doc, np.arange(len(split) + 1))
-    weight = count.astype(np.float64) ** DAMPING
-    return distinct, offsets, pairs & 0xFFFFFFFF, weight / segment_sum(weight, offsets)[doc]
+    place: dict[str, int] = {}
+    ids, counts, sizes = [], [], []
+    for text in texts:  # one text's words at a time; only distinct ones stay
+        bag = Counter(tokens(text))
+        ids.append(np.fromiter((place.setdefault(w, len(place)) for w in bag), np.int32, len(bag)))
+        counts.append(np.fromiter(bag.values(), np.float64, len(bag)))
+        sizes.append(len(bag))
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    weight = np.concatenate([np.zeros(0), *counts]) ** DAMPING
+    weight /= np.repeat(segment_sum(weight, offsets), np.diff(offsets))
+    return list(place), offsets, np.concatenate([np.zeros(0, np.int32), *ids]), weight
 
 
 @dataclass
@@ -165,24 +175,30 @@ def fit(texts: list[str | None], labels: np.ndarray, share: float | None = None,
     return ToxicityModel(*params, bits)
 
 
-def labelled_sample(labelled: DataFrame, text: str, label: str, doc_id: str, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], np.ndarray, float]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], np.ndarray, float]:
     """At most ``rows`` whole texts of each class, in order of a hash of their id, as far
-    as ``most_bytes`` go; and class 1's share of all labelled rows."""
-    base = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("y"), F.xxhash64(F.col(doc_id)).alias("h"))
-    counts = {r.y: r.n for r in base.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    place = F.row_number().over(Window.partitionBy("y").orderBy("h", "text"))
-    some = cut(base.withColumn("k", place).where(F.col("k") <= rows))
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("k", "y", "h"))
-    picked = some.withColumn("size", size).where(F.col("size") <= most_bytes).select("text", "y").toPandas()
+    as ``most_bytes`` go; and class 1's share of all labelled rows.
+
+    Ids are chosen first, so only the texts of the sample move.
+    """
+    marks = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("__cw_id"), F.col(label).cast("int").alias("y"))
+    marked = docs.select(F.col(doc_id).alias("d")).join(marks, F.col("d") == F.col("__cw_id")).select("__cw_id", "y")
+    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = Window.partitionBy("y").orderBy(F.xxhash64("__cw_id"), "__cw_id")
+    ids = cut(marked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).select("__cw_id", "y").distinct())
+    # two classes of at most ``rows`` ids: small enough to broadcast
+    some = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text")).join(F.broadcast(ids), F.col("d") == F.col("__cw_id"))
+    again = Window.partitionBy("y").orderBy(F.xxhash64("d"), "d", "text")
+    some = some.withColumn("k", F.row_number().over(again)).where(F.col("k") <= rows)
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("k", "y"))
+    picked = some.withColumn("size", size).where(F.col("size") <= most_bytes).select("text", "y").collect()
     total = sum(counts.values())
-    return picked["text"].tolist(), picked["y"].to_numpy(np.float64), counts.get(1, 0) / total if total else 0.0
+    return [r.text for r in picked], np.array([r.y for r in picked], np.float64), counts.get(1, 0) / total if total else 0.0
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Fit on the documents of ``docs`` that ``labels`` marks."""
-    marks = labels.select(F.col(doc_id).alias("__cw_id"), F.col(label).alias("__cw_y"))
-    joined = docs.select(doc_id, text).join(marks, F.col(doc_id) == F.col("__cw_id"))
-    return fit(*labelled_sample(joined, text, "__cw_y", doc_id, rows))
+    return fit(*labelled_sample(docs, labels, text, doc_id, label, rows))
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", into: str = "__cw_toxic") -> DataFrame:
