@@ -51,7 +51,7 @@ TOP_WORDS, TOP_BYTES = 131_072, 64
 HELD_WORDS, HELD_NGRAMS = 250_000, 3_000_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64((1 << 40) - 1)
+_LOW, _HALF = np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
 
 
 def split_words(text: bytes | None) -> list[bytes]:
@@ -89,17 +89,15 @@ def level_of(counts: np.ndarray) -> np.ndarray:
 
 def count_of(levels: np.ndarray) -> np.ndarray:
     """Middle of the counts of a level; 0 for level 0."""
-    low, high = np.ceil(BASE ** (levels - 1.0)), np.ceil(BASE ** levels.astype(np.float64)) - 1
-    return np.where(levels > 0, (low + np.maximum(low, high)) / 2, 0.0)
+    each = np.arange(int(levels.max(initial=0)) + 1)
+    low, high = np.ceil(BASE ** (each - 1.0)), np.ceil(BASE ** each.astype(np.float64)) - 1
+    return np.where(each > 0, (low + np.maximum(low, high)) / 2, 0.0)[levels]
 
 
-def probe_bits(low: np.ndarray, level: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """Bit positions, in a segment of ``bits`` bits, of the entries (n-gram, level)."""
-    seed = mix(low + level.astype(np.uint64) * _M3)
-    step = (mix(seed + _M2) >> np.uint64(32)) | np.uint64(1)
-    for _ in range(PROBES):
-        yield ((seed >> np.uint64(32)) * bits) >> np.uint64(32)
-        seed = seed + (step << np.uint64(32))
+def entry_seeds(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of an entry's probes, both below 2 ** 32."""
+    seed = mix(low + np.uint64(level * int(_M3) & (1 << 64) - 1))
+    return seed >> np.uint64(32), (seed & _HALF) | np.uint64(1)
 
 
 def build_segment(low: np.ndarray, counts: np.ndarray, most_bytes: int) -> bytes:
@@ -107,15 +105,13 @@ def build_segment(low: np.ndarray, counts: np.ndarray, most_bytes: int) -> bytes
     levels = level_of(counts)
     entries = int(levels.sum())
     size = min(most_bytes, max(64, -(-entries * BITS_PER_ENTRY // 8)), 1 << 28)
-    flags = np.zeros(size, np.uint8)
-    bits = np.uint64(size * 8)
+    bits = np.zeros(size * 8, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        here = low[levels >= level]
-        for at in range(0, len(here), 1 << 20):
-            some = here[at : at + (1 << 20)]
-            for place in probe_bits(some, np.full(len(some), level), bits):
-                np.bitwise_or.at(flags, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-    return flags.tobytes()
+        start, step = entry_seeds(low[levels >= level], level)
+        for _ in range(PROBES):
+            bits[(start * np.uint64(len(bits)) >> np.uint64(32)).astype(np.int64)] = True
+            start = (start + step) & _HALF
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 @dataclass
@@ -129,36 +125,24 @@ class CountFilter:
         """Probe level after level until one is missing."""
         out = np.zeros(len(hashes), np.int64)
         part = part_of(hashes, len(self.starts) - 1)
-        start = self.starts[part]
-        bits = ((self.starts[part + 1] - start) * 8).astype(np.uint64)
-        low = hashes & _LOW
+        origin = self.starts[part]
+        bits = ((self.starts[part + 1] - origin) * 8).astype(np.uint64)
         live = np.flatnonzero(bits > 0)
+        low, origin, bits = (hashes & _LOW)[live], origin[live], bits[live]
         level = 0
         while len(live):
             level += 1
-            for place in self._probes(low, level, bits, live):
-                byte = self.flags[start[live] + (place[0] >> np.uint64(3)).astype(np.int64)]
-                ok = (byte >> (place[0] & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                live = live[ok]
-                for k in range(len(place)):
-                    place[k] = place[k][ok]
-                if not len(live):
-                    break
+            start, step = entry_seeds(low, level)
+            for _ in range(PROBES):
+                place = start * bits >> np.uint64(32)
+                byte = self.flags[origin + (place >> np.uint64(3)).astype(np.int64)]
+                ok = np.flatnonzero(byte >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                if len(ok) < len(live):
+                    live, low, origin, bits, start, step = (x[ok] for x in (live, low, origin, bits, start, step))
+                start = (start + step) & _HALF
             out[live] = level
         return out
 
-    @staticmethod
-    def _probes(low: np.ndarray, level: int, bits: np.ndarray, live: np.ndarray) -> Iterator[list[np.ndarray]]:
-        """One probe after another for the n-grams still alive: the yielded list holds
-        the positions and what the caller must thin out with them."""
-        seed = mix(low[live] + np.uint64(level * int(_M3) & (1 << 64) - 1))
-        step = (mix(seed + _M2) >> np.uint64(32)) | np.uint64(1)
-        state = [None, seed, step, bits[live]]
-        for _ in range(PROBES):
-            state[0] = ((state[1] >> np.uint64(32)) * state[3]) >> np.uint64(32)
-            yield state
-            state[1] = state[1] + (state[2] << np.uint64(32))
-
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)``: exact counts of all words and ends."""
@@ -258,10 +242,13 @@ def build_filter(docs: DataFrame, text: str = "text", most_bytes: int = MAX_FILT
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "part long, body binary")
     built = counted.groupBy("part").applyInPandas(build, "part long, segment binary").toPandas()
-    segments = dict(zip(built["part"].tolist(), built["segment"].tolist()))
-    starts = np.zeros(parts + 1, np.int64)
-    np.cumsum([len(segments.get(p, b"")) for p in range(parts)], out=starts[1:])
-    return CountFilter(np.frombuffer(b"".join(bytes(segments.get(p, b"")) for p in range(parts)), np.uint8), starts)
+    sizes = np.zeros(parts + 1, np.int64)
+    sizes[built["part"].to_numpy(np.int64) + 1] = built["segment"].map(len)
+    starts = np.cumsum(sizes)
+    flags = np.empty(starts[-1], np.uint8)
+    for part, segment in zip(built["part"], built["segment"]):
+        flags[starts[part] : starts[part + 1]] = np.frombuffer(segment, np.uint8)
+    return CountFilter(flags, starts)
 
 
 @dataclass
@@ -289,8 +276,7 @@ class LanguageModel:
         value = chance[ids]
         follows = np.ones(len(ids), bool)
         follows[offsets[:-1]] = False
-        grams, which = np.unique(pairs[follows[1:]], return_inverse=True)
-        seen = count_of(self.counts.levels(grams))[which]
+        seen = count_of(self.counts.levels(pairs[follows[1:]]))
         before = np.flatnonzero(follows) - 1
         value[follows] = (np.minimum(seen, count[ids[before]]) + self.prior * value[follows]) / (count[ids[before]] + self.prior)
         return segment_sum(np.log10(value), offsets), distinct, ids, offsets
