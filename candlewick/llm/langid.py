@@ -29,6 +29,8 @@ from candlewick.llm.shared import build_struct, per_slice, ship_code, slices, st
 
 #: N-grams of a profile.  Profiles on the driver: languages times so many rows.
 PROFILE = 400
+#: Text counted at once (bytes): the packed n-grams take about a hundred times as much.
+SLICE = 1 << 20
 UNKNOWN = "und"
 #: Texts nearer than this to no language are rejected by the filter.
 LEAST_SCORE = 0.2
@@ -165,7 +167,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", most
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), SLICE):
                 langs = batch.column(1).slice(done, len(part)).dictionary_encode()
                 done += len(part)
                 who, grams, counts = count_all(part.to_pylist(), langs.indices.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -194,7 +196,7 @@ def with_language(docs: DataFrame, profiles: Profiles, text: str = "text", into:
         return build_struct(RESULT, names, score)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from per_slice(batches, one, RESULT)
+        yield from per_slice(batches, one, RESULT, SLICE)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(into, F.arrow_udf(run, "lang_pred string, score double")(F.col(text)))

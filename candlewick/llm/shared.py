@@ -94,10 +94,10 @@ def raw(texts: pa.Array) -> list[bytes | None]:
     return texts.cast(pa.binary()).to_pylist()
 
 
-def per_slice(batches: Iterator[pa.Array], fn: Callable[[pa.Array], pa.Array], kind: pa.DataType):
+def per_slice(batches: Iterator[pa.Array], fn: Callable[[pa.Array], pa.Array], kind: pa.DataType, limit: int = SLICE_BYTES):
     """Apply ``fn`` to every slice of every batch; one result array for each batch."""
     for batch in batches:
-        parts = [fn(x) for x in slices(batch)]
+        parts = [fn(x) for x in slices(batch, limit)]
         out = pa.concat_arrays(parts) if parts else pa.array([], kind)
         yield out.cast(kind) if out.type != kind else out
 
