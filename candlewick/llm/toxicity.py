@@ -63,7 +63,7 @@ def _buckets(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     left = offsets[1:][owner] - np.arange(len(data))  # bytes from here to the word's end
     found, whose = [], []
     rolling = np.zeros(len(data), np.uint64)
-    for n in range(1, max(NGRAMS) + 1):
+    for n in range(1, min(max(NGRAMS), len(data)) + 1):
         rolling[: len(data) - n + 1] = rolling[: len(data) - n + 1] * _BASE + data[n - 1 :]
         if n in NGRAMS:
             here = np.flatnonzero(left >= n)
