@@ -109,16 +109,22 @@ def activity_score(trades: ColumnOrName, quote_volume: ColumnOrName) -> Column:
 
 
 # Sums of doubles depend on the order rows meet in, i.e. on partitioning
-# and retries.  Money-like sums and averages are accumulated exactly as
-# DECIMAL(38,8) (8 decimals = exchange precision), so results are the same
-# on every run and cluster size.
+# and retries.  Values that DECIMAL(38,8) holds without change (8 decimals =
+# exchange precision) are accumulated exactly, so such sums are the same on
+# every run and cluster size.  All others (tiny, huge, infinite) are added as
+# doubles: no value leaves the sum or the count.
 EXACT_TYPE = "decimal(38,8)"
+EXACT_LIMIT = 1e15  # 10^15 such values still fit the 38 digits
 
 
 def exact_sum(c: ColumnOrName) -> Column:
-    return F.sum(_col(c).try_cast(EXACT_TYPE)).cast("double")
+    value = _col(c).cast("double")
+    exact = value.try_cast(EXACT_TYPE)
+    fits = F.coalesce((F.abs(value) < F.lit(EXACT_LIMIT)) & (exact.cast("double") == value), F.lit(False))
+    whole = F.sum(F.when(fits, exact)).cast("double")
+    rest = F.sum(F.when(~fits, value))
+    return F.coalesce(whole + rest, whole, rest)
 
 
 def exact_avg(c: ColumnOrName) -> Column:
-    v = _col(c).try_cast(EXACT_TYPE)
-    return F.try_divide(F.sum(v).cast("double"), F.count(v).cast("double"))
+    return F.try_divide(exact_sum(c), F.count(_col(c)).cast("double"))

@@ -97,8 +97,7 @@ def dedup_by_candle_key(df: DataFrame, key: tuple[str, ...] = ("symbol", "interv
     fewest missing cells wins, remaining ties broken by the row values.
 
     Rows whose key is incomplete cannot be identified as the same candle and
-    are all kept (their partition key is extended by a hash of the whole row
-    so they do not pile up in one window partition).  ``row_number() <= 1``
+    are all kept: they pass beside the window, not through it.  ``row_number() <= 1``
     is planned with a partial WindowGroupLimit, so each map task forwards at
     most one row per key.
     """
@@ -106,10 +105,10 @@ def dedup_by_candle_key(df: DataFrame, key: tuple[str, ...] = ("symbol", "interv
     others = [c for c in df.columns if c not in key]
     incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     n_missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
-    spread = F.when(incomplete, F.xxhash64(*df.columns))
     order = [n_missing.asc()] + [F.col(c).asc_nulls_last() for c in others]
-    w = Window.partitionBy(*key, spread).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    w = Window.partitionBy(*key).orderBy(*order)
+    whole = df.filter(~incomplete).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return whole.unionByName(df.filter(incomplete))
 
 
 def unknown_symbols(df: DataFrame, known: DataFrame, col: str = "symbol") -> DataFrame:

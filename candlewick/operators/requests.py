@@ -85,6 +85,17 @@ def _prefix_offsets(totals: DataFrame, client: str) -> DataFrame:
     return totals.withColumn("_offset", F.coalesce(F.sum("_sum").over(w), F.lit(0)))
 
 
+def _flight_events(requests: DataFrame, client: str, start: str, end: str, b_us: int) -> DataFrame:
+    """+1 at each start, -1 at each end; a request without an end stays open."""
+    points = F.array(
+        F.struct(_micros(start).alias("t"), F.lit(1).cast("bigint").alias("delta")),
+        F.struct(_micros(end).alias("t"), F.lit(-1).cast("bigint").alias("delta")),
+    )
+    events = requests.filter(F.col(start).isNotNull()).select(F.col(client).alias(client), F.explode(points).alias("_e"))
+    events = events.select(client, "_e.t", "_e.delta").filter(F.col("t").isNotNull())
+    return events.withColumn("_b", F.floor(F.col("t") / F.lit(b_us)))
+
+
 def in_flight(
     requests: DataFrame,
     client: str = "client",
@@ -94,24 +105,15 @@ def in_flight(
 ) -> DataFrame:
     """Number of a client's requests in flight right after each start/end event.
 
-    A request occupies [start, end): at equal times ends are applied before
-    starts.  Returns (client, t, delta, in_flight).
+    A request occupies [start, end), or [start, ...) without an end: at equal times
+    ends are applied before starts.  Requests without a start are left out.  A NULL
+    client is a client of its own.  Returns (client, t, delta, in_flight).
     """
-    b_us = int(bucket_seconds * MICROS)
-    events = requests.select(
-        F.col(client).alias(client),
-        F.explode(
-            F.array(
-                F.struct(_micros(start).alias("t"), F.lit(1).cast("bigint").alias("delta")),
-                F.struct(_micros(end).alias("t"), F.lit(-1).cast("bigint").alias("delta")),
-            )
-        ).alias("_e"),
-    ).select(client, "_e.t", "_e.delta")
-    events = events.withColumn("_b", F.floor(F.col("t") / F.lit(b_us)))
+    events = _flight_events(requests, client, start, end, int(bucket_seconds * MICROS))
     totals = events.groupBy(client, "_b").agg(F.sum("delta").alias("_sum"))
-    offsets = _prefix_offsets(totals, client).select(client, "_b", "_offset")
+    offsets = _prefix_offsets(totals, client).select(F.col(client).alias("_c"), F.col("_b").alias("_ob"), "_offset")
     inner = Window.partitionBy(client, "_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
-    joined = events.join(offsets, [client, "_b"], "inner")
+    joined = events.join(offsets, F.col(client).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_ob")), "inner")
     return joined.select(
         client,
         "t",
@@ -127,9 +129,17 @@ def max_concurrency(
     end: str = "end_ts",
     bucket_seconds: int = 3600,
 ) -> DataFrame:
-    """Peak number of simultaneous requests per client."""
-    flights = in_flight(requests, client, start, end, bucket_seconds)
-    return flights.groupBy(client).agg(F.max("in_flight").alias("max_concurrency"))
+    """Peak number of simultaneous requests per client.
+
+    Each (client, bucket) is reduced to its sum and its highest running count; the
+    peak is the highest (sum of earlier buckets + highest running count).  No join.
+    """
+    events = _flight_events(requests, client, start, end, int(bucket_seconds * MICROS))
+    inner = Window.partitionBy(client, "_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
+    running = events.withColumn("_run", F.sum("delta").over(inner))
+    buckets = running.groupBy(client, "_b").agg(F.sum("delta").alias("_sum"), F.max("_run").alias("_top"))
+    peaks = _prefix_offsets(buckets, client)
+    return peaks.groupBy(client).agg(F.max(F.col("_offset") + F.col("_top")).alias("max_concurrency"))
 
 
 RUN_MARKER = r"^Starting .* download"
@@ -146,11 +156,12 @@ def assign_runs(log: DataFrame, marker: str = RUN_MARKER, bucket_seconds: int =
     b_us = int(bucket_seconds * MICROS)
     is_marker = F.col("message").rlike(marker).cast("bigint")
     rows = log.withColumns({"_m": is_marker, "_b": F.floor(_micros("ts") / F.lit(b_us)), "_k": F.lit(0)})
-    totals = rows.groupBy("_k", "_b").agg(F.sum("_m").alias("_sum"))
+    # lines without a stamp stay, with no run
+    totals = rows.filter(F.col("_b").isNotNull()).groupBy("_k", "_b").agg(F.sum("_m").alias("_sum"))
     offsets = _prefix_offsets(totals, "_k").select("_b", "_offset")
     inner = Window.partitionBy("_b").orderBy("ts", "line_order").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.join(offsets, "_b", "inner")
+        rows.join(offsets, "_b", "left")
         .withColumn("run", F.col("_offset") + F.sum("_m").over(inner))
         .drop("_m", "_b", "_k", "_offset")
     )

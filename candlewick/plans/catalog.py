@@ -47,7 +47,7 @@ def q_epoch_ms_to_ts(spark, sf_dir):
 def q_union_batches(spark, sf_dir):
     e = _stages(spark, sf_dir).events()
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    first = ev.candles_from_events(e.filter(F.col("ts") < cut))
+    first = ev.candles_from_events(e.filter((F.col("ts") < cut) | F.col("ts").isNull()))
     second = ev.candles_from_events(e.filter(F.col("ts") >= cut))
     return files.union_batches(first, second)
 

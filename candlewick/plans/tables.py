@@ -24,28 +24,12 @@ SEED = 42
 class Stages:
     """Lazy plans of each stage for one session and data folder.
 
-    DataFrames are immutable plans, so one instance is shared by all queries
-    on the same (session, folder): a query only adds its own operators on
-    top instead of rebuilding (and re-analysing) the whole chain.
+    One instance serves one query: files that land later are seen by the next.
     """
 
-    _shared: dict[tuple[str, str, str], "Stages"] = {}
-
-    def __new__(cls, spark: SparkSession, sf_dir: str):
-        # casts resolve their ANSI behaviour when a plan is built, so plans
-        # are shared only while that setting is unchanged
-        ansi = str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower()
-        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), ansi)
-        if key not in cls._shared:
-            obj = super().__new__(cls)
-            obj.spark = ensure_session_defaults(spark)
-            obj.sf_dir = key[1]
-            cls._shared[key] = obj
-        ensure_session_defaults(spark)
-        return cls._shared[key]
-
     def __init__(self, spark: SparkSession, sf_dir: str):
-        pass
+        self.spark = ensure_session_defaults(spark)
+        self.sf_dir = sf_dir.rstrip("/")
 
     @cached_property
     def _events(self) -> DataFrame:

@@ -8,7 +8,6 @@ session time zone, AQE) on whatever session it is given.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,11 +18,6 @@ REQUIRED_CONF = {
 
 # Settings that only affect planning and the physical plan.
 PLAN_CONF = {
-    # Constraint propagation re-derives IS NOT NULL / equality facts through
-    # every projection; on the wide text-parsing projections of the cleaning
-    # plans it cost seconds of driver time per query (and again at every AQE
-    # re-plan) while inferring nothing the scans can use.
-    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -55,6 +49,9 @@ def build_session(
         # a single machine: let AQE keep more, smaller post-shuffle partitions
         # so CPU-heavy parsing after a small shuffle still uses every core
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        # this session's own choice, never set on a caller's: on small inputs the
+        # wide text-parsing plans spend longer inferring constraints than running
+        .config("spark.sql.constraintPropagation.enabled", "false")
     )
     for key, value in {**REQUIRED_CONF, **PLAN_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
@@ -64,19 +61,12 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """The shared folder for stream state and lineage cuts (``spark.checkpoint.dir``).
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset -- local tests -- a private temporary
-    folder is created and registered.
+    There is no fallback: state in a machine's own folder would be lost with it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    local = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured

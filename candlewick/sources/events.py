@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.functions.scalar import exact_sum
+
 # unit understood by date_trunc -> (interval label, bucket length)
 INTERVALS = {
     "minute": ("1m", "INTERVAL 1 MINUTE"),
@@ -41,7 +43,6 @@ def symbol_from_event_type(c) -> F.Column:
 def bar_aggregates() -> list[F.Column]:
     """Aggregates of one candle over its events (shared by batch and streaming)."""
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    money = F.col("value").cast("decimal(18,2)")
     taker = (F.col("user_id") % 2) == 0
     first_last = event_order_key("ts", "event_id")
     return [
@@ -51,10 +52,10 @@ def bar_aggregates() -> list[F.Column]:
         F.min("value").alias("low"),
         F.max_by("value", first_last).alias("close"),
         F.sum(k).alias("_volume"),
-        F.sum(money).alias("_quote"),
+        exact_sum("value").alias("_quote"),
         F.count(F.lit(1)).alias("trade_count"),
         F.sum(F.when(taker, k)).alias("_taker_base"),
-        F.sum(F.when(taker, money)).alias("_taker_quote"),
+        exact_sum(F.when(taker, F.col("value"))).alias("_taker_quote"),
     ]
 
 
@@ -84,7 +85,7 @@ def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
 
     One row per (symbol, bucket): open/close are the first/last value by
     (ts, event_id); high/low the extremes; volume the sum of ``props.k``;
-    quote_volume the exact (DECIMAL) sum of value; trade_count the event count.
+    quote_volume the sum of value; trade_count the event count.
     The generator has no trade side, so events of even ``user_id`` stand in for
     taker-buy trades.  ``row_id`` = min(event_id) is a stable unique candle id.
     """
@@ -99,23 +100,5 @@ def candles_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
     return finish_bars(bars, unit)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a source that arrives in fewer splits than the session has
-    task slots.
-
-    A large table is read in thousands of splits and is returned unchanged
-    (no extra shuffle).  A small file with one row group is read by a single
-    task, and every narrow step after it -- JSON and regex parsing, hashing,
-    the partial aggregation -- would run on one core; spreading it first is
-    a shuffle of a few MB.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -12,8 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
-    session = build_session("local[*]", app_name="candlewick-tests", shuffle_partitions=8)
+    session = build_session("local[*]", app_name="candlewick-tests", shuffle_partitions=8, extra_conf={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     yield session
     session.stop()
