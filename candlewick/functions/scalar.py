@@ -25,6 +25,10 @@ TIMESTAMP_PATTERN = (
     r"\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)\s*$"
 )
 
+# Of such text: without seconds (a cast takes no offset then), and without an offset.
+_NO_SECONDS = r"^(.{16})(\s*(?:Z|[+-].*)?)$"
+_NO_OFFSET = r"^([^ T]+[ T][0-9:.]+)$"
+
 # Python's str.strip() also removes the ASCII separators 0x1C-0x1F, which are
 # not Unicode white space to Java.
 _EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
@@ -45,15 +49,20 @@ def safe_double(c: ColumnOrName) -> Column:
     return number.try_cast("double")
 
 
+def _utc_wall_time(micros: Column) -> Column:
+    # counting from the epoch, where a cast would go through the session's time zone
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def safe_timestamp(c: ColumnOrName) -> Column:
     """ISO-8601 text -> TIMESTAMP_NTZ holding the UTC wall-clock time.
 
-    Offsets are honoured (the instant is parsed with the session zone pinned to
-    UTC, then stored without a zone), so the result does not depend on where a
-    job runs.  Unparsable or out-of-range text -> NULL.
+    Offsets are honoured, text without one is UTC, and the session's time zone
+    plays no part.  Unparsable or out-of-range text -> NULL.
     """
     stamp = F.nullif(F.regexp_extract(_col(c).cast("string"), TIMESTAMP_PATTERN, 1), F.lit(""))
-    return stamp.try_cast("timestamp").cast("timestamp_ntz")
+    full = F.regexp_replace(F.regexp_replace(stamp, _NO_SECONDS, "$1:00$2"), _NO_OFFSET, "$1Z")
+    return _utc_wall_time(F.unix_micros(full.try_cast("timestamp")))
 
 
 def strip_unicode(c: ColumnOrName) -> Column:
@@ -67,7 +76,7 @@ def normalise_symbol(c: ColumnOrName) -> Column:
 
 def epoch_ms_to_ts(c: ColumnOrName) -> Column:
     """Epoch milliseconds (negative allowed) -> TIMESTAMP_NTZ in UTC."""
-    return F.timestamp_millis(_col(c).cast("bigint")).cast("timestamp_ntz")
+    return _utc_wall_time(_col(c).cast("bigint") * F.lit(1000).cast("bigint"))
 
 
 def to_iso_text(c: ColumnOrName, with_fraction: bool | None = None) -> Column:

@@ -112,10 +112,11 @@ def dedup_by_candle_key(df: DataFrame, key: tuple[str, ...] = ("symbol", "interv
 
 
 def unknown_symbols(df: DataFrame, known: DataFrame, col: str = "symbol") -> DataFrame:
-    """Rows whose symbol is not in the ``known`` symbol dimension (left anti join).
+    """(symbol, rows) of the symbols that the ``known`` dimension lacks, NULL included.
 
-    The dimension is small and is broadcast by AQE when its measured size is
-    under the broadcast threshold; otherwise the join stays a shuffle join.
+    Rows are counted before the anti join, so it meets one row a symbol and a symbol
+    with a third of all rows is no hot key.
     """
     dim = known.select(F.col(col).alias("_known")).distinct()
-    return df.join(dim, df[col] == dim["_known"], "left_anti")
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(dim, counts[col] == dim["_known"], "left_anti")

@@ -220,15 +220,24 @@ def _pairs(aliased: list[str]) -> list[str]:
     return out
 
 
+def inject_into_text(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
+    """Text candles (with ``row_id``) -> messy copy; a cell without a defect keeps its text as it is."""
+    fields = [c for c in FIELDNAMES if c in text.columns]
+    return defect_flags(text, seed, rates).filter(~F.col("_dropped")).select(*fields)
+
+
 def inject_defects(candles: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
     """Typed candles (with ``row_id``) -> messy all-text candle table (13 columns)."""
-    flagged = defect_flags(candles_as_text(candles), seed, rates)
-    return flagged.filter(~F.col("_dropped")).select(*FIELDNAMES)
+    return inject_into_text(candles_as_text(candles), seed, rates)
 
 
 def defect_summary(candles: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
     """The injector's counters as (metric, value) rows, from one aggregation."""
-    f = defect_flags(candles_as_text(candles), seed, rates)
+    return text_defect_summary(candles_as_text(candles), seed, rates)
+
+
+def text_defect_summary(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
+    f = defect_flags(text, seed, rates)
     kept = ~F.col("_dropped")
     one = f.agg(
         F.count_if(F.col("_copy") == 0).alias("original_rows"),

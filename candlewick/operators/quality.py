@@ -92,6 +92,19 @@ def symbol_domain(raw: DataFrame) -> DataFrame:
     )
 
 
+def symbol_lists(raw: DataFrame) -> DataFrame:
+    """(stage, symbol, rows): every distinct symbol before and after normalisation, NULL left out.
+
+    Rows are counted as they came first; the normalised list is summed from those counts.
+    """
+    before = raw.where(F.col("symbol").isNotNull()).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    forms = F.array(
+        F.struct(F.lit("before").alias("stage"), F.col("symbol").alias("symbol")),
+        F.struct(F.lit("after").alias("stage"), scalar.normalise_symbol("symbol").alias("symbol")),
+    )
+    return before.select(F.explode(forms).alias("_s"), "rows").groupBy("_s.stage", "_s.symbol").agg(F.sum("rows").alias("rows"))
+
+
 def dq_report(raw: DataFrame, rule: str = "parity") -> DataFrame:
     """Before/after report of ``clean_candles`` as (position, metric, value) rows.
 

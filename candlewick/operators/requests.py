@@ -36,17 +36,10 @@ def rate_window_counts(
     window_seconds: int = 60,
     cap: int = 100,
     bucket_seconds: int | None = None,
-    id_col: str | None = None,
 ) -> DataFrame:
     """Adds ``in_window`` = requests of the same client in (ts - W, ts] and
     ``over_limit`` = in_window > cap.  Equal timestamps count each other.
 
-    With ``id_col`` (arrival order among equal timestamps) it also adds
-    ``wait_seconds``: how long a limiter allowing ``cap`` requests per window
-    would hold this request -- until the cap-th earlier request leaves the
-    window, i.e. max(0, t[cap back] + W - t).  That earlier request is inside
-    the same (client, bucket) partition whenever the wait is positive.
-
     Rows are partitioned by (client, time bucket).  Each row is also copied
     into the next ceil(W / B) buckets, so every frame lies inside one
     partition; a narrower bucket (``bucket_seconds`` < W) bounds the size of
@@ -61,12 +54,6 @@ def rate_window_counts(
     )
     frame = Window.partitionBy(client, "_b").orderBy("_t").rangeBetween(-(w_us - 1), 0)
     counted = copies.withColumn("in_window", F.count(F.lit(1)).over(frame))
-    if id_col is not None:
-        arrival = Window.partitionBy(client, "_b").orderBy("_t", id_col)
-        held = F.lag("_t", cap).over(arrival) + F.lit(w_us) - F.col("_t")
-        counted = counted.withColumn(
-            "wait_seconds", F.coalesce(F.greatest(held, F.lit(0)), F.lit(0)) / F.lit(float(MICROS))
-        )
     counted = counted.filter(F.col("_shift") == 0)
     return counted.drop("_t", "_b", "_shift").withColumn("over_limit", F.col("in_window") > F.lit(cap))
 
@@ -172,10 +159,13 @@ def request_latency(log: DataFrame) -> DataFrame:
 
     The request key is ``request_id`` when the log carries one; otherwise
     (the plain START/END format) it is the download ``run`` from
-    ``assign_runs`` -- one request per symbol and run.  A hash aggregate on
+    ``assign_runs`` -- one request per symbol and run -- which is worked out here
+    when the log has a ``line_order`` and no ``run``.  A hash aggregate on
     (symbol, key): no ordering and no per-symbol partition.
     """
     key = F.col("request_id")
+    if "run" not in log.columns and "line_order" in log.columns:
+        log = assign_runs(log)
     if "run" in log.columns:
         key = F.coalesce(key, F.col("run"))
     req = log.filter(F.col("kind").isin("START", "END", "ERROR")).withColumn("_key", key).filter(F.col("_key").isNotNull())

@@ -73,9 +73,16 @@ def widest_candle(sample: DataFrame) -> DataFrame:
 
 
 def sample_vs_full(sample: DataFrame, full: DataFrame) -> DataFrame:
-    """Per-symbol average close in the sample against the full table."""
-    s = sample.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("sample_avg_close"))
-    f = full.filter(F.col("close").isNotNull()).groupBy("symbol").agg(exact_avg("close").alias("full_avg_close"))
+    """Per-symbol average close, average volume and row count in the sample against the full table."""
+
+    def averages(df: DataFrame, prefix: str) -> DataFrame:
+        return df.groupBy("symbol").agg(
+            exact_avg("close").alias(f"{prefix}_avg_close"),
+            exact_avg("volume").alias(f"{prefix}_avg_volume"),
+            F.count(F.lit(1)).alias(f"{prefix}_rows"),
+        ).filter(F.col(f"{prefix}_avg_close").isNotNull())
+
+    s, f = averages(sample, "sample"), averages(full, "full")
     diff = F.col("sample_avg_close") - F.col("full_avg_close")
     out = f.join(s, "symbol", "inner").select(
         "symbol",
@@ -83,5 +90,9 @@ def sample_vs_full(sample: DataFrame, full: DataFrame) -> DataFrame:
         "sample_avg_close",
         diff.alias("abs_diff"),
         (F.try_divide(diff, F.col("full_avg_close")) * F.lit(100)).alias("pct_diff"),
+        "full_avg_volume",
+        "sample_avg_volume",
+        "full_rows",
+        "sample_rows",
     )
     return sorted_small(out, "symbol")

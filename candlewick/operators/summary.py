@@ -74,8 +74,8 @@ def market_summary(df: DataFrame, decimals: int | None = None) -> DataFrame:
     return kept.orderBy("symbol_activity_rank")
 
 
-def summary_interpretation(summary: DataFrame) -> DataFrame:
-    """One sentence per symbol naming its two ranks; the leaders are marked."""
+def with_interpretation(summary: DataFrame) -> DataFrame:
+    """The summary plus ``interpretation``: one sentence per symbol naming its two ranks; the leaders are marked."""
     a, v = F.col("symbol_activity_rank"), F.col("volatility_rank")
     note = F.concat(
         F.col("symbol"),
@@ -84,7 +84,11 @@ def summary_interpretation(summary: DataFrame) -> DataFrame:
         F.when(a == 1, F.lit(" (most active)")).otherwise(F.lit("")),
         F.when(v == 1, F.lit(" (most volatile)")).otherwise(F.lit("")),
     )
-    return summary.select("symbol", "symbol_activity_rank", "volatility_rank", note.alias("interpretation"))
+    return summary.withColumn("interpretation", note)
+
+
+def summary_interpretation(summary: DataFrame) -> DataFrame:
+    return with_interpretation(summary).select("symbol", "symbol_activity_rank", "volatility_rank", "interpretation")
 
 
 def top_symbols(summary: DataFrame) -> DataFrame:

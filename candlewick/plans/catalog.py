@@ -127,8 +127,7 @@ def q_dedup_by_candle_key(spark, sf_dir):
 
 def q_unknown_symbols(spark, sf_dir):
     s = _stages(spark, sf_dir)
-    unknown = clean.unknown_symbols(s.messy(), s.candles().select("symbol"))
-    return unknown.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    return clean.unknown_symbols(s.messy(), s.candles().select("symbol"))
 
 
 # ---------------------------------------------------------------- derived columns
@@ -167,6 +166,10 @@ def q_symbol_domain(spark, sf_dir):
     return quality.symbol_domain(_stages(spark, sf_dir).messy())
 
 
+def q_symbol_lists(spark, sf_dir):
+    return quality.symbol_lists(_stages(spark, sf_dir).messy())
+
+
 def q_dq_report(spark, sf_dir):
     return quality.dq_report(_stages(spark, sf_dir).messy())
 
@@ -224,6 +227,14 @@ def q_busiest_hour_by_trades(spark, sf_dir):
     return rankings.busiest_hour_by_trades(_stages(spark, sf_dir).featured())
 
 
+def q_busiest_hour_by_quote_volume(spark, sf_dir):
+    return rankings.busiest_hour(_stages(spark, sf_dir).featured(), by="total_quote_volume")
+
+
+def q_busiest_date_by_trades(spark, sf_dir):
+    return rankings.busiest_date(_stages(spark, sf_dir).featured(), by="total_trades")
+
+
 def q_busiest_date_by_quote_volume(spark, sf_dir):
     return rankings.busiest_date_by_quote_volume(_stages(spark, sf_dir).featured())
 
@@ -232,6 +243,10 @@ def q_market_summary(spark, sf_dir):
     return summary.market_summary(_stages(spark, sf_dir).featured())
 
 
+def q_summary_with_interpretation(spark, sf_dir):
+    return summary.with_interpretation(summary.market_summary(_stages(spark, sf_dir).featured()))
+
+
 def q_summary_interpretation(spark, sf_dir):
     return summary.summary_interpretation(summary.market_summary(_stages(spark, sf_dir).featured()))
 
@@ -273,7 +288,12 @@ def q_sample_vs_full(spark, sf_dir):
 # ---------------------------------------------------------------- request log
 def q_rate_window_counts(spark, sf_dir):
     r = _stages(spark, sf_dir).requests().select("request_id", "client", F.col("start_ts").alias("ts"))
-    return requests.rate_window_counts(r, "client", "ts", window_seconds=RATE_WINDOW_S, cap=RATE_CAP, id_col="request_id")
+    return requests.rate_window_counts(r, "client", "ts", window_seconds=RATE_WINDOW_S, cap=RATE_CAP)
+
+
+def q_rate_window_minute(spark, sf_dir):
+    r = _stages(spark, sf_dir).requests().select("request_id", "client", F.col("start_ts").alias("ts"))
+    return requests.rate_window_counts(r, "client", "ts", window_seconds=60, cap=100)
 
 
 def q_max_concurrency(spark, sf_dir):

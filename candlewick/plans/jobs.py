@@ -36,11 +36,15 @@ class IngestFailed(RuntimeError):
 
 def collect(spark: SparkSession, landing: str, out: str, symbols: list[str] | None = None, limit: int = LIMIT) -> None:
     ensure_session_defaults(spark)
-    candles = klines.decode_klines(klines.scan_kline_files(spark, landing))
+    payloads = klines.scan_kline_files(spark, landing)
+    candles = klines.decode_klines(payloads)
     text = candles.select(
         *[(to_iso_text(c) if c in TIME_COLS else F.col(c).cast("string")).alias(c) for c in FIELDNAMES]
     )
     sinks.write_csv(text, os.path.join(out, "candles"))
+    sinks.write_csv(klines.kline_rejects(payloads), os.path.join(out, "rejects"))
+    # what was written is counted; the payloads are not decoded again
+    candles = files.scan_messy(spark, os.path.join(out, "candles")).select("symbol")
     expected = ingest.expected_symbols_frame(spark, symbols or SYMBOLS)
     status = ingest.ingest_status(candles, expected, limit)
     sinks.write_csv(status, os.path.join(out, "ingest_status"), single_file=True)
@@ -49,21 +53,27 @@ def collect(spark: SparkSession, landing: str, out: str, symbols: list[str] | No
     )
     failures = ingest.ingest_failures(spark.read.option("header", True).csv(os.path.join(out, "ingest_status"))).first()["failures"]
     if failures:
-        raise IngestFailed(f"{failures} symbol(s) missing or short; see {out}/ingest_status")
+        raise IngestFailed(f"{failures} symbol(s) missing; see {out}/ingest_status")
 
 
 def mess(spark: SparkSession, candles_csv: str, out: str, seed: int = 42) -> None:
-    """Candle CSV (as written by ``collect``) -> messy CSV + counters."""
+    """Candle CSV (as written by ``collect``) -> messy CSV + counters.
+
+    Cells without a defect are written as they were read."""
     ensure_session_defaults(spark)
-    typed = clean.coerce_timestamp(clean.coerce_numeric(files.scan_messy(spark, candles_csv)))
+    text = files.scan_messy(spark, candles_csv)
     # a stable row id from the candle key, so the defects are repeatable
-    rid = F.pmod(F.xxhash64("symbol", "interval", "open_time"), F.lit(1 << 47))
-    typed = typed.withColumn("row_id", rid)
-    sinks.write_csv(defects.inject_defects(typed, seed=seed), os.path.join(out, "messy"))
-    sinks.write_csv(defects.defect_summary(typed, seed=seed), os.path.join(out, "defect_summary"), single_file=True)
+    key = [c for c in ("symbol", "interval", "open_time") if c in text.columns]
+    text = text.withColumn("row_id", F.pmod(F.xxhash64(*key), F.lit(1 << 47)))
+    sinks.write_csv(defects.inject_into_text(text, seed=seed), os.path.join(out, "messy"))
+    sinks.write_csv(defects.text_defect_summary(text, seed=seed), os.path.join(out, "defect_summary"), single_file=True)
+
 
+def clean_job(spark: SparkSession, messy_csv: str, out: str, strict: bool = False, sample_size: int = 5) -> None:
+    """Messy CSV -> cleaned table (Parquet and CSV), reports, sample.
 
-def clean_job(spark: SparkSession, messy_csv: str, out: str, strict: bool = False) -> None:
+    Raises ``ValueError`` after writing all else if a symbol has fewer than
+    ``sample_size`` complete rows."""
     ensure_session_defaults(spark)
     raw = files.scan_nonempty(spark, messy_csv)
     cleaned = clean.clean_candles_strict(raw) if strict else clean.clean_candles(raw)
@@ -72,14 +82,19 @@ def clean_job(spark: SparkSession, messy_csv: str, out: str, strict: bool = Fals
     sinks.write_csv(quality.missing_by_column(raw), os.path.join(out, "missing_by_column"), single_file=True)
     sinks.write_csv(quality.invalid_by_column(raw), os.path.join(out, "invalid_by_column"), single_file=True)
     written = spark.read.parquet(os.path.join(out, "cleaned"))
-    s = sample.balanced_sample(written, n=5, seed=42)
+    sinks.write_csv(written, os.path.join(out, "cleaned_csv"))
+    sinks.write_csv(quality.symbol_lists(raw), os.path.join(out, "symbol_lists"), single_file=True)
+    s = sample.balanced_sample(written, n=sample_size, seed=42)
     sinks.write_csv(s, os.path.join(out, "sample"), single_file=True)
     sinks.write_csv(sample.sample_vs_full(s, written), os.path.join(out, "sample_vs_full"), single_file=True)
+    sample.require_full_sample(s, sample_size)
 
 
-def analyse(spark: SparkSession, cleaned_parquet: str, out: str, decimals: int | None = 2) -> None:
+def analyse(spark: SparkSession, cleaned: str, out: str, decimals: int | None = 2, csv: bool = False) -> None:
+    """Cleaned table (Parquet, or CSV with ``csv``) -> rankings and the market summary."""
     ensure_session_defaults(spark)
-    df = derive.time_features(derive.ensure_derived(spark.read.parquet(cleaned_parquet)))
+    table = files.scan_cleaned(spark, cleaned) if csv else spark.read.parquet(cleaned)
+    df = derive.time_features(derive.ensure_derived(table))
     outputs = {
         "avg_close_by_symbol": rankings.avg_close_by_symbol(df, decimals),
         "avg_volume_by_symbol": rankings.avg_volume_by_symbol(df, decimals),
@@ -89,12 +104,18 @@ def analyse(spark: SparkSession, cleaned_parquet: str, out: str, decimals: int |
         "activity_by_hour": rankings.activity_by_hour(df),
         "activity_by_date": rankings.activity_by_date(df),
         "busiest_hour": rankings.busiest_hour(df),
+        "busiest_hour_by_trades": rankings.busiest_hour(df, by="total_trades"),
+        "busiest_hour_by_quote_volume": rankings.busiest_hour(df, by="total_quote_volume"),
         "busiest_date": rankings.busiest_date(df),
+        "busiest_date_by_trades": rankings.busiest_date(df, by="total_trades"),
+        "busiest_date_by_quote_volume": rankings.busiest_date(df, by="total_quote_volume"),
     }
     for name, frame in outputs.items():
         sinks.write_csv(frame, os.path.join(out, name), single_file=True)
-    sinks.write_summary(summary.market_summary(df, decimals), os.path.join(out, "market_summary"))
+    ranked = summary.with_interpretation(summary.market_summary(df, decimals))
+    sinks.write_summary(ranked, os.path.join(out, "market_summary"))
     written = spark.read.option("header", True).option("inferSchema", False).csv(os.path.join(out, "market_summary"))
+    sinks.write_csv(summary.top_symbols(written), os.path.join(out, "top_symbols"), single_file=True)
     sinks.write_csv(written.select("symbol", "symbol_activity_rank", "volatility_rank"), os.path.join(out, "ranks"), single_file=True)
 
 
@@ -106,6 +127,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--limit", type=int, default=LIMIT)
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--strict", action="store_true")
+    parser.add_argument("--csv", action="store_true", help="analyse: the cleaned table is CSV")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"candlewick-{args.job}").getOrCreate()
     if args.job == "collect":
@@ -115,7 +137,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "clean":
         clean_job(spark, args.input, args.output, strict=args.strict)
     else:
-        analyse(spark, args.input, args.output)
+        analyse(spark, args.input, args.output, csv=args.csv)
 
 
 if __name__ == "__main__":

@@ -371,6 +371,10 @@ def oracle_sql() -> dict[str, str]:
     sql["symbol_domain"] = _q(
         f"SELECT count(DISTINCT symbol) AS symbols_before, count(DISTINCT {normalise_sql('symbol')}) AS symbols_after FROM messy"
     )
+    sql["symbol_lists"] = _q(
+        f"""SELECT 'before' AS stage, symbol, count(*) AS rows FROM messy WHERE symbol IS NOT NULL GROUP BY symbol
+        UNION ALL SELECT 'after', {normalise_sql('symbol')}, count(*) FROM messy WHERE symbol IS NOT NULL GROUP BY {normalise_sql('symbol')}"""
+    )
     bad_num = " + ".join(f"CAST({qi(c)} IS NOT NULL AND {safe_double_sql(qi(c))} IS NULL AS BIGINT)" for c in NUMERIC_COLS)
     bad_ts = " + ".join(f"CAST({qi(c)} IS NOT NULL AND {safe_ts_sql(qi(c))} IS NULL AS BIGINT)" for c in TIME_COLS)
     report = [
@@ -407,10 +411,22 @@ def oracle_sql() -> dict[str, str]:
     sql["busiest_hour"] = _q(_activity_by("trade_hour", "hour_activity_score") + " ORDER BY hour_activity_score DESC NULLS LAST, trade_hour LIMIT 1")
     sql["busiest_date"] = _q(_activity_by("trade_date", "date_activity_score") + " ORDER BY date_activity_score DESC NULLS LAST, trade_date LIMIT 1")
     sql["busiest_hour_by_trades"] = _q(_activity_by("trade_hour", "hour_activity_score") + " ORDER BY total_trades DESC NULLS LAST, trade_hour LIMIT 1")
+    sql["busiest_hour_by_quote_volume"] = _q(
+        _activity_by("trade_hour", "hour_activity_score") + " ORDER BY total_quote_volume DESC NULLS LAST, trade_hour LIMIT 1"
+    )
+    sql["busiest_date_by_trades"] = _q(_activity_by("trade_date", "date_activity_score") + " ORDER BY total_trades DESC NULLS LAST, trade_date LIMIT 1")
     sql["busiest_date_by_quote_volume"] = _q(
         _activity_by("trade_date", "date_activity_score") + " ORDER BY total_quote_volume DESC NULLS LAST, trade_date LIMIT 1"
     )
     sql["market_summary"] = _q(", " + _summary_sql().strip() + " SELECT * FROM summary")
+    sql["summary_with_interpretation"] = _q(
+        ", " + _summary_sql().strip()
+        + """ SELECT *,
+               symbol || ': activity #' || CAST(symbol_activity_rank AS VARCHAR) || ', volatility #' || CAST(volatility_rank AS VARCHAR)
+               || CASE WHEN symbol_activity_rank = 1 THEN ' (most active)' ELSE '' END
+               || CASE WHEN volatility_rank = 1 THEN ' (most volatile)' ELSE '' END AS interpretation
+        FROM summary"""
+    )
     sql["summary_interpretation"] = _q(
         ", " + _summary_sql().strip()
         + """ SELECT symbol, symbol_activity_rank, volatility_rank,
@@ -436,10 +452,11 @@ def oracle_sql() -> dict[str, str]:
     sql["widest_candle"] = _q(s + " SELECT * FROM sample ORDER BY price_range DESC NULLS LAST, symbol ASC NULLS FIRST, sample_rank ASC LIMIT 1")
     sql["sample_vs_full"] = _q(
         s
-        + f""", sa AS (SELECT symbol, {xavg('close')} AS sample_avg_close FROM sample WHERE close IS NOT NULL GROUP BY symbol),
-        fa AS (SELECT symbol, {xavg('close')} AS full_avg_close FROM cleaned WHERE close IS NOT NULL GROUP BY symbol)
+        + f""", sa AS (SELECT symbol, {xavg('close')} AS sample_avg_close, {xavg('volume')} AS sample_avg_volume, count(*) AS sample_rows FROM sample GROUP BY symbol HAVING count(close) > 0),
+        fa AS (SELECT symbol, {xavg('close')} AS full_avg_close, {xavg('volume')} AS full_avg_volume, count(*) AS full_rows FROM cleaned GROUP BY symbol HAVING count(close) > 0)
         SELECT fa.symbol, full_avg_close, sample_avg_close, sample_avg_close - full_avg_close AS abs_diff,
-               (CASE WHEN full_avg_close = 0 THEN NULL ELSE (sample_avg_close - full_avg_close) / full_avg_close END) * 100 AS pct_diff
+               (CASE WHEN full_avg_close = 0 THEN NULL ELSE (sample_avg_close - full_avg_close) / full_avg_close END) * 100 AS pct_diff,
+               full_avg_volume, sample_avg_volume, full_rows, sample_rows
         FROM fa JOIN sa ON fa.symbol = sa.symbol"""
     )
 
@@ -448,11 +465,14 @@ def oracle_sql() -> dict[str, str]:
     sql["rate_window_counts"] = _q(
         f"""SELECT request_id, client, start_ts AS ts,
                count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) AS in_window,
-               count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) > {RATE_CAP} AS over_limit,
-               coalesce(greatest(lag(epoch_us(start_ts), {RATE_CAP}) OVER (PARTITION BY client ORDER BY epoch_us(start_ts), request_id)
-                                 + {w_us} - epoch_us(start_ts), 0), 0) / 1000000.0 AS wait_seconds
+               count(*) OVER (PARTITION BY client ORDER BY epoch_us(start_ts) RANGE BETWEEN {w_us - 1} PRECEDING AND CURRENT ROW) > {RATE_CAP} AS over_limit
         FROM requests"""
     )
+    sql["rate_window_minute"] = _q(
+        """, stamped AS (SELECT request_id, client, start_ts AS ts, epoch_us(start_ts) AS t FROM requests)
+        SELECT request_id, client, ts, in_window, in_window > 100 AS over_limit FROM (
+            SELECT *, count(*) OVER (PARTITION BY client ORDER BY t RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS in_window FROM stamped)"""
+    )
     sql["max_concurrency"] = _q(
         """, ev AS (SELECT client, epoch_us(start_ts) AS t, 1 AS d FROM requests
                  UNION ALL SELECT client, epoch_us(end_ts) AS t, -1 AS d FROM requests)

@@ -29,34 +29,63 @@ KLINE_POSITIONS = {
     "taker_buy_quote_volume": 10,
 }
 
+#: Milliseconds beyond this do not fit a timestamp in microseconds.
+MAX_EPOCH_MS = 9_000_000_000_000_000
+
+
+def _records(payload_col: str) -> F.Column:
+    return F.from_json(F.col(payload_col), "array<array<string>>")
+
 
 def decode_klines(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """(symbol, interval, payload) -> one typed candle row per record.
 
     ``from_json`` as ARRAY<ARRAY<STRING>> keeps both number and string
-    elements as text; each field is then cast by position.
+    elements as text; each field is then cast by position.  An element that is
+    absent or is no number becomes NULL; payloads and records that could not be
+    read whole are listed by ``kline_rejects``.
     """
-    records = payloads.select(
-        "symbol",
-        "interval",
-        F.explode(F.from_json(F.col(payload_col), "array<array<string>>")).alias("_r"),
-    )
+    records = payloads.select("symbol", "interval", F.explode(_records(payload_col)).alias("_r"))
 
     def at(name: str) -> F.Column:
-        return F.col("_r").getItem(KLINE_POSITIONS[name])
+        return F.get(F.col("_r"), F.lit(KLINE_POSITIONS[name]))
+
+    def stamp(name: str) -> F.Column:
+        ms = at(name).try_cast("bigint")
+        return epoch_ms_to_ts(F.when(F.abs(ms) <= MAX_EPOCH_MS, ms))
 
     typed = {
         "symbol": F.col("symbol"),
         "interval": F.col("interval"),
-        "open_time": epoch_ms_to_ts(at("open_time").cast("bigint")),
-        "close_time": epoch_ms_to_ts(at("close_time").cast("bigint")),
-        "trade_count": at("trade_count").cast("bigint"),
+        "open_time": stamp("open_time"),
+        "close_time": stamp("close_time"),
+        "trade_count": at("trade_count").try_cast("bigint"),
     }
     for name in ("open", "high", "low", "close", "volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume"):
-        typed[name] = at(name).cast("double")
+        typed[name] = at(name).try_cast("double")
     return records.select(*[typed[c].alias(c) for c in FIELDNAMES])
 
 
+def kline_rejects(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """(symbol, interval, reason, content) of what ``decode_klines`` could not read whole.
+
+    A payload that is no JSON array of arrays is returned as it came; it gives no candle.
+    A record with too few elements, or one that is no number, is returned by itself.
+    """
+    parsed = payloads.select("symbol", "interval", F.col(payload_col).alias("_p"), _records(payload_col).alias("_rs"))
+    whole = F.struct(F.lit("payload").alias("reason"), F.col("_p").alias("content"))
+    last = max(KLINE_POSITIONS.values())
+
+    def unread(r: F.Column) -> F.Column:
+        fields = F.slice(r, 1, last + 1)
+        return r.isNull() | (F.size(r) <= last) | F.exists(fields, lambda v: v.try_cast("double").isNull())
+
+    bad = F.transform(F.filter("_rs", unread), lambda r: F.struct(F.lit("record").alias("reason"), F.to_json(r).alias("content")))
+    return parsed.select("symbol", "interval", F.explode(F.when(F.col("_rs").isNull(), F.array(whole)).otherwise(bad)).alias("_x")).select(
+        "symbol", "interval", "_x.reason", "_x.content"
+    )
+
+
 def scan_kline_files(spark: SparkSession, path: str, interval: str = "1h") -> DataFrame:
     """Landed payload files, one JSON payload per file named ``<SYMBOL>.json``.
 

@@ -6,9 +6,11 @@ keep landing, the same stage runs incrementally:
 * ``stream_candles`` -- event files -> hourly candles, a windowed aggregation
   with a watermark, so a candle is emitted once (append mode) when no more
   events can arrive for it and its state is then dropped;
-* ``stream_klines`` -- landed payload files -> decoded candles, de-duplicated
-  on the candle key within the watermark (a payload delivered twice does not
-  count a candle twice; state is bounded by the watermark).
+* ``stream_klines`` -- landed payload files -> decoded candles;
+  ``start_klines_to_parquet`` appends those that the stored table does not hold
+  yet, so a payload delivered twice, however late, counts its candles once and no
+  candle of a late payload is lost.  There is no state to keep: each trigger is
+  compared with the stored candles of its own time range.
 
 Both reuse the batch expressions.  Checkpoints go to the shared folder named
 by ``spark.checkpoint.dir`` (see ``session.checkpoint_dir``), so a restarted
@@ -18,11 +20,13 @@ query or a lost executor resumes from committed offsets and state.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlewick.schema import FIELDNAMES
 from candlewick.session import checkpoint_dir, ensure_session_defaults
 from candlewick.sources.events import INTERVALS, bar_aggregates, finish_bars, symbol_from_event_type
 from candlewick.sources.klines import decode_klines
@@ -58,19 +62,51 @@ def stream_candles(
     return finish_bars(bars, unit)
 
 
-def stream_klines(spark: SparkSession, landing_path: str, interval: str = "1h", lateness: str = "2 hours") -> DataFrame:
-    """Streaming decode of landed payload files (``<SYMBOL>.json``), de-duplicated per candle."""
+def stream_klines(spark: SparkSession, landing_path: str, interval: str = "1h") -> DataFrame:
+    """Streaming decode of landed payload files (``<SYMBOL>.json``), copies included."""
     ensure_session_defaults(spark)
     raw = spark.readStream.option("wholetext", True).text(landing_path)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
     payloads = raw.select(F.upper(name).alias("symbol"), F.lit(interval).alias("interval"), F.col("value").alias("payload"))
-    decoded = decode_klines(payloads)
-    timed = decoded.withColumn("_event_time", F.col("open_time").cast("timestamp"))
-    return (
-        timed.withWatermark("_event_time", lateness)
-        .dropDuplicatesWithinWatermark(["symbol", "interval", "open_time"])
-        .drop("_event_time")
-    )
+    return decode_klines(payloads)
+
+
+def new_candles(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Candles of ``batch`` whose key ``stored`` does not hold, one row a key.
+
+    Of copies with one key the stored one stays.  Rows without an open time are copies
+    only if all their cells are equal.
+    """
+    key = ["symbol", "interval", "open_time", "_cells"]
+    cells = F.when(F.col("open_time").isNull(), F.to_json(F.struct(*FIELDNAMES)))
+    span = batch.agg(F.min("open_time"), F.max("open_time")).first()
+    held = stored.where(F.col("open_time").between(*[F.lit(t) for t in span]) | F.col("open_time").isNull())
+    held = held.withColumn("_cells", cells).select(*[F.col(c).alias(f"_held_{c}") for c in key])
+    fresh = batch.withColumn("_cells", cells).dropDuplicates(key)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in key])
+    return fresh.join(held, same, "left_anti").drop("_cells")
+
+
+def start_klines_to_parquet(stream: DataFrame, output_path: str, name: str, trigger_available_now: bool = True) -> StreamingQuery:
+    """Append each trigger's new candles to ``output_path``, in a folder ``batch_id=N`` of its own.
+
+    A trigger that is run again after a failure replaces its folder and is compared only
+    with the folders of earlier triggers, so its result is the same.
+    """
+    spark = stream.sparkSession
+    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        # an empty frame makes the folder, so the first trigger can read it
+        batch.limit(0).write.mode("append").parquet(output_path)
+        stored = session.read.schema(f"{columns}, batch_id BIGINT").parquet(output_path).where(F.col("batch_id") < batch_id).drop("batch_id")
+        new_candles(batch, stored).write.mode("overwrite").parquet(os.path.join(output_path, f"batch_id={batch_id}"))
+
+    writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
+    writer = writer.trigger(availableNow=True) if trigger_available_now else writer
+    return writer.start()
 
 
 def start_to_parquet(stream: DataFrame, output_path: str, name: str, trigger_available_now: bool = True) -> StreamingQuery:

@@ -6,6 +6,7 @@ import os
 import pytest
 
 from candlewick.plans import jobs
+from candlewick.schema import FIELDNAMES
 from candlewick.sources.events import candles_from_events
 from candlewick.sources.klines import encode_klines
 from conftest import SF_SMALL
@@ -32,13 +33,39 @@ def test_collect_mess_clean_analyse(spark, landed, tmp_path):
     jobs.mess(spark, f"{out}/collect/candles", f"{out}/mess", seed=42)
     messy = glob.glob(f"{out}/mess/messy/part-*.csv")
     assert messy
-    jobs.clean_job(spark, f"{out}/mess/messy", f"{out}/clean")
+    # the smallest table has few candles a symbol; see the next test for a sample that falls short
+    jobs.clean_job(spark, f"{out}/mess/messy", f"{out}/clean", sample_size=1)
     report = {r["metric"]: int(r["value"]) for r in spark.read.option("header", True).csv(f"{out}/clean/dq_report").collect()}
     assert report["rows_after"] == spark.read.parquet(f"{out}/clean/cleaned").count()
     jobs.analyse(spark, f"{out}/clean/cleaned", f"{out}/analyse")
     summary = spark.read.option("header", True).csv(f"{out}/analyse/market_summary")
     assert summary.count() == len(symbols)
+    assert "interpretation" in summary.columns
     assert os.path.exists(f"{out}/analyse/busiest_hour")
+    jobs.analyse(spark, f"{out}/clean/cleaned_csv", f"{out}/analyse_csv", csv=True)
+    again = spark.read.option("header", True).csv(f"{out}/analyse_csv/market_summary")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, summary.collect()))
+
+
+def test_mess_leaves_other_cells_as_they_are(spark, tmp_path):
+    path = tmp_path / "candles"
+    path.mkdir()
+    odd = ["0.0000000012345", "n/a", "1e31", "007"]
+    lines = [f"S{i},{v},2026-06-01T00:00:00+00:00" for i, v in enumerate(odd * 25)]
+    (path / "part-0.csv").write_text("\n".join(["symbol,open,open_time", *lines]) + "\n")
+    jobs.mess(spark, str(path), str(tmp_path / "out"))
+    opens = {r["open"] for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "messy")).collect()}
+    assert set(odd) <= opens
+    assert opens - set(odd) <= {None, "not_available", "error", "missing", "unknown"}
+
+
+def test_clean_job_raises_for_a_short_sample_after_writing(spark, tmp_path):
+    path = tmp_path / "messy"
+    path.mkdir()
+    (path / "part-0.csv").write_text(",".join(FIELDNAMES) + "\nA,1h,2026-06-01T00:00:00Z,1,2,0.5,1,9,2026-06-01T00:59:59Z,9,3,1,1\n")
+    with pytest.raises(ValueError, match="fewer than 5"):
+        jobs.clean_job(spark, str(path), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "cleaned")).count() == 1
 
 
 def test_collect_fails_after_writing_when_symbols_missing(spark, landed, tmp_path):

@@ -6,7 +6,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from candlewick.sources.events import candles_from_events
-from candlewick.streaming.ingest import start_to_parquet, stream_candles, stream_klines
+from candlewick.streaming.ingest import start_klines_to_parquet, start_to_parquet, stream_candles, stream_klines
 from conftest import SF_SMALL
 
 
@@ -40,7 +40,25 @@ def test_stream_klines_dedups_redelivered_payload(spark, tmp_path):
     (land / "ethusdt.json").write_text(payload)
     (land / "ETHUSDT.json.1").write_text(payload)  # the same payload delivered again
     out = str(tmp_path / "decoded")
-    q = start_to_parquet(stream_klines(spark, str(land)), out, f"klines-{os.getpid()}-{tmp_path.name}")
-    q.awaitTermination(120)
+    q = start_klines_to_parquet(stream_klines(spark, str(land)), out, f"klines-{os.getpid()}-{tmp_path.name}")
+    assert q.awaitTermination(120)
     rows = spark.read.parquet(out).filter(F.col("symbol") == "ETHUSDT").collect()
     assert len(rows) == 2
+
+
+def test_stream_klines_keeps_every_candle_of_a_later_payload(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    out = str(tmp_path / "decoded")
+
+    def deliver(name, hours):
+        records = [f'[{1782748800000 + h * 3600000}, "1", "2", "0.5", "1.5", "10", 1, "15", 3, "4", "6"]' for h in hours]
+        (land / name).write_text("[" + ", ".join(records) + ', [null, "9"]]')
+        q = start_klines_to_parquet(stream_klines(spark, str(land)), out, f"late-{os.getpid()}-{tmp_path.name}")
+        assert q.awaitTermination(120)
+
+    deliver("BTCUSDT.json", range(100))
+    deliver("ETHUSDT.json", range(100))  # as old as the first, in a later run
+    deliver("ETHUSDT.1.json", range(90, 110))  # half of it seen before
+    counts = {r["symbol"]: r["count"] for r in spark.read.parquet(out).groupBy("symbol").count().collect()}
+    assert counts == {"BTCUSDT": 101, "ETHUSDT": 111}

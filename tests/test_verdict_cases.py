@@ -55,6 +55,43 @@ def test_files_that_land_between_queries_are_seen(spark, tmp_path):
     assert Stages(spark, str(tmp_path)).events().count() == 100
 
 
+def test_times_do_not_follow_the_session_zone(spark):
+    from candlewick.functions.scalar import epoch_ms_to_ts, safe_timestamp
+
+    texts = ["2026-06-01T00:00:00+00:00", "2026-06-01 00:00", "2026-06-01T02:00:00+02:00", "2026-10-25 00:30:00Z", "2026-10-25 01:30:00Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(safe_timestamp("t").cast("string"))
+    ms = spark.range(1).select(epoch_ms_to_ts(F.lit(-1)).cast("string"))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        got, before = [r[0] for r in df.collect()], ms.first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2026-06-01 00:00:00"] * 3 + ["2026-10-25 00:30:00", "2026-10-25 01:30:00"]
+    assert before == "1969-12-31 23:59:59.999"
+
+
+def test_unknown_symbols_are_counted_before_the_join(spark):
+    from candlewick.operators.clean import unknown_symbols
+
+    rows = spark.createDataFrame([("A",), ("B",), ("B",), (None,)], "symbol string")
+    known = spark.createDataFrame([("A",), (None,)], "symbol string")
+    assert {r["symbol"]: r["rows"] for r in unknown_symbols(rows, known).collect()} == {"B": 2, None: 1}
+
+
+def test_latency_of_a_log_without_ids(spark):
+    from candlewick.operators.requests import request_latency
+    from candlewick.sources.requestlog import parse_request_log
+
+    day = "2026-07-03T08:"
+    log = [
+        "00:00Z | Starting clean market data download", "00:01Z | START request symbol=A interval=1h limit=10", "00:04Z | END request symbol=A records=10",
+        "10:00Z | Starting clean market data download", "10:01Z | START request symbol=A interval=1h limit=10", "10:03Z | END request symbol=A records=9",
+    ]
+    lines = spark.createDataFrame([(day + line,) for line in log], "value string").coalesce(1)
+    got = request_latency(parse_request_log(lines, with_line_order=True)).collect()
+    assert sorted((r["records"], r["latency_seconds"]) for r in got) == [(9, 2.0), (10, 3.0)]
+
+
 def test_stream_state_needs_a_shared_folder():
     class Session:
         conf = {}
