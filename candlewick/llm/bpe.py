@@ -21,7 +21,7 @@ import mmap
 import re
 import tempfile
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from operator import itemgetter
 
 import numpy as np
@@ -34,12 +34,20 @@ from candlewick.llm.shared import build_struct, pack, per_slice, ship_code, slic
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same words of a text that is ASCII only, for the quicker standard module.
+ASCII_WORDS = r" ?(?:[A-Za-z]++|[0-9]++)|'(?:[stmd]|re|ve|ll)| ?[^\t-\r A-Za-z0-9]++|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Words of the lexicon, and the longest word it takes (bytes): this bounds the broadcast.
 LEXICON_WORDS, LEXICON_BYTES = 65_536, 64
 #: Entries that a worker's memory of words, or a counting task's table, may reach.
 MEMORY_WORDS = 250_000
 
 
+def word_finder() -> Callable[[str], list[str]]:
+    """The words of a text, in order."""
+    plain, full = re.compile(ASCII_WORDS).findall, regex.compile(WORDS).findall
+    return lambda text: plain(text) if text.isascii() else full(text)
+
+
 def byte_symbols() -> dict[str, int]:
     """The byte-level alphabet: printable bytes stand for themselves, others for 256 and up."""
     printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
@@ -206,12 +214,17 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes and decodes texts word by word; remembers words it has seen."""
+    """Encodes and decodes texts word by word; remembers words it has seen.
+
+    A full memory forgets all words but those of the lexicon.
+    """
 
-    def __init__(self, model: BpeModel, lexicon: Lexicon | None = None, pattern: str = WORDS):
+    def __init__(self, model: BpeModel, lexicon: Lexicon | None = None):
         self.model, self.lexicon = model, lexicon
-        self.words = regex.compile(pattern).findall
+        self.words = word_finder()
         self.seen: dict[str, tuple[int, bytes, bytes]] = {}
+        self.lasting: dict[str, tuple[int, bytes, bytes]] = {}
+        self.decimals = {i: b"%d" % i for i in model.token_bytes}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(model.added, key=len, reverse=True))) + ")") if model.added else None
 
     def pieces(self, text: str) -> list[str]:
@@ -226,30 +239,29 @@ class Encoder:
                 out += self.words(part)
         return out
 
-    def ids(self, words: list[str]) -> list[np.ndarray]:
-        raw = [w.encode() for w in words]
-        place = self.lexicon.find(raw) if self.lexicon else np.full(len(raw), -1)
-        merged = iter(self.model.merge([raw[k] for k in np.flatnonzero(place < 0)]))
-        return [self.lexicon.ids[self.lexicon.offsets[p] : self.lexicon.offsets[p + 1]] if p >= 0 else next(merged) for p in place.tolist()]
+    def entry(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+        token, decimals = self.model.token_bytes, self.decimals
+        return len(ids), b",".join([decimals[i] for i in ids]), b"".join([token[i] for i in ids])
 
     def learn(self, words: set[str]) -> None:
-        if len(self.seen) + len(words) > MEMORY_WORDS:
-            self.seen.clear()
-            return self.learn_all(words)
-        return self.learn_all(words - self.seen.keys())
-
-    def learn_all(self, words: set[str]) -> None:
-        token = self.model.token_bytes
+        new = words - self.seen.keys()
+        if len(self.seen) + len(new) > MEMORY_WORDS:
+            self.seen = dict(self.lasting)
+            new = words - self.seen.keys()
         plain = []
-        for w in words:
+        for w in new:
             if w[:2] == "\0\0" and w[2:] in self.model.added:
-                number = self.model.added[w[2:]]
-                self.seen[w] = (1, b"%d" % number, token[number])
+                self.seen[w] = self.entry([self.model.added[w[2:]]])
             else:
                 plain.append(w)
-        for w, ids in zip(plain, self.ids(plain)):
-            ids = ids.tolist()
-            self.seen[w] = (len(ids), ",".join(map(str, ids)).encode(), b"".join([token[i] for i in ids]))
+        raw = [w.encode() for w in plain]
+        place = self.lexicon.find(raw) if self.lexicon else np.full(len(raw), -1)
+        for k in np.flatnonzero(place >= 0).tolist():
+            start, end = self.lexicon.offsets[place[k] : place[k] + 2]
+            self.seen[plain[k]] = self.lasting[plain[k]] = self.entry(self.lexicon.ids[start:end].tolist())
+        rest = np.flatnonzero(place < 0).tolist()
+        for k, ids in zip(rest, self.model.merge([raw[k] for k in rest])):
+            self.seen[plain[k]] = self.entry(ids.tolist())
 
     def encode(self, texts: list[str | None]) -> Iterator[list[tuple[int, bytes, bytes]]]:
         """For each text its words as (number of ids, ids as decimals, decoded bytes)."""
@@ -269,7 +281,7 @@ def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WOR
     ship_code(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, table = regex.compile(WORDS).findall, Counter()
+        find, table = word_finder(), Counter()
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(table.keys(), pa.string()), pa.array(table.values(), pa.int64())], ["word", "n"])
