@@ -6,7 +6,8 @@ mix below uses only BIGINT +, * and modulo, so any SQL engine computes the
 same values.  The formula is rendered as SQL text once and handed to Spark
 as a single expression (building it node by node from Python would cost one
 JVM round trip per node).
-Intermediate values stay below 2^41, far from BIGINT overflow.
+Intermediate values stay below 2^42, far from BIGINT overflow.  Values repeat only
+after P1 * P2 (10^12) keys.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ def _mod(a: str, m: int, dialect: str) -> str:
 
 def mix_sql(key_sql: str, salt: int, seed: int, dialect: str = "ansi") -> str:
     """The mix as SQL text (``dialect='spark'`` uses pmod)."""
-    x1 = _mod(f"{_mod(key_sql, P1, dialect)} * 7919 + {_offset(salt, seed)}", P1, dialect)
-    x2 = _mod(f"{x1} * {x1} + {12_345 * salt + 1}", P2, dialect)
+    divide = "div" if dialect == "spark" else "//"
+    turn = _mod(f"({key_sql}) {divide} {P1}", P2, dialect)  # keys above P1 repeat nothing below it
+    x1 = _mod(f"{_mod(key_sql, P1, dialect)} * 7919 + {turn} * 611953 + {_offset(salt, seed)}", P1, dialect)
+    x2 = _mod(f"{x1} * {x1} + {turn} * {7_001 + 2 * salt} + {12_345 * salt + 1}", P2, dialect)
     return _mod(f"{x2} * 7 + {x1}", RANGE, dialect)
 
 

@@ -30,6 +30,11 @@ def sorted_small(df: DataFrame, *order) -> DataFrame:
     return df.repartition(1).sortWithinPartitions(*order)
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Number the rows of a ``sorted_small`` result from 0, in the order they come."""
+    return df.withColumn("position", F.monotonically_increasing_id())
+
+
 def _display(df: DataFrame, cols: list[str], decimals: int | None) -> DataFrame:
     if decimals is None:
         return df

@@ -215,6 +215,18 @@ def q_activity_by_date(spark, sf_dir):
     return rankings.activity_by_date(_stages(spark, sf_dir).featured())
 
 
+def q_volatility_ranking_display(spark, sf_dir):
+    return rankings.volatility_ranking(_stages(spark, sf_dir).featured(), decimals=2)
+
+
+def q_avg_close_ordered(spark, sf_dir):
+    return rankings.with_position(rankings.avg_close_by_symbol(_stages(spark, sf_dir).featured(), decimals=4))
+
+
+def q_activity_by_hour_ordered(spark, sf_dir):
+    return rankings.with_position(rankings.activity_by_hour(_stages(spark, sf_dir).featured()))
+
+
 def q_busiest_hour(spark, sf_dir):
     return rankings.busiest_hour(_stages(spark, sf_dir).featured())
 

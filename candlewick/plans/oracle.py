@@ -408,6 +408,19 @@ def oracle_sql() -> dict[str, str]:
     sql["activity_ranking"] = _q(", " + _summary_sql().strip() + " SELECT * FROM act")
     sql["activity_by_hour"] = _q(_activity_by("trade_hour", "hour_activity_score"))
     sql["activity_by_date"] = _q(_activity_by("trade_date", "date_activity_score"))
+    sql["volatility_ranking_display"] = (
+        "SELECT symbol, ROUND(avg_price_range, 2) AS avg_price_range, ROUND(min_price_range, 2) AS min_price_range, "
+        "ROUND(max_price_range, 2) AS max_price_range, ROUND(stddev_price_range, 2) AS stddev_price_range, volatility_rank "
+        f"FROM ({sql['volatility_ranking']}) t"
+    )
+    sql["avg_close_ordered"] = (
+        "SELECT symbol, ROUND(avg_close, 4) AS avg_close, row_number() OVER (ORDER BY symbol NULLS FIRST) - 1 AS position "
+        f"FROM ({sql['avg_close_by_symbol']}) t"
+    )
+    sql["activity_by_hour_ordered"] = (
+        "SELECT *, row_number() OVER (ORDER BY hour_activity_score DESC NULLS LAST, trade_hour) - 1 AS position "
+        f"FROM ({sql['activity_by_hour']}) t"
+    )
     sql["busiest_hour"] = _q(_activity_by("trade_hour", "hour_activity_score") + " ORDER BY hour_activity_score DESC NULLS LAST, trade_hour LIMIT 1")
     sql["busiest_date"] = _q(_activity_by("trade_date", "date_activity_score") + " ORDER BY date_activity_score DESC NULLS LAST, trade_date LIMIT 1")
     sql["busiest_hour_by_trades"] = _q(_activity_by("trade_hour", "hour_activity_score") + " ORDER BY total_trades DESC NULLS LAST, trade_hour LIMIT 1")

@@ -65,3 +65,11 @@ def test_column_guards_skip_absent_columns(spark):
     out = defects.defect_flags(df, seed=1)
     assert out.filter(F.col("_m_time") | F.col("_m_negative")).count() == 0
     assert set(out.columns) >= {"symbol", "open"}
+
+
+def test_decisions_do_not_repeat_after_the_modulus(spark):
+    from candlewick.functions.hashing import P1, mix
+
+    pairs = spark.range(2000).select(mix("id", 11, 42).alias("a"), mix(f"(id + {P1})", 11, 42).alias("b"))
+    assert pairs.filter("a = b").count() < 20
+    assert pairs.filter("b < 0 or b >= 1000000").count() == 0
