@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import build_struct, pack, per_slice, ship_code, slices, struct_type
+from candlewick.llm.shared import build_struct, cut, most_frequent, pack, per_slice, ship_code, slices, struct_type
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -277,7 +277,7 @@ DIGEST = struct_type(n_tokens=pa.int64(), ids_sha256=pa.string(), decoded_sha256
 
 
 def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The ``limit`` most frequent words over all texts (ties by the word itself)."""
+    """The most frequent words over all texts, at most ``limit``."""
     ship_code(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,8 +298,8 @@ def frequent_words(docs: DataFrame, text: str = "text", limit: int = LEXICON_WOR
 
     counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
     short = counts.where(F.octet_length("word") <= LEXICON_BYTES)
-    top = short.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit)
-    return [r.word for r in top.collect()]
+    sums = cut(short.groupBy("word").agg(F.sum("n").alias("n")))
+    return [r.word for r in most_frequent(sums, limit).collect()]
 
 
 _ENCODERS: dict[int, Encoder] = {}

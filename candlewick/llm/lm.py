@@ -13,7 +13,7 @@ in the base score) with known counts; pairs add to that with weight ``PRIOR``:
 ``p(w | v) = (c(v w) + PRIOR * p(w)) / (c(v) + PRIOR)``.  The first word of a text has
 no pair.
 
-The base score needs exact counts.  The ``TOP_WORDS`` most frequent words are broadcast
+The base score needs exact counts.  The most frequent words (``TOP_WORDS`` at most) are broadcast
 with theirs; all other words of all texts are joined with the count table.
 
 Defined results: null text counts as empty: it has one token, the end.  With no training
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import build_struct, cut, factorize, per_slice, raw, segment_sum, ship_code, slices, struct_type
+from candlewick.llm.shared import build_struct, cut, factorize, most_frequent, per_slice, raw, segment_sum, ship_code, slices, struct_type
 
 #: The token after the last word; no word is empty.
 END = b""
@@ -301,7 +301,7 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
     total, distinct, once = int(per_level["n"].sum()), int(per_level["words"].sum()), int(per_level["once"].sum())
     known_total = float((count_of(per_level["level"].to_numpy(np.int64)) * per_level["words"].to_numpy()).sum()) if len(per_level) else 1.0
     model = LanguageModel(build_filter(learn, text), total, distinct, once, known_total)
-    top = counts.where(F.octet_length("word") <= TOP_BYTES).orderBy(F.desc("n"), "word").limit(TOP_WORDS).toPandas()
+    top = most_frequent(counts.where(F.octet_length("word") <= TOP_BYTES), TOP_WORDS).toPandas()
     shared = docs.sparkSession.sparkContext.broadcast((model, [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)))
 
     def one(texts: pa.Array) -> pa.Array:

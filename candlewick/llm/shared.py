@@ -71,6 +71,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def most_frequent(counts: DataFrame, limit: int, n: str = "n") -> DataFrame:
+    """Rows of the largest counts, at most ``limit`` in all, chosen by a threshold.
+
+    Rows are counted by level (eight to an octave), and whole levels are taken from the
+    top while they fit, so no task or driver sees more than ``limit`` rows.  ``counts``
+    is read twice: pass a written table.
+    """
+    level = F.floor(F.log2(F.col(n).cast("double")) * 8)
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+    total, least = 0, None
+    for at, rows in sizes:
+        total += rows
+        if total > limit:
+            break
+        least = at
+    return counts.where(F.lit(False) if least is None else level >= least)
+
+
 def crc_remainder(column: str | Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus`` (null counts as empty text)."""
     col = F.col(column) if isinstance(column, str) else column
