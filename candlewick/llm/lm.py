@@ -3,10 +3,10 @@
 Counts of words and word pairs over all training texts are quantised on a log scale; a
 count at level q is stored as q entries (n-gram, 1) to (n-gram, q).  A lookup probes
 level after level until one is missing, which gives the count's level: errors are
-one-sided and shrink geometrically.  The filter is cut into segments by n-gram hash:
-tasks count n-grams in sorted arrays, the shuffle brings each hash range together, and
-the task that has a range builds its segment, sized by its entries.  Segments go to the
-driver and from there to all workers; ``MAX_FILTER_BYTES`` bounds them in all.
+one-sided and shrink geometrically.  The filter is cut into segments by n-gram hash, each
+sized by its entries, and never gathered: texts are cut into units, a unit sends each of
+its distinct n-grams, with its count in training texts, to the task that has the n-gram's
+hash range; that task builds its segment, probes it and sends back the levels.
 
 Smoothing: words mix a Good-Turing share for unknown words (all of them one outcome, as
 in the base score) with known counts; pairs add to that with weight ``PRIOR``:
@@ -34,21 +34,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import build_struct, cut, factorize, most_frequent, per_slice, raw, segment_sum, ship_code, slices, struct_type
+from candlewick.llm.shared import build_struct, cut, factorize, most_frequent, raw, segment_sum, ship_code, slices, struct_type, written
 
 #: The token after the last word; no word is empty.
 END = b""
 #: Quantisation base: a count c is at level 1 + floor(log_BASE(c)).
 BASE = 1.5
 BITS_PER_ENTRY, PROBES = 8, 4
-#: Most bytes of all segments.  A larger corpus fills the filter more: it never loses an
-#: n-gram, but takes more unseen ones for seen.
-MAX_FILTER_BYTES = 256 << 20
 PRIOR = 200.0
 #: Words broadcast with exact counts, and the longest of them (bytes).
 TOP_WORDS, TOP_BYTES = 131_072, 64
-#: Entries a counting task holds before it sends them on.
-HELD_WORDS, HELD_NGRAMS = 250_000, 3_000_000
+#: Words a counting task holds before it sends them on.
+HELD_WORDS = 250_000
+#: Text of a unit (bytes).  A unit's n-grams are sent and answered together.
+UNIT_BYTES = 8 << 20
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _LOW, _HALF = np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
@@ -100,11 +99,12 @@ def entry_seeds(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return seed >> np.uint64(32), (seed & _HALF) | np.uint64(1)
 
 
-def build_segment(low: np.ndarray, counts: np.ndarray, most_bytes: int) -> bytes:
-    """The segment that holds the n-grams' quantised counts."""
+def build_segment(low: np.ndarray, counts: np.ndarray, most_bytes: int = 1 << 29) -> bytes:
+    """The segment that holds the n-grams' quantised counts, at most of the size that
+    probes can address."""
     levels = level_of(counts)
     entries = int(levels.sum())
-    size = min(most_bytes, max(64, -(-entries * BITS_PER_ENTRY // 8)), 1 << 28)
+    size = min(most_bytes, max(64, -(-entries * BITS_PER_ENTRY // 8)))
     bits = np.zeros(size * 8, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         start, step = entry_seeds(low[levels >= level], level)
@@ -174,88 +174,108 @@ def merge_counts(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     return hashes[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
-def _pack(hashes: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Sorted n-gram counts as one row a part: 5 bytes of hash and 1 of count for each;
-    counts above 255 take several entries."""
-    times = (counts + 254) // 255
-    last = np.cumsum(times) - 1
-    hashes, small = np.repeat(hashes, times), np.full(int(times.sum()), 255, np.int64)
-    small[last] = counts - 255 * (times - 1)
-    part = part_of(hashes, parts)
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    used = np.flatnonzero(np.diff(edges))
-    low = (hashes & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    body = [low[a:b].tobytes() + small[a:b].astype(np.uint8).tobytes() for a, b in zip(edges[used].tolist(), edges[used + 1].tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(used), pa.array(body, pa.binary())], ["part", "body"])
-
-
-def _unpack(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    lows, counts = [], []
-    for body in bodies:
-        n = len(body) // 6
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(body, np.uint8, 5 * n).reshape(n, 5)
-        lows.append(wide.view("<u8").ravel())
-        counts.append(np.frombuffer(body, np.uint8, n, 5 * n).astype(np.int64))
-    return merge_counts(np.concatenate(lows), np.concatenate(counts))
-
-
-def ngram_hashes(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """Of texts as word lists: distinct words, their hashes, each token's word, text
-    offsets, and the hash of each token's pair with the token before it."""
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    distinct, ids = factorize(list(chain.from_iterable(split)))
-    hashes = word_hashes(distinct)
-    token = hashes[ids]
-    pairs = pair_hash(token[:-1], token[1:])
-    return distinct, hashes, ids, offsets, pairs
-
-
-def build_filter(docs: DataFrame, text: str = "text", most_bytes: int = MAX_FILTER_BYTES) -> CountFilter:
-    """Count all words and pairs of all texts and build the filter."""
-    spark = docs.sparkSession
-    ship_code(spark)
-    parts = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+def to_planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each value: all lowest bytes, all next ones and so on."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+def from_planes(body: bytes, width: int, start: int = 0, size: int | None = None) -> np.ndarray:
+    """``size`` values from ``to_planes``; as many as the body holds without it."""
+    size = len(body) // width if size is None else size
+    wide = np.zeros((size, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(body, np.uint8, width * size, start).reshape(width, size).T
+    return wide.view("<u8").ravel()
+
+
+@dataclass
+class Unit:
+    """Some whole texts: tokens of each, which of them train, each token's word and the
+    hashes of the distinct words."""
+
+    sizes: np.ndarray
+    learn: np.ndarray
+    ids: np.ndarray
+    words: np.ndarray
+
+    def pack(self) -> dict[str, bytes]:
+        return {"sizes": to_planes(self.sizes, 4), "learn": to_planes(self.learn, 1), "ids": to_planes(self.ids, 4), "words": to_planes(self.words, 8)}
+
+    @staticmethod
+    def unpack(sizes: bytes, learn: bytes, ids: bytes, words: bytes) -> Unit:
+        return Unit(from_planes(sizes, 4).astype(np.int64), from_planes(learn, 1).astype(bool), from_planes(ids, 4).astype(np.int64), from_planes(words, 8))
+
+    def follows(self) -> np.ndarray:
+        """Tokens that are not the first of their text: a pair never crosses texts."""
+        out = np.ones(len(self.ids), bool)
+        out[np.cumsum(self.sizes) - self.sizes] = False
+        return out
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the distinct n-grams; and the place among them of each word,
+        then of each token's pair with the token before it."""
+        token = self.words[self.ids]
+        pairs = pair_hash(token[:-1], token[1:])[self.follows()[1:]]
+        grams, place = np.unique(np.concatenate([single_hash(self.words), pairs]), return_inverse=True)
+        return grams, place.ravel()
+
+    def counts(self, place: np.ndarray) -> np.ndarray:
+        """How often training texts hold each n-gram."""
+        learnt = np.repeat(self.learn, self.sizes).astype(np.float64)
+        words = np.bincount(self.ids, learnt, len(self.words))
+        return np.bincount(place, np.concatenate([words, learnt[self.follows()]])).astype(np.int64)
+
+
+_UNIT = pa.struct([(name, pa.binary()) for name in ("sizes", "learn", "ids", "words")])
+#: Bytes of hash and of count that an n-gram is sent with.
+_LOW_BYTES, _COUNT_BYTES = 5, 4
+
+
+def pack_grams(unit: int, grams: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A unit's sorted n-grams and their counts as one row a part."""
+    edges = np.searchsorted(part_of(grams, parts), np.arange(parts + 1))
+    used = np.flatnonzero(np.diff(edges))
+    low = grams & _LOW
+    body = [to_planes(low[a:b], _LOW_BYTES) + to_planes(counts[a:b], _COUNT_BYTES) for a, b in zip(edges[used].tolist(), edges[used + 1].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(used), unit)), pa.array(used), pa.array(body, pa.binary())], ["unit", "part", "body"])
+
+
+def answer_part(bodies: list[bytes]) -> list[bytes]:
+    """Build the segment of a part from all units' n-grams; the level of each n-gram of
+    each unit, one byte each."""
+    sizes = [len(b) // (_LOW_BYTES + _COUNT_BYTES) for b in bodies]
+    low = np.concatenate([from_planes(b, _LOW_BYTES, 0, n) for b, n in zip(bodies, sizes)])
+    counts = np.concatenate([from_planes(b, _COUNT_BYTES, _LOW_BYTES * n, n) for b, n in zip(bodies, sizes)]).astype(np.int64)
+    distinct, total = merge_counts(low, counts)
+    segment = build_segment(distinct[total > 0], total[total > 0])
+    found = CountFilter(np.frombuffer(segment, np.uint8), np.array([0, len(segment)])).levels(distinct)
+    levels = found.astype(np.uint8)[np.searchsorted(distinct, low)]
+    return [x.tobytes() for x in np.split(levels, np.cumsum(sizes)[:-1])]
+
+
+def gram_levels(units: DataFrame, parts: int) -> DataFrame:
+    """``(unit, part, levels)``: the levels of a unit's n-grams, part after part in the
+    order of ``Unit.grams``.  ``units``: rows of ``unit`` and a packed ``Unit``."""
+    ship_code(units.sparkSession)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(0)):
-                _, hashes, ids, offsets, pairs = ngram_hashes([split_words(t) for t in raw(part)])
-                inside = np.ones(len(pairs), bool)
-                inside[offsets[1:-1] - 1] = False  # a pair never crosses texts
-                grams, n = np.unique(pairs[inside], return_counts=True)
-                words = single_hash(hashes)
-                held.append(merge_counts(np.concatenate([grams, words]), np.concatenate([n, np.bincount(ids, minlength=len(words))])))
-                if sum(len(h) for h, _ in held) > HELD_NGRAMS:
-                    held = [merge_counts(*map(np.concatenate, zip(*held)))]
-                    if len(held[0][0]) > HELD_NGRAMS // 2:
-                        yield _pack(*held[0], parts)
-                        held = []
-        if held:
-            yield _pack(*merge_counts(*map(np.concatenate, zip(*held))), parts)
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        segment = build_segment(*_unpack(rows["body"].tolist()), max(64, most_bytes // parts))
-        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "segment": [segment]})
-
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "part long, body binary")
-    built = counted.groupBy("part").applyInPandas(build, "part long, segment binary").toPandas()
-    sizes = np.zeros(parts + 1, np.int64)
-    sizes[built["part"].to_numpy(np.int64) + 1] = built["segment"].map(len)
-    starts = np.cumsum(sizes)
-    flags = np.empty(starts[-1], np.uint8)
-    for part, segment in zip(built["part"], built["segment"]):
-        flags[starts[part] : starts[part + 1]] = np.frombuffer(segment, np.uint8)
-    return CountFilter(flags, starts)
+            for at in range(len(batch)):
+                number, *packed = (column[at].as_py() for column in batch.columns)
+                unit = Unit.unpack(*packed)
+                grams, place = unit.grams()
+                yield pack_grams(number, grams, unit.counts(place), parts)
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"unit": rows["unit"], "part": rows["part"], "levels": answer_part(rows["body"].tolist())})
+
+    sent = units.select("unit", *_UNIT.names).mapInArrow(send, "unit long, part long, body binary")
+    return sent.groupBy("part").applyInPandas(answer, "unit long, part long, levels binary")
 
 
 @dataclass
 class LanguageModel:
-    """The filter and the figures that turn its counts into probabilities."""
+    """The figures that turn the filter's counts into probabilities."""
 
-    counts: CountFilter
     tokens: int
     distinct: int
     once: int
@@ -268,49 +288,54 @@ class LanguageModel:
         unknown = min(max(self.once, 1) / (self.tokens + 1), 0.5)
         return np.where(count > 0, (1 - unknown) * count / self.known_total, unknown)
 
-    def score(self, split: list[list[bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-        """log10 probability of each text; and its distinct words, tokens and offsets."""
-        distinct, hashes, ids, offsets, pairs = ngram_hashes(split)
-        count = count_of(self.counts.levels(single_hash(hashes)))
+    def score(self, unit: Unit, place: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        """log10 probability of each text, from the levels of the unit's n-grams."""
+        words = len(unit.words)
+        count = count_of(levels[place[:words]])
         chance = self.word_chance(count)
-        value = chance[ids]
-        follows = np.ones(len(ids), bool)
-        follows[offsets[:-1]] = False
-        seen = count_of(self.counts.levels(pairs[follows[1:]]))
-        before = np.flatnonzero(follows) - 1
-        value[follows] = (np.minimum(seen, count[ids[before]]) + self.prior * value[follows]) / (count[ids[before]] + self.prior)
-        return segment_sum(np.log10(value), offsets), distinct, ids, offsets
+        value = chance[unit.ids]
+        follows = unit.follows()
+        seen = count_of(levels[place[words:]])
+        before = count[unit.ids[np.flatnonzero(follows) - 1]]
+        value[follows] = (np.minimum(seen, before) + self.prior * value[follows]) / (before + self.prior)
+        return segment_sum(np.log10(value), np.concatenate([[0], np.cumsum(unit.sizes)]))
 
 
 RESULT = struct_type(
-    n_tokens=pa.int64(), score=pa.float64(), known=pa.int64(), logs=pa.float64(),
+    n_tokens=pa.int64(), known=pa.int64(), logs=pa.float64(),
     rare=pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])),
+    unit=_UNIT,
 )
-_DDL = "n_tokens long, score double, known long, logs double, rare array<struct<word binary, n int>>"
+_DDL = "n_tokens long, known long, logs double, rare array<struct<word binary, n int>>, unit struct<sizes binary, learn binary, ids binary, words binary>"
 _TOP: dict[int, dict[bytes, int]] = {}
 
 
 def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id", extra: dict | None = None) -> DataFrame:
     """One row a text: ``doc_id, n_tokens, n_known, train_tokens, base_score, score`` and
     ``extra``, learned from the rows where ``training`` holds."""
-    ship_code(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_code(spark)
     learn = docs.where(training)
     counts = cut(count_words(learn, text))
     level = F.lit(1) + F.floor(F.log(F.col("n")) / F.log(F.lit(BASE)) + F.lit(1e-9))
     per_level = counts.groupBy(level.cast("long").alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).toPandas()
     total, distinct, once = int(per_level["n"].sum()), int(per_level["words"].sum()), int(per_level["once"].sum())
     known_total = float((count_of(per_level["level"].to_numpy(np.int64)) * per_level["words"].to_numpy()).sum()) if len(per_level) else 1.0
-    model = LanguageModel(build_filter(learn, text), total, distinct, once, known_total)
+    model = LanguageModel(total, distinct, once, known_total)
     top = most_frequent(counts.where(F.octet_length("word") <= TOP_BYTES), TOP_WORDS).toPandas()
-    shared = docs.sparkSession.sparkContext.broadcast((model, [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)))
+    shared = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)))
 
-    def one(texts: pa.Array) -> pa.Array:
-        model, words, exact = shared.value
+    def one(texts: pa.Array, learns: pa.Array) -> pa.Array:
+        words, exact = shared.value
         place = _TOP.get(id(words))
         if place is None:
             _TOP.clear()
             place = _TOP[id(words)] = dict(zip(words, range(len(words))))
-        score, distinct, ids, offsets = model.score([split_words(t) for t in raw(texts)])
+        split = [split_words(t) for t in raw(texts)]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        distinct, ids = factorize(list(chain.from_iterable(split)))
+        unit = Unit(sizes, learns.to_numpy(zero_copy_only=False), ids, word_hashes(distinct))
         at = np.fromiter((place.get(w, -1) for w in distinct), np.int64, len(distinct))
         common = at >= 0
         logs = np.where(common, np.log10(np.append(exact, 0)[at] + 0.1), 0.0)
@@ -320,23 +345,40 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         words_of = pa.array(distinct, pa.binary()).take(pa.array(pairs & 0xFFFFFFFF))
         entries = pa.StructArray.from_arrays([words_of, pa.array(n, pa.int32())], ["word", "n"])
         rare = pa.ListArray.from_arrays(pa.array(edges), entries)
-        return build_struct(RESULT, np.diff(offsets), score, segment_sum(common.astype(np.int64)[ids], offsets), segment_sum(logs[ids], offsets), rare.cast(RESULT.field("rare").type))
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from per_slice(batches, one, RESULT)
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        first = pa.array([unit.pack(), *[None] * (len(texts) - 1)], _UNIT)  # on its first text
+        return build_struct(RESULT, sizes, segment_sum(common.astype(np.int64)[ids], offsets), segment_sum(logs[ids], offsets), rare.cast(RESULT.field("rare").type), first)
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for texts, learns in batches:
+            parts, at = [], 0
+            for piece in slices(texts, UNIT_BYTES):
+                parts.append(one(piece, learns.slice(at, len(piece))))
+                at += len(piece)
+            yield pa.concat_arrays(parts) if parts else pa.array([], RESULT)
+
+    def finish(answers: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+        first, *fields = packed.iloc[0].tolist()
+        unit = Unit.unpack(*fields)
+        levels = np.frombuffer(b"".join(answers.sort_values("part")["levels"]), np.uint8)
+        score = model.score(unit, unit.grams()[1], levels.astype(np.int64))
+        return pd.DataFrame({"row": first + np.arange(len(score)), "score": score})
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
     more = [c.alias(n) for n, c in (extra or {}).items()]
-    scored = docs.select(F.col(doc_id).alias("doc_id"), *more, F.arrow_udf(run, _DDL)(F.col(text)).alias("r"))
-    # numbered once written: both branches below read the same files
-    scored = cut(scored).withColumn("row", F.monotonically_increasing_id())
+    judged = F.arrow_udf(run, _DDL)(F.col(text), F.coalesce(training, F.lit(False)))
+    # numbered as written: all branches below read the same files, and a unit's texts
+    # have the numbers from that of its first text on
+    scored = written(docs.select(F.col(doc_id).alias("doc_id"), *more, judged.alias("r")).withColumn("row", F.monotonically_increasing_id()), "lm-texts", compression="zstd")
+    units = scored.where(F.col("r.unit").isNotNull()).select(F.col("row").alias("unit"), "r.unit.*")
+    levels = gram_levels(units, min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 24))
+    scores = levels.groupBy("unit").cogroup(units.groupBy("unit")).applyInPandas(finish, "row long, score double")
     rare = scored.select("row", F.explode("r.rare").alias("e")).select("row", F.col("e.word").alias("w"), F.col("e.n").alias("times"))
     found = rare.join(counts, F.col("w") == F.col("word"), "left")
     each = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)
     sums = found.groupBy("row").agg(F.sum(each).alias("rare_logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"))
-    out = scored.drop("rare").join(sums.withColumnRenamed("row", "row2"), F.col("row") == F.col("row2"), "left")
+    out = scored.join(sums.withColumnRenamed("row", "row2"), F.col("row") == F.col("row2"), "left").join(scores.withColumnRenamed("row", "row3"), F.col("row") == F.col("row3"), "left")
     base = F.col("r.logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("r.n_tokens") * F.log10(F.lit(total + 0.1 * (distinct + 1)))
     return out.select(
         "doc_id", *(extra or {}), "r.n_tokens", (F.col("r.known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "r.score",
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
     )

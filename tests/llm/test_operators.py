@@ -260,6 +260,51 @@ def test_rare_words_are_joined_exactly(spark, monkeypatch):
     assert got == sorted(want)
 
 
+def test_lm_levels_of_many_units_and_nothing_gathered(spark, monkeypatch):
+    """Few words and many pairs: what is broadcast holds words only, and each unit gets
+    the levels of the counts over all units."""
+    import pickle
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    names = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choices(names, k=rng.randrange(200))) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sent = []
+    plain = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(len(pickle.dumps(value))), plain(self, value))[1])
+    got = {r.doc_id: r.score for r in lm.score_texts(docs, F.col("doc_id") % 10 != 0).collect()}
+    assert sent and max(sent) < 20_000  # a filter of these 40,000 pairs takes more
+    monkeypatch.setattr(lm, "UNIT_BYTES", 4096)
+    assert {r.doc_id: r.score for r in lm.score_texts(docs, F.col("doc_id") % 10 != 0).collect()} == got
+
+    split = [t.encode().split() + [b""] for t in texts]
+    train = [ws for k, ws in enumerate(split) if k % 10]
+    words = Counter(w for ws in train for w in ws)
+    pairs = Counter(p for ws in train for p in zip(ws, ws[1:]))
+    middle = lambda n: float(lm.count_of(lm.level_of(np.array([n])))[0]) if n else 0.0
+    total, known = sum(words.values()), sum(middle(n) for n in words.values())
+    unknown = min(max(sum(n == 1 for n in words.values()), 1) / (total + 1), 0.5)
+    chance = lambda w: (1 - unknown) * middle(words[w]) / known if words[w] else unknown
+    want = 0.0
+    for ws in split:
+        want += math.log10(chance(ws[0]))
+        for v, w in zip(ws, ws[1:]):
+            seen = min(middle(pairs[v, w]), middle(words[v]))
+            want += math.log10((seen + lm.PRIOR * chance(w)) / (middle(words[v]) + lm.PRIOR))
+    # a few in a hundred absent entries pass the probes
+    assert math.isclose(sum(got.values()), want, rel_tol=0.02)
+
+
+def test_segments_are_sized_by_their_entries():
+    rng = np.random.default_rng(2)
+    bodies = [lm.to_planes(np.sort(rng.integers(0, 1 << 40, 400_000)), 5) + lm.to_planes(np.full(400_000, n), 4) for n in (1, 0)]
+    mine, absent = (np.frombuffer(x, np.uint8) for x in lm.answer_part(bodies))
+    assert (mine >= 1).all() and (mine > 1).mean() < 0.05
+    assert (absent > 0).mean() < 0.05
+
+
 def test_language_distance_against_plain_code():
     def grams(text):
         found = Counter()
