@@ -1,7 +1,8 @@
 """URL filters: glob rules run as one bit-parallel wildcard automaton (operator 8).
 
 Rules are globs over a canonical URL, ``host + path + query``: scheme and fragment
-dropped, the host's A-Z lower-cased.  In a glob ``*`` is any run of bytes other than
+dropped, the host's A-Z lower-cased.  Host rules see ``host + path`` only, so a host in
+the query fits none.  In a glob ``*`` is any run of bytes other than
 ``/``, ``**`` is any run of bytes, and every other byte stands for itself.  All globs
 are packed one after another into the bits of several 64-bit words (Shift-And with a
 carry between words).  A wildcard takes no bit of its own: it is a self-loop on the
@@ -145,8 +146,8 @@ def judge_urls(
     allowed.  Columns of these names in ``df`` are replaced.
     """
     ship_code(df.sparkSession)
-    globs = [g for r in host_rules for g in r.globs()] + list(block_globs)
-    automaton = GlobAutomaton(globs)
+    by_host = GlobAutomaton([g for r in host_rules for g in r.globs()]) if host_rules else None
+    by_glob = GlobAutomaton(block_globs) if block_globs else None
     by_length = sorted(range(len(host_rules)), key=lambda k: (-len(host_rules[k].name), k))
     names = [r.name for r in host_rules]
     verdicts = [r.verdict for r in host_rules]
@@ -159,22 +160,25 @@ def judge_urls(
                 return {"rule": names[k], "verdict": verdicts[k], "glob": None}
         spam = np.flatnonzero(hit[first_glob:])
         if len(spam):
-            return {"rule": None, "verdict": "block", "glob": globs[first_glob + int(spam[0])]}
+            return {"rule": None, "verdict": "block", "glob": block_globs[int(spam[0])]}
         return {"rule": None, "verdict": "allow", "glob": None}
 
-    def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for subjects in batches:
+    def match(automaton: GlobAutomaton | None, subjects: pa.Array) -> np.ndarray:
+        return automaton.match(raw(subjects)) if automaton else np.zeros((len(subjects), 0), bool)
+
+    def decide(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for places, subjects in batches:
             rows = []
             for at in range(0, len(subjects), 4096):
-                hits = automaton.match(raw(subjects.slice(at, 4096)))
+                hits = np.hstack([match(by_host, places.slice(at, 4096)), match(by_glob, subjects.slice(at, 4096))])
                 shapes, which = np.unique(hits, axis=0, return_inverse=True)
                 found = [judge(x) for x in shapes]
                 rows += [found[k] for k in which.ravel().tolist()]
             yield pa.array(rows, kind)
 
-    decide.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    decide.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
     judge_udf = F.arrow_udf(decide, T.StructType.fromDDL("rule string, verdict string, glob string"))
     kept = [c for c in df.columns if c.lower() not in {"host", "path", "rule", "verdict", "glob"}]
     parts = with_url_parts(df.select(*[F.col(f"`{c}`") for c in kept]), url)
-    judged = parts.withColumn("__cw_j", judge_udf("__cw_subject"))
+    judged = parts.withColumn("__cw_j", judge_udf(F.concat("host", "path"), "__cw_subject"))
     return judged.select(*[F.col(f"`{c}`") for c in kept], "host", "path", "__cw_j.rule", "__cw_j.verdict", "__cw_j.glob")

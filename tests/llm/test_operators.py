@@ -380,3 +380,15 @@ def test_odd_urls(spark):
         7: ("y.org", "/fr/", "org/fr/", "allow"), 8: ("spam-farm.io", "/a", None, "block"),
     }
     assert judge_urls(pages, [UrlRule("block", "io", "/")], []).where("verdict = 'block'").count() == 1
+
+
+def test_a_host_in_the_query_fits_no_host_rule(spark):
+    urls = ["http://shop.com?u=x.net/", "http://casino.com?u=a.org/fr/", "http://y.net/a?u=b.org/fr/", "http://y.org?u=/fr/", "http://z.com?u=.example.com/de/#f"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages).collect()}
+    assert got == {0: ("shop.com", "", None, "allow"), 1: ("casino.com", "", None, "block"), 2: ("y.net", "/a", "net/", "block"), 3: ("y.org", "", None, "allow"), 4: ("z.com", "", None, "allow")}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    twin = con.execute(ORACLE_SQL["op8_url_filters"]).fetchall()
+    assert sorted(twin) == sorted((k, *v) for k, v in got.items())
+    assert [r.verdict for r in judge_urls(pages, [], []).collect()] == ["allow"] * 5
