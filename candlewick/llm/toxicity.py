@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import cut, pack, per_slice, segment_sum, ship_code
+from candlewick.llm.shared import pack, per_slice, segment_sum, ship_code
 
 #: Labelled texts of each class to learn from, and their bytes in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 40 << 20
@@ -179,21 +179,40 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str,
     """At most ``rows`` whole texts of each class, in order of a hash of their id, as far
     as ``most_bytes`` go; and class 1's share of all labelled rows.
 
-    Ids are chosen first, so only the texts of the sample move.
+    Rows are chosen by id, length and hash first, so only the texts of the sample move.
     """
-    marks = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("__cw_id"), F.col(label).cast("int").alias("y"))
-    marked = docs.select(F.col(doc_id).alias("d")).join(marks, F.col("d") == F.col("__cw_id")).select("__cw_id", "y")
-    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("y").orderBy(F.xxhash64("__cw_id"), "__cw_id")
-    ids = cut(marked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).select("__cw_id", "y").distinct())
-    # two classes of at most ``rows`` ids: small enough to broadcast
-    some = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text")).join(F.broadcast(ids), F.col("d") == F.col("__cw_id"))
-    again = Window.partitionBy("y").orderBy(F.xxhash64("d"), "d", "text")
-    some = some.withColumn("k", F.row_number().over(again)).where(F.col("k") <= rows)
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("k", "y"))
-    picked = some.withColumn("size", size).where(F.col("size") <= most_bytes).select("text", "y").collect()
+    marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__cw_id"), F.col(label).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    sized = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    marked = sized.drop("text").join(marks, F.col("d") == F.col("__cw_id"))
+    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    order = Window.partitionBy("y").orderBy(F.xxhash64("__cw_id"), "__cw_id", "size", "h")
+    ranked = marked.where(F.col("size") <= most_bytes).withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows)
+    ranked = ranked.select("__cw_id", "size", "h", "k", "y")
+    found = sorted(ranked.collect(), key=lambda r: (r.k, r.y))
+    picked = [found[at] for at in within([(r.y, r.size) for r in found], most_bytes)]
+    keys = docs.sparkSession.createDataFrame(list(dict.fromkeys((r["__cw_id"], r["size"], r["h"]) for r in picked)), ranked.select("__cw_id", F.col("size").alias("size2"), F.col("h").alias("h2")).schema)
+    # two classes of at most ``rows`` keys: small enough to broadcast
+    same = (F.col("d") == F.col("__cw_id")) & (F.col("size") == F.col("size2")) & (F.col("h") == F.col("h2"))
+    some = sized.join(F.broadcast(keys), same).dropDuplicates(["__cw_id", "size", "h"])
+    texts = {(r["__cw_id"], r["size"], r["h"]): r["text"] for r in some.select("__cw_id", "size", "h", "text").collect()}
     total = sum(counts.values())
-    return [r.text for r in picked], np.array([r.y for r in picked], np.float64), counts.get(1, 0) / total if total else 0.0
+    return [texts[r["__cw_id"], r["size"], r["h"]] for r in picked], np.array([r.y for r in picked], np.float64), counts.get(1, 0) / total if total else 0.0
+
+
+def within(rows: list[tuple[int, int]], most: int) -> list[int]:
+    """Places of the rows ``(class, size)`` to take, in order: first as each class's half
+    of ``most`` allows, then as the rest does.  A row that does not fit is skipped."""
+    taken, used = set(), {}
+    for at, (kind, size) in enumerate(rows):
+        if used.get(kind, 0) + size <= most // 2:
+            used[kind] = used.get(kind, 0) + size
+            taken.add(at)
+    left = most - sum(used.values())
+    for at, (_, size) in enumerate(rows):
+        if at not in taken and size <= left:
+            left -= size
+            taken.add(at)
+    return sorted(taken)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS) -> ToxicityModel:

@@ -358,6 +358,25 @@ def test_toxicity_with_one_class_or_none():
     assert (toxicity.fit([], np.zeros(0)).scorer().score([None]) < 1e-6).all()
 
 
+def test_a_very_long_text_does_not_end_the_sample(spark):
+    rows = [(k, f"{'nice' if k % 2 else 'awful'} text {k}") for k in range(40)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows], "doc_id long, toxic int")
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    every, marks, share = toxicity.labelled_sample(plain, labels, "text", "doc_id", "toxic")
+    assert sorted(zip(every, marks)) == sorted((t, 1 - k % 2) for k, t in rows) and share == 0.5
+    first = {t: k for k, t in rows}[every[0]]
+    for size in (2000, 700):  # longer than the budget; longer than what is left of it
+        docs = spark.createDataFrame([(k, "x" * size if k == first else t) for k, t in rows], "doc_id long, text string")
+        got, _, _ = toxicity.labelled_sample(docs, labels, "text", "doc_id", "toxic", most_bytes=1000)
+        assert set(every[1:]) <= set(got) and sum(map(len, got)) <= 1000
+    # a budget that one class alone could use up still leaves rows of both
+    docs = spark.createDataFrame([(k, t + "x" * 400) for k, t in rows], "doc_id long, text string")
+    assert set(toxicity.labelled_sample(docs, labels, "text", "doc_id", "toxic", most_bytes=1000)[1]) == {0, 1}
+    # copies of an id, labelled twice
+    twice = toxicity.labelled_sample(plain.union(plain.limit(1)), labels.union(labels), "text", "doc_id", "toxic")
+    assert len(twice[0]) == 41 and len(set(twice[0])) == 40
+
+
 def test_globs_against_regular_expressions():
     import re
 
