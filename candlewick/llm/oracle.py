@@ -110,8 +110,76 @@ FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source
 LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source
 """
 
+_UNIT = rf"{_SPACE[:-1]}*[^\x20\x09-\x0D]+|{_SPACE}"
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u,
+         sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), k AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM k
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+#: The rules in the order in which they are listed: kind, pattern, least length, and
+#: where that length is measured ('' is the whole match, else what a lead is cut off).
+_LEAD = """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?"""
+_SECRETS = [
+    ("assign", _LEAD + "[A-Za-z0-9+/_.=-]+", 6, _LEAD),
+    ("access", "AKIA[A-Z0-9]+", 20, ""),
+    ("hex", "[0-9a-f]+", 24, ""),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, ""),
+    ("forge", "gh[pousr]_[A-Za-z0-9]{36,}", 0, ""),
+]
+
+
+def _found_sql(rank: int, kind: str, pattern: str, least: int, lead: str) -> str:
+    """Matches of one kind with their places: what stands between matches, and the matches
+    before, add up to the start of each."""
+    inner = f"regexp_replace(m[i], '^{lead}', '')" if lead else "m[i]"
+    return f"""
+  SELECT rid, {rank} AS rank, '{kind}' AS kind, list_sum(lens[1:2 * i - 1])::BIGINT AS a, list_sum(lens[1:2 * i])::BIGINT AS b
+  FROM (SELECT rid, m, flatten(list_transform(range(1, len(m) + 1), lambda j: [length(g[j]), length(m[j])])) AS lens,
+               unnest(range(1, len(m) + 1)) AS i
+        FROM (SELECT rid, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS g FROM d
+              WHERE regexp_matches(t, '{pattern}')))
+  WHERE length({inner}) >= {least}"""
+
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(_found_sql(i, *rule) for i, rule in enumerate(_SECRETS))}),
+s AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans
+  FROM f GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s USING (rid)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": OP7,
     "op8_url_filters": OP8,
     "op10_source_mix": OP10,
+    "op12_fim": OP12,
+    "op13_secrets": OP13,
 }

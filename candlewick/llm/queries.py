@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.bpe import with_bpe
 from candlewick.llm.embedding_dedup import embedding_components
+from candlewick.llm.fim import fill_in_middle, restore_text
+from candlewick.llm.importance import importance_sample
 from candlewick.llm.langid import Profiles, learn_profiles, with_language
 from candlewick.llm.lm import score_texts
 from candlewick.llm.mixing import mix_sources
 from candlewick.llm.quality_rules import judge_quality
+from candlewick.llm.secrets import BASE_RULES, scan_history, span_list
 from candlewick.llm.shared import crc_remainder, table
 from candlewick.llm.simhash import simhash_components
 from candlewick.llm.toxicity import THRESHOLD, ToxicityModel, learn_toxicity, with_toxicity
@@ -94,6 +97,26 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rewritten = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "__cw_fim.*")
+    return rewritten.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restore_text(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_history(table(spark, sf_dir, "documents"), ["doc_id"])
+    spans, kinds = F.col("spans"), [r.kind for r in BASE_RULES]
+    counts = [F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
+    return found.select("doc_id", *counts, F.sha2(span_list(spans, kinds), 256).alias("base_sha256"), span_list(spans).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -105,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
     "op10_source_mix": op10_source_mix,
+    "op11_importance": op11_importance,
+    "op12_fim": op12_fim,
+    "op13_secrets": op13_secrets,
 }
