@@ -137,3 +137,47 @@ def exact_sum(c: ColumnOrName) -> Column:
 
 def exact_avg(c: ColumnOrName) -> Column:
     return F.try_divide(exact_sum(c), F.count(_col(c)).cast("double"))
+
+
+def exact_moments(c: ColumnOrName) -> tuple[Column, Column]:
+    """Average and sample standard deviation that are the same bits however rows are spread.
+
+    A value below a million whose shortest decimal form has at most 20 decimals is taken as
+    two whole numbers, ``value = (high * 10^13 + low) / 10^20``; both, their squares and
+    their product are added up exactly in DECIMAL(38,0).  The squares are then shifted to
+    the group's mean before anything becomes a double, so nothing cancels.  A group that
+    holds any other value (or would overflow) falls back to ``avg`` and ``stddev_samp``.
+    """
+    value = _col(c).cast("double")
+    fixed = value.try_cast("decimal(26,20)")
+    fits = F.coalesce((F.abs(value) < F.lit(1e6)) & (fixed.cast("double") == value), F.lit(False))
+    scaled = F.when(fits, fixed) * F.expr("CAST(10000000 AS DECIMAL(8,0))")
+    whole = F.floor(scaled)
+    high = whole.cast("decimal(14,0)")
+    low = ((scaled - whole).cast("decimal(14,13)") * F.expr("CAST(10000000000000 AS DECIMAL(14,0))")).cast("decimal(14,0)")
+
+    def total(x: Column) -> Column:
+        return F.try_sum(x).cast("decimal(38,0)")
+
+    n = F.count_if(fits)
+    count = n.cast("decimal(20,0)")
+    sh, sl, shh, shl, sll = total(high), total(low), total(high * high), total(high * low), total(low * low)
+    # whole numbers next to the mean of each part
+    ch, cl = (F.round(F.try_divide(s, count)).cast("decimal(14,0)") for s in (sh, sl))
+
+    def wide(x: Column) -> Column:
+        return x.try_cast("decimal(38,0)")
+
+    def shifted(sxy: Column, sx: Column, sy: Column, cx: Column, cy: Column) -> Column:
+        """Sum of (x - cx)(y - cy), a whole number."""
+        back = F.try_add(wide(F.try_multiply(cx, sy)), wide(F.try_multiply(cy, sx)))
+        return wide(F.try_add(F.try_subtract(sxy, wide(back)), wide(F.try_multiply(count, wide(F.try_multiply(cx, cy))))))
+
+    hh, hl, ll = (shifted(*a).cast("double") for a in ((shh, sh, sh, ch, ch), (shl, sh, sl, ch, cl), (sll, sl, sl, cl, cl)))
+    off = wide(F.try_subtract(sh, wide(F.try_multiply(count, ch)))).cast("double") * 1e13 + wide(F.try_subtract(sl, wide(F.try_multiply(count, cl)))).cast("double")
+    size = n.cast("double")
+    squares = F.greatest(hh * 1e26 + 2 * hl * 1e13 + ll - F.try_divide(off * off, size), F.lit(0.0))
+    spread = F.when(n > 1, F.sqrt(F.try_divide(squares, size - 1)) / 1e20)
+    mean = F.try_divide(sh.cast("double") / 1e7 + sl.cast("double") / 1e20, size)
+    whole_group = n == F.count(value)
+    return F.when(whole_group & mean.isNotNull(), mean).otherwise(exact_avg(value)), F.when(whole_group & (spread.isNotNull() | (n <= 1)), spread).otherwise(F.stddev_samp(value))

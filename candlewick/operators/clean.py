@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import scalar
@@ -96,19 +96,22 @@ def dedup_by_candle_key(df: DataFrame, key: tuple[str, ...] = ("symbol", "interv
     """One row per market candle (symbol, interval, open_time): the copy with the
     fewest missing cells wins, remaining ties broken by the row values.
 
-    Rows whose key is incomplete cannot be identified as the same candle and
-    are all kept: they pass beside the window, not through it.  ``row_number() <= 1``
-    is planned with a partial WindowGroupLimit, so each map task forwards at
-    most one row per key.
+    An arg-min as an aggregate: ``min`` of one struct that compares as the order does, so
+    each map task forwards one row a key and there is one exchange.  Rows whose key
+    is incomplete cannot be identified as the same candle and are all kept: their group is
+    their whole row, with the number of times it came.
     """
     key = [k for k in key if k in df.columns]
     others = [c for c in df.columns if c not in key]
     incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     n_missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
-    order = [n_missing.asc()] + [F.col(c).asc_nulls_last() for c in others]
-    w = Window.partitionBy(*key).orderBy(*order)
-    whole = df.filter(~incomplete).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    return whole.unionByName(df.filter(incomplete))
+    # NULL sorts last within each column: a flag goes before the value
+    order = F.struct(n_missing.alias("n"), *[x for i, c in enumerate(others) for x in (F.col(c).isNull().alias(f"f{i}"), F.col(c).alias(f"v{i}"))])
+    groups = df.groupBy(*key, F.when(incomplete, order).alias("_own")).agg(F.min(order).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    times = F.when(F.col("_own").isNotNull(), F.col("_n")).otherwise(F.lit(1)).cast("int")
+    kept = groups.select(*key, "_best", F.explode(F.array_repeat(F.lit(0), times)))
+    values = {**{k: F.col(k) for k in key}, **{c: F.col(f"_best.v{i}").alias(c) for i, c in enumerate(others)}}
+    return kept.select(*[values[c] for c in df.columns])
 
 
 def unknown_symbols(df: DataFrame, known: DataFrame, col: str = "symbol") -> DataFrame:

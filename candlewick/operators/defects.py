@@ -2,12 +2,15 @@
 
 Defects follow the reference order: drop rows, duplicate rows, blank cells,
 text in numeric cells, invalid times, symbol variants, negative volumes.
-Rows are chosen by a seeded hash of a stable row id (``row_id``); a
-duplicated row's copy gets its own defect key, so the two copies can be
-corrupted differently (exactly like corrupting after appending copies).
-Rates are per-row probabilities, so counts are approximate; the per-defect
-minimum counts of the reference are not enforced (they would need a global
-count before selection).  Everything is one narrow map stage: no shuffle.
+Each defect takes exactly ``min(rows, max(minimum, int(rows * fraction)))`` rows of
+the table as it is at that step (a drop leaves at least one row).  Which ones is told by
+a seeded hash of a stable row id (``row_id``), ties by the id; a duplicated row's copy
+gets its own defect key, so the two copies can be corrupted differently (exactly like
+corrupting after appending copies).
+
+The counts need to be known first: ``plan_defects`` runs a few small aggregations over
+the ids (hash histograms, see ``exact_pick``) and returns thresholds.  With these the
+injection itself is one narrow map stage: no shuffle, no sort, no list of ids.
 """
 
 from __future__ import annotations
@@ -17,8 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.hashing import choice_sql, picked_sql
+from candlewick.functions.hashing import choice_sql, mix_sql
 from candlewick.functions.scalar import to_iso_text
+from candlewick.operators.exact_pick import NOTHING, Cutoff, exact_cutoffs
 from candlewick.schema import (
     FIELDNAMES,
     INVALID_TIME_TOKENS,
@@ -29,15 +33,27 @@ from candlewick.schema import (
 )
 
 
+@dataclass(frozen=True)
+class Share:
+    """At least ``minimum`` rows, or ``fraction`` of them, as far as there are rows."""
+
+    fraction: float
+    minimum: int = 0
+
+    def rows(self, n: int) -> int:
+        return min(n, max(self.minimum, int(n * self.fraction)))
+
+
+# Fraction and least number of rows of each defect.
 @dataclass(frozen=True)
 class DefectRates:
-    drop: float = 0.03
-    duplicate: float = 0.03
-    missing: float = 0.05
-    numeric_text: float = 0.04
-    invalid_time: float = 0.03
-    symbol: float = 0.04
-    negative_volume: float = 0.03
+    drop: Share = Share(0.03, 5)
+    duplicate: Share = Share(0.03, 5)
+    missing: Share = Share(0.05, 10)
+    numeric_text: Share = Share(0.04, 8)
+    invalid_time: Share = Share(0.03, 6)
+    symbol: Share = Share(0.04, 8)
+    negative_volume: Share = Share(0.03, 6)
 
 
 # hash salts, one per decision
@@ -61,15 +77,13 @@ def plain_decimal_cast(spark) -> bool:
     return str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() == "true"
 
 
-def decimal_text_sql(expr: str, dialect: str = "spark", plain_cast: bool = False) -> str:
+def decimal_text_sql(expr: str, plain_cast: bool = False) -> str:
     """DECIMAL(38,8) -> plain text such as '-12.31000000' or '0.00000000'.
 
     Under ANSI mode (and in other engines) a CAST prints plainly.  With ANSI
     off Spark's CAST prints '0E-8' for zero, so the text is built with
     to_char instead (a little more work per cell).
     """
-    if dialect != "spark":
-        return f"CAST({expr} AS VARCHAR)"
     if plain_cast:
         return f"CAST({expr} AS STRING)"
     padded = f"trim(to_char({expr}, '{_PLAIN_FORMAT}'))"
@@ -115,43 +129,62 @@ def _present(cols: set[str]) -> dict[str, list[str]]:
     }
 
 
-def decision_sql(copy: int, seed: int, rates: DefectRates, present: dict[str, list[str]], dialect: str = "spark") -> dict[str, str]:
-    """Every hash decision for one copy of a row (defect key = row_id * 2 + copy), as SQL text."""
+def plan_defects(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> dict[str, Cutoff]:
+    """Which rows each defect takes, as thresholds.  Reads the ids of ``text`` three times,
+    more often where millions of rows share a hash bucket; at most some thousand counts
+    come to the driver each time."""
+    present = _present(set(text.columns))
+    ids = text.select("row_id").persist()
+    try:
+        drop, _ = exact_cutoffs(ids, "row_id", {"drop": SALT["drop"]}, seed, lambda _, n: min(rates.drop.rows(n), n - 1))
+        kept = ids.where(f"NOT {_chosen('row_id', 'drop', drop, seed)}")
+        twice, _ = exact_cutoffs(kept, "row_id", {"duplicate": SALT["duplicate"]}, seed, lambda _, n: rates.duplicate.rows(n))
+        again = _chosen("row_id", "duplicate", twice, seed)
+        keys = kept.selectExpr(f"explode(CASE WHEN {again} THEN array(row_id * 2, row_id * 2 + 1) ELSE array(row_id * 2) END) AS _key")
+        shares = {"missing": ("blank", rates.missing), "text": ("num", rates.numeric_text), "time": ("time", rates.invalid_time), "symbol": ("symbol", rates.symbol), "negative": ("vol", rates.negative_volume)}
+        shares = {name: share for name, (group, share) in shares.items() if present[group]}
+        cells, _ = exact_cutoffs(keys, "_key", {name: SALT[name] for name in shares}, seed, lambda name, n: shares[name].rows(n))
+    finally:
+        ids.unpersist()
+    return {**drop, **twice, **cells}
+
+
+def _chosen(key_sql: str, name: str, plan: dict[str, Cutoff], seed: int) -> str:
+    return plan.get(name, NOTHING).sql(mix_sql(key_sql, SALT[name], seed, "spark"), key_sql)
+
+
+def decision_sql(copy: int, seed: int, plan: dict[str, Cutoff], present: dict[str, list[str]]) -> dict[str, str]:
+    """Every decision for one copy of a row (defect key = row_id * 2 + copy), as SQL text."""
     k = f"(row_id * 2 + {copy})"
 
     def n(group: str) -> int:
         return max(len(present[group]), 1)
 
-    def pick(rate: float, salt: str, group: str) -> str:
-        return picked_sql(k, rate, SALT[salt], seed, dialect) if present[group] else "false"
-
     def pick_idx(count: int, salt: str) -> str:
-        return choice_sql(k, count, SALT[salt], seed, dialect)
+        return choice_sql(k, count, SALT[salt], seed, "spark")
 
     return {
         # M1 blank one numeric or time cell
-        f"_m_missing_{copy}": pick(rates.missing, "missing", "blank"),
+        f"_m_missing_{copy}": _chosen(k, "missing", plan, seed),
         f"_w_missing_{copy}": pick_idx(n("blank"), "missing_col"),
         # M2 text token in one numeric cell
-        f"_m_text_{copy}": pick(rates.numeric_text, "text", "num"),
+        f"_m_text_{copy}": _chosen(k, "text", plan, seed),
         f"_w_text_{copy}": pick_idx(n("num"), "text_col"),
         f"_t_text_{copy}": _token_sql(NUMERIC_TEXT_TOKENS, pick_idx(len(NUMERIC_TEXT_TOKENS), "text_token")),
         # M3 invalid token in one time cell
-        f"_m_time_{copy}": pick(rates.invalid_time, "time", "time"),
+        f"_m_time_{copy}": _chosen(k, "time", plan, seed),
         f"_w_time_{copy}": pick_idx(n("time"), "time_col"),
         f"_t_time_{copy}": _token_sql(INVALID_TIME_TOKENS, pick_idx(len(INVALID_TIME_TOKENS), "time_token")),
         # M4 symbol variant: lower case, blank padded, or BASE/USDT
-        f"_m_symbol_{copy}": f"({pick(rates.symbol, 'symbol', 'symbol')} AND symbol IS NOT NULL)" if present["symbol"] else "false",
+        f"_m_symbol_{copy}": f"({_chosen(k, 'symbol', plan, seed)} AND symbol IS NOT NULL)" if present["symbol"] else "false",
         f"_w_symbol_{copy}": pick_idx(3, "symbol_variant"),
         # M5 negate one volume cell; text that is not a number becomes -999
-        f"_m_negative_{copy}": pick(rates.negative_volume, "negative", "vol"),
+        f"_m_negative_{copy}": _chosen(k, "negative", plan, seed),
         f"_w_negative_{copy}": pick_idx(n("vol"), "negative_col"),
     }
 
 
-def cell_sql(
-    copy: int, c: str, present: dict[str, list[str]], quote=lambda n: f"`{n}`", dialect: str = "spark", plain_cast: bool = False
-) -> str:
+def cell_sql(copy: int, c: str, present: dict[str, list[str]], plain_cast: bool = False) -> str:
     """The messy text of column ``c`` for one copy, defects applied in reference order."""
 
     def d(name: str) -> str:
@@ -160,7 +193,7 @@ def cell_sql(
     def hit(group: str, kind: str) -> str:
         return f"({d('_m_' + kind)} AND {d('_w_' + kind)} = {present[group].index(c)})"
 
-    v = quote(c)
+    v = f"`{c}`"
     if c in present["blank"]:
         v = f"CASE WHEN {hit('blank', 'missing')} THEN CAST(NULL AS STRING) ELSE {v} END"
     if c in present["num"]:
@@ -172,14 +205,16 @@ def cell_sql(
         corrupted = f"CASE WHEN {w} = 0 THEN lower({v}) WHEN {w} = 1 THEN concat(' ', {v}, ' ') ELSE replace({v}, 'USDT', '/USDT') END"
         v = f"CASE WHEN {d('_m_symbol')} THEN {corrupted} ELSE {v} END"
     if c in present["vol"]:
-        negated = f"coalesce({decimal_text_sql(f'-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()}))', dialect, plain_cast)}, '-999')"
+        negated = f"coalesce({decimal_text_sql(f'-abs(TRY_CAST({v} AS {NUMBER_TEXT_TYPE.upper()}))', plain_cast)}, '-999')"
         v = f"CASE WHEN {hit('vol', 'negative')} THEN {negated} ELSE {v} END"
     return v
 
 
-def defect_flags(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
+def defect_flags(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates(), plan: dict[str, Cutoff] | None = None) -> DataFrame:
     """Text candles (+ row_id) -> every output row with its defect flags.
 
+    ``plan`` comes from ``plan_defects``, which is run here without it.
+
     Adds ``_dropped``, ``_copy`` (0 original, 1 appended duplicate) and one
     boolean per cell defect.  Dropped rows are kept (flagged) so counters can
     be taken in the same pass; ``inject_defects`` filters them.
@@ -192,11 +227,12 @@ def defect_flags(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRat
     cols = set(text.columns)
     fields = [c for c in FIELDNAMES if c in cols]
     present = _present(cols)
+    plan = plan_defects(text, seed, rates) if plan is None else plan
     decisions = {
-        "_dropped": picked_sql("row_id", rates.drop, SALT["drop"], seed, "spark"),
-        "_dup": picked_sql("row_id", rates.duplicate, SALT["duplicate"], seed, "spark"),
-        **decision_sql(0, seed, rates, present),
-        **decision_sql(1, seed, rates, present),
+        "_dropped": _chosen("row_id", "drop", plan, seed),
+        "_dup": _chosen("row_id", "duplicate", plan, seed),
+        **decision_sql(0, seed, plan, present),
+        **decision_sql(1, seed, plan, present),
     }
     df = text.selectExpr("*", *[f"{sql} AS {name}" for name, sql in decisions.items()])
 
@@ -220,10 +256,10 @@ def _pairs(aliased: list[str]) -> list[str]:
     return out
 
 
-def inject_into_text(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
+def inject_into_text(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates(), plan: dict[str, Cutoff] | None = None) -> DataFrame:
     """Text candles (with ``row_id``) -> messy copy; a cell without a defect keeps its text as it is."""
     fields = [c for c in FIELDNAMES if c in text.columns]
-    return defect_flags(text, seed, rates).filter(~F.col("_dropped")).select(*fields)
+    return defect_flags(text, seed, rates, plan).filter(~F.col("_dropped")).select(*fields)
 
 
 def inject_defects(candles: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
@@ -236,8 +272,8 @@ def defect_summary(candles: DataFrame, seed: int = 42, rates: DefectRates = Defe
     return text_defect_summary(candles_as_text(candles), seed, rates)
 
 
-def text_defect_summary(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> DataFrame:
-    f = defect_flags(text, seed, rates)
+def text_defect_summary(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates(), plan: dict[str, Cutoff] | None = None) -> DataFrame:
+    f = defect_flags(text, seed, rates, plan)
     kept = ~F.col("_dropped")
     one = f.agg(
         F.count_if(F.col("_copy") == 0).alias("original_rows"),

@@ -7,9 +7,10 @@ shuffle (the group-by-all-columns that is also the de-duplication).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import scalar
@@ -92,6 +93,40 @@ def symbol_domain(raw: DataFrame) -> DataFrame:
     )
 
 
+#: log2 of the registers of a sketch: a standard error of about 1.6 %.
+SKETCH_SIZE = 12
+
+
+def domain_sketches(raw: DataFrame, batch: str, cols: list[str] | None = None) -> DataFrame:
+    """(batch, column_name, sketch): mergeable distinct-count sketches of each column's
+    values, NULL not counted, for each value of ``batch``.
+
+    A sketch is a few KB whatever the number of rows.  Stored by batch, it lets the domain
+    of a new batch be merged with all earlier ones without reading them again.
+    """
+    cols = cols or [c for c in raw.columns if c != batch]
+    one = raw.groupBy(F.col(batch).alias("batch")).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_SIZE).alias(c) for c in cols])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("sketch")) for c in cols]
+    return one.select("batch", F.inline(F.array(*pairs)))
+
+
+def merged_domains(sketches: DataFrame) -> DataFrame:
+    """(column_name, estimate): distinct values over all batches of ``domain_sketches``."""
+    return sketches.groupBy("column_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+def domain_check(exact: DataFrame, merged: DataFrame, tolerance: float = 0.05) -> DataFrame:
+    """Exact counts (column_name, exact) beside the sketches', and whether these are within
+    ``tolerance`` of them."""
+    within = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * F.lit(tolerance)
+    return exact.join(merged, "column_name", "left").select("column_name", "exact", "estimate", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+def exact_domains(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, exact): distinct values of each column, NULL not counted."""
+    return _long(raw.agg(*[F.count_distinct(c).alias(c) for c in cols]), "column_name", "exact").drop("position")
+
+
 def symbol_lists(raw: DataFrame) -> DataFrame:
     """(stage, symbol, rows): every distinct symbol before and after normalisation, NULL left out.
 
@@ -160,6 +195,74 @@ def dq_report(raw: DataFrame, rule: str = "parity") -> DataFrame:
     return _long(one, "metric", "value")
 
 
+class CleanReports:
+    """Counters of a cleaning run, observed on its two writes.
+
+    ``observe_raw`` goes on the narrow typed write and ``observe_distinct`` /
+    ``observe_cleaned`` behind the de-duplication of the next: metrics of the tasks that
+    write are counted once each, also when executors are lost and earlier stages run again.
+    """
+
+    def __init__(self, columns: list[str], rule: str = "parity"):
+        self.rule = rule
+        self.columns = [c for c in FIELDNAMES if c in columns]
+        self.checked = [c for c in NUMERIC_COLS + TIME_COLS if c in columns]
+        self.raw, self.distinct, self.cleaned = (Observation(f"{part}-{uuid.uuid4().hex}") for part in ("raw", "distinct", "cleaned"))
+
+    def observe_raw(self, raw: DataFrame, as_typed: list[Column]) -> DataFrame:
+        """Typed columns of the raw text, with missing and invalid cells counted."""
+        both = raw.select(F.struct(*[F.col(c) for c in self.columns]).alias("_raw"), *as_typed)
+        missing = [F.count_if(F.col(f"_raw.{c}").isNull()).alias(f"missing {c}") for c in self.columns]
+        invalid = [F.count_if(F.col(f"_raw.{c}").isNotNull() & F.col(c).isNull()).alias(f"invalid {c}") for c in self.checked]
+        return both.observe(self.raw, F.count(F.lit(1)).alias("rows"), *missing, *invalid)
+
+    def observe_distinct(self, typed: DataFrame) -> DataFrame:
+        bad = impossible_condition(self.rule)
+        return typed.observe(
+            self.distinct,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("volume") < 0).alias("negative_volume"),
+            F.count_if(F.col("trade_count") < 0).alias("negative_trade_count"),
+            F.count_if(F.col("high") < F.col("low")).alias("high_below_low"),
+            F.count_if(bad).alias("impossible_rows"),
+        )
+
+    def observe_cleaned(self, cleaned: DataFrame) -> DataFrame:
+        missing = F.coalesce(F.sum(_nulls_in_row(cleaned.columns)), F.lit(0)).alias("missing")
+        return cleaned.observe(self.cleaned, F.count(F.lit(1)).alias("rows"), missing)
+
+    def frames(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """The reports of ``dq_report``, ``missing_by_column``, ``invalid_by_column`` and
+        ``impossible_counts``, after both writes."""
+        raw, distinct, cleaned = self.raw.get, self.distinct.get, self.cleaned.get
+        missing = {c: raw[f"missing {c}"] for c in self.columns}
+        invalid = {c: raw[f"invalid {c}"] for c in self.checked}
+        most = max(missing.values(), default=0)
+        first = next((c for c, n in missing.items() if n == most), None)
+        report = {
+            "rows_before": raw["rows"],
+            "rows_after": cleaned["rows"],
+            "missing_before": sum(missing.values()),
+            "missing_after": cleaned["missing"],
+            "duplicates_found": raw["rows"] - distinct["rows"],
+            "invalid_numeric_cells": sum(invalid[c] for c in self.checked if c in NUMERIC_COLS),
+            "invalid_timestamp_cells": sum(invalid[c] for c in self.checked if c in TIME_COLS),
+            "negative_volume": distinct["negative_volume"],
+            "dropped_impossible": distinct["impossible_rows"],
+        }
+        impossible = [distinct[k] for k in ("negative_volume", "negative_trade_count", "high_below_low", "impossible_rows")]
+        return {
+            "dq_report": spark.createDataFrame([(i, k, n) for i, (k, n) in enumerate(report.items())], "position int, metric string, value bigint"),
+            "missing_by_column": spark.createDataFrame(
+                [(c, n, i, c == first) for i, (c, n) in enumerate(missing.items()) if n], "column_name string, missing_count bigint, position int, most_affected boolean"
+            ),
+            "invalid_by_column": spark.createDataFrame(
+                [(i, c, n, "timestamp" if c in TIME_COLS else "numeric") for i, (c, n) in enumerate(invalid.items())],
+                "position int, column_name string, invalid_count bigint, kind string",
+            ),
+            "impossible_counts": spark.createDataFrame([impossible], "negative_volume bigint, negative_trade_count bigint, high_below_low bigint, impossible_rows bigint"),
+        }
+
 
 def table_shape(df: DataFrame) -> DataFrame:
     """Row and column counts in one row (the column count is schema metadata)."""

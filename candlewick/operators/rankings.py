@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalar import activity_score, exact_avg, exact_sum
+from candlewick.functions.scalar import activity_score, exact_avg, exact_moments, exact_sum
 
 
 def _ranked(df: DataFrame, metric: str, key: str, name: str) -> DataFrame:
@@ -57,14 +57,15 @@ def row_count_by_symbol(df: DataFrame) -> DataFrame:
 
 def volatility_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
     """avg / min / max / sample stddev of price_range per symbol, ranked by the average."""
+    average, spread = exact_moments("price_range")
     stats = (
         df.filter(F.col("price_range").isNotNull())
         .groupBy("symbol")
         .agg(
-            exact_avg("price_range").alias("avg_price_range"),
+            average.alias("avg_price_range"),
             F.min("price_range").alias("min_price_range"),
             F.max("price_range").alias("max_price_range"),
-            F.stddev_samp("price_range").alias("stddev_price_range"),
+            spread.alias("stddev_price_range"),
         )
     )
     ranked = _ranked(stats, "avg_price_range", "symbol", "volatility_rank")
@@ -75,6 +76,7 @@ def volatility_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
 def activity_ranking(df: DataFrame, decimals: int | None = None) -> DataFrame:
     """Trades, quote volume and average volume over rows having both counters;
     score = trades * ln(quote volume + 1)."""
+    average, spread = exact_moments("price_range")
     stats = (
         df.filter(F.col("trade_count").isNotNull() & F.col("quote_volume").isNotNull())
         .groupBy("symbol")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalar import activity_score, exact_avg, exact_sum
+from candlewick.functions.scalar import activity_score, exact_avg, exact_moments, exact_sum
 
 SUMMARY_COLUMNS = [
     "symbol", "row_count",
@@ -37,13 +37,14 @@ def market_summary(df: DataFrame, decimals: int | None = None) -> DataFrame:
     both = F.col("trade_count").isNotNull() & F.col("quote_volume").isNotNull()
     move = F.col("percent_change").isNotNull() & F.col("candle_direction").isNotNull()
     direction = F.col("candle_direction")
+    average, spread = exact_moments(rng)
     per_symbol = df.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(rng).alias("_n_range"),
-        exact_avg(rng).alias("avg_price_range"),
+        average.alias("avg_price_range"),
         F.min(rng).alias("min_price_range"),
         F.max(rng).alias("max_price_range"),
-        F.stddev_samp(rng).alias("stddev_price_range"),
+        spread.alias("stddev_price_range"),
         F.count_if(both).alias("_n_activity"),
         F.sum(F.when(both, F.col("trade_count"))).alias("total_trades"),
         exact_sum(F.when(both, F.col("quote_volume"))).alias("total_quote_volume"),

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.scalar import epoch_ms_to_ts, to_iso_text
+from candlewick.functions.scalar import epoch_ms_to_ts, normalise_symbol, to_iso_text
 from candlewick.operators import clean, defects, derive, quality, rankings, requests, sample, summary
+from candlewick.plans import jobs, views
 from candlewick.plans.tables import SEED, Stages
 from candlewick.schema import SYMBOLS
+from candlewick.session import scratch_path
 from candlewick.sources import events as ev
-from candlewick.sources import files, ingest, klines, requestlog
+from candlewick.sources import files, ingest, klines, requestlog, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 EXPECTED_CANDLES_PER_SYMBOL = 720
 RATE_WINDOW_S = 3600
 RATE_CAP = 3
+RERUN_DAY = "2024-01-10"
 
 
 def _stages(spark: SparkSession, sf_dir: str) -> Stages:
@@ -45,11 +49,13 @@ def q_epoch_ms_to_ts(spark, sf_dir):
 
 
 def q_union_batches(spark, sf_dir):
-    e = _stages(spark, sf_dir).events()
-    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    first = ev.candles_from_events(e.filter((F.col("ts") < cut) | F.col("ts").isNull()))
-    second = ev.candles_from_events(e.filter(F.col("ts") >= cut))
-    return files.union_batches(first, second)
+    """Batches as they land, one file a half month, read as one table."""
+    path = scratch_path(spark, "batches")
+    half = F.when(F.col("open_time") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), "first").otherwise("second")
+    candles = _stages(spark, sf_dir).candles().withColumn("batch", half)
+    sinks.write_parquet(candles, path, partition_by=["batch"])
+    stored = spark.read.schema(candles.schema).parquet(path)
+    return files.union_batches(*[stored.where(F.col("batch") == b).drop("batch") for b in ("first", "second")])
 
 
 def q_decode_klines(spark, sf_dir):
@@ -305,7 +311,11 @@ def q_rate_window_counts(spark, sf_dir):
 
 def q_rate_window_minute(spark, sf_dir):
     r = _stages(spark, sf_dir).requests().select("request_id", "client", F.col("start_ts").alias("ts"))
-    return requests.rate_window_counts(r, "client", "ts", window_seconds=60, cap=100)
+    return requests.rate_window_counts(r, "client", "ts")
+
+
+def q_concurrency_breaches(spark, sf_dir):
+    return requests.concurrency_breaches(_stages(spark, sf_dir).requests(), "client", "start_ts", "end_ts")
 
 
 def q_max_concurrency(spark, sf_dir):
@@ -317,6 +327,115 @@ def q_request_latency(spark, sf_dir):
     return requests.request_latency(requestlog.parse_request_log(lines))
 
 
+def _run_log(spark, sf_dir):
+    """A log without ids, written as files in the shared folder and read back."""
+    path = scratch_path(spark, "run-log")
+    requestlog.write_log(requestlog.run_log_lines(_stages(spark, sf_dir).requests()), path)
+    return requestlog.parse_request_log(requestlog.read_log_lines(spark, path), with_line_order=True)
+
+
+def q_request_runs(spark, sf_dir):
+    return requests.request_runs(_run_log(spark, sf_dir))
+
+
+def q_run_report(spark, sf_dir):
+    return requests.run_report(_run_log(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- files and hand-offs
+def _through_csv(spark, df, name: str, **options):
+    path = scratch_path(spark, name)
+    sinks.write_csv(df, path, **options)
+    return path
+
+
+def q_scan_messy(spark, sf_dir):
+    return files.scan_messy(spark, _through_csv(spark, _stages(spark, sf_dir).messy(), "messy-csv"))
+
+
+def q_scan_nonempty(spark, sf_dir):
+    text = defects.candles_as_text(_stages(spark, sf_dir).candles())
+    back = files.scan_nonempty(spark, _through_csv(spark, text, "candles-csv"))
+    return back.withColumn("row_id", F.col("row_id").cast("bigint"))
+
+
+def q_scan_cleaned(spark, sf_dir):
+    return files.scan_cleaned(spark, _through_csv(spark, _stages(spark, sf_dir).cleaned(), "cleaned-csv"))
+
+
+def q_write_csv(spark, sf_dir):
+    """Texts with quotes, commas and line breaks, through a CSV file and back."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    return files.scan_typed(spark, _through_csv(spark, docs, "texts-csv"), docs.schema, multi_line=True)
+
+
+def q_write_summary(spark, sf_dir):
+    ranked = summary.market_summary(_stages(spark, sf_dir).featured())
+    path = scratch_path(spark, "summary-csv")
+    sinks.write_summary(ranked, path)
+    return files.scan_typed(spark, path, ranked.schema)
+
+
+def q_rerun_one_day(spark, sf_dir):
+    """A table by trade date, of which one day is written again without its flat candles."""
+    cleaned = _stages(spark, sf_dir).cleaned()
+    path = scratch_path(spark, "by-date")
+    sinks.write_by_date(cleaned, path)
+    day = jobs.read_cleaned(spark, path, RERUN_DAY, RERUN_DAY, cleaned.schema)
+    # a day's rows replace the files they are read from: they go through a table of their own
+    kept = scratch_path(spark, "one-day")
+    sinks.write_parquet(day.where(F.col("candle_direction") != "flat"), kept)
+    sinks.write_by_date(spark.read.parquet(kept), path)
+    return jobs.read_cleaned(spark, path, columns=cleaned.schema)
+
+
+def q_clean_job_reports(spark, sf_dir):
+    """All reports of one cleaning run over a CSV, read once, as (report, name, value)."""
+    raw = files.scan_nonempty(spark, _through_csv(spark, _stages(spark, sf_dir).messy(), "messy-csv"))
+    reports = jobs.clean_to(raw, scratch_path(spark, "cleaned"))
+    impossible = reports["impossible_counts"]
+    parts = [
+        reports["dq_report"].select(F.lit("dq_report").alias("report"), F.col("metric").alias("name"), "value"),
+        reports["missing_by_column"].select(F.lit("missing"), "column_name", "missing_count"),
+        reports["missing_by_column"].where("most_affected").select(F.lit("most_affected"), "column_name", "missing_count"),
+        reports["invalid_by_column"].select(F.lit("invalid"), "column_name", "invalid_count"),
+        impossible.select(F.lit("impossible"), F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in impossible.columns]))),
+    ]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+def q_kline_outcomes(spark, sf_dir):
+    """What became of each record of payloads in which some volumes are no numbers."""
+    candles = _stages(spark, sf_dir).candles()
+    odd = F.when(F.col("row_id") % 59 == 0, "n/a").when(F.col("row_id") % 61 == 0, "1.5.2").otherwise(F.col("volume").cast("string"))
+    tagged = klines.decode_tagged(klines.encode_klines(candles.withColumn("volume", odd), limit=1000))
+    path = scratch_path(spark, "decoded")
+    sinks.write_parquet(tagged, path, partition_by=["tag"])
+    decoded = spark.read.schema(tagged.schema).parquet(path)
+    return decoded.groupBy("symbol", "tag", F.array_join("cells", " ").alias("cells")).agg(F.count(F.lit(1)).alias("records"), F.count("volume").alias("volumes"))
+
+
+def q_symbol_domain_sketch(spark, sf_dir):
+    """Distinct symbols and cells by sketches that are stored by batch and merged, beside exact counts."""
+    messy = _stages(spark, sf_dir).messy()
+    texts = messy.select("symbol", normalise_symbol("symbol").alias("normalised"), "open_time")
+    cols = ["symbol", "normalised"]
+    path = scratch_path(spark, "sketches")
+    batches = texts.withColumn("batch", F.coalesce(F.substring("open_time", 1, 10), F.lit("")))
+    sinks.write_parquet(quality.domain_sketches(batches, "batch", cols), path)
+    return quality.domain_check(quality.exact_domains(texts, cols), quality.merged_domains(spark.read.parquet(path)))
+
+
+def q_market_summary_sql(spark, sf_dir):
+    views.register_market_views(spark, _stages(spark, sf_dir).cleaned())
+    return views.market_summary_sql(spark)
+
+
+def q_symbol_history_sql(spark, sf_dir):
+    views.register_market_views(spark, _stages(spark, sf_dir).cleaned())
+    return views.symbol_history_sql(spark, "CLICKUSDT", "2024-01-05", "2024-01-20")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -1,22 +1,18 @@
 """SQL twins of the registered queries, for an independent engine (DuckDB).
 
-Each query is written from scratch in plain SQL over the driver's views
-(``events`` ...): the candle build, the defect injection (same seeded hash,
-rendered as SQL text), the cleaning, and every report.  Where the Spark plan
-is restructured for scale, the SQL keeps the straightforward form (e.g. the
-market summary uses the reference's join-back shape, windows are global per
-client), so the comparison checks the rewrite, not just the arithmetic.
+Each query is written in plain SQL over the driver's views (``events`` ...): the candle
+build, the defect injection (rows picked by ``row_number`` over the seeded hash), the
+cleaning, and every report.  Of the Spark side only column names, the seed and the
+queries' parameters are shared: hash, rates, tokens, patterns and formulas stand here
+again.  Where the Spark plan is restructured for scale, the SQL keeps a straightforward
+form (windows over the whole table, one subquery a figure), so the comparison checks the
+rewrite, not just the arithmetic.
 """
 
 from __future__ import annotations
 
-from candlewick.functions.hashing import picked_sql
-from candlewick.functions.scalar import NUMBER_PATTERN, TIMESTAMP_PATTERN
-from candlewick.operators import defects as _defects
-from candlewick.operators.defects import SALT, DefectRates, _present, decision_sql
 from candlewick.plans.catalog import EXPECTED_CANDLES_PER_SYMBOL, RATE_CAP, RATE_WINDOW_S
 from candlewick.plans.tables import SEED
-from candlewick.sources import requestlog as rl
 from candlewick.schema import FIELDNAMES, NUMERIC_COLS, SYMBOLS, TIME_COLS
 
 def qi(name: str) -> str:
@@ -27,12 +23,16 @@ def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+NUMBER = r"^\s*([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?)\s*$"
+STAMP = r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)\s*$"
+
+
 def safe_double_sql(x: str) -> str:
-    return f"TRY_CAST(nullif(regexp_extract({x}, {lit(NUMBER_PATTERN)}, 1), '') AS DOUBLE)"
+    return f"TRY_CAST(nullif(regexp_extract({x}, {lit(NUMBER)}, 1), '') AS DOUBLE)"
 
 
 def safe_ts_sql(x: str) -> str:
-    return f"(TRY_CAST(nullif(regexp_extract({x}, {lit(TIMESTAMP_PATTERN)}, 1), '') AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
+    return f"(TRY_CAST(nullif(regexp_extract({x}, {lit(STAMP)}, 1), '') AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
 
 
 def normalise_sql(x: str) -> str:
@@ -54,6 +54,10 @@ def xavg(x: str) -> str:
     return f"(fsum({x}) / nullif(count({x}), 0))"
 
 
+def stddev_sql(x: str) -> str:
+    return f"stddev_samp({x})"
+
+
 def score_sql(trades: str, qv: str) -> str:
     return f"({trades} * (CASE WHEN {qv} + 1 > 0 THEN ln({qv} + 1) END))"
 
@@ -95,25 +99,51 @@ def _text_sql() -> str:
     return "SELECT row_id, " + ", ".join(cols) + " FROM candles"
 
 
-def _flagged_sql(seed: int = SEED, rates: DefectRates = DefectRates()) -> str:
-    present = _present(set(FIELDNAMES))
-    dec = {
-        "_dropped": picked_sql("row_id", rates.drop, SALT["drop"], seed),
-        "_dup": picked_sql("row_id", rates.duplicate, SALT["duplicate"], seed),
-        **decision_sql(0, seed, rates, present, dialect="ansi"),
-        **decision_sql(1, seed, rates, present, dialect="ansi"),
-    }
-    # the token pick is an array lookup: DuckDB lists are 1-based like Spark's element_at
-    dec = {k: v.replace("element_at(array(", "list_extract(list_value(") for k, v in dec.items()}
-    decided = "SELECT *, " + ", ".join(f"{v} AS {k}" for k, v in dec.items()) + " FROM candle_text"
+def hash_sql(key: str, salt: int, seed: int = SEED) -> str:
+    """The seeded hash of a whole number, 0 to 999,999."""
+    high = f"(({key}) // 1000003 % 999983)"
+    a = f"((({key}) % 1000003 * 7919 + {high} * 611953 + {(salt * 104729 + seed * 15485863) % 1000003}) % 1000003)"
+    return f"((({a} * {a} + {high} * {7001 + 2 * salt} + {12345 * salt + 1}) % 999983 * 7 + {a}) % 1000000)"
 
-    def rows(copy: int, cond: str) -> str:
-        cells = [f"{_defects.cell_sql(copy, c, present, quote=qi, dialect='ansi')} AS {qi(c)}" for c in FIELDNAMES]
-        flags = [f"_m_{kind}_{copy} AS _m_{kind}" for kind in ("missing", "text", "time", "symbol", "negative")]
-        return f"SELECT row_id, _dropped, {', '.join(cells)}, {copy} AS _copy, {', '.join(flags)} FROM decided WHERE {cond}"
 
-    return f"""decided AS ({decided}),
-    flagged AS ({rows(0, 'true')} UNION ALL {rows(1, '_dup AND NOT _dropped')})"""
+def _first(key: str, salt: int, fraction: str, least: int, most: str = "n") -> str:
+    """Whether a row is among the first so many in order of hash, then key."""
+    many = f"greatest(0, least({most}, greatest({least}, CAST(floor(n * {fraction}::DOUBLE) AS BIGINT))))"
+    return f"row_number() OVER (ORDER BY {hash_sql(key, salt)}, {key}) <= {many}"
+
+
+def _messy_ctes() -> str:
+    """CTEs from ``candle_text`` to ``marked`` (one row for each row of the messy copy, the
+    defects that hit it, and where) and ``messy_rows`` (its cells)."""
+    numbers = ["open", "high", "low", "close", "volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume"]
+    times = ["open_time", "close_time"]
+    volumes = ["volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume"]
+    cells = []
+    for c in FIELDNAMES:
+        v = qi(c)
+        if c in numbers + times:
+            v = f"CASE WHEN blank AND blank_at = {(numbers + times).index(c)} THEN NULL ELSE {v} END"
+        if c in numbers:
+            v = f"CASE WHEN word AND word_at = {numbers.index(c)} THEN ['not_available', 'error', 'missing', 'unknown'][word_is + 1] ELSE {v} END"
+        if c in times:
+            v = f"CASE WHEN odd_time AND odd_time_at = {times.index(c)} THEN ['not_a_date', '1900-99-99', 'missing_time'][odd_time_is + 1] ELSE {v} END"
+        if c in volumes:
+            v = f"CASE WHEN negative AND negative_at = {volumes.index(c)} THEN coalesce(CAST(-abs(TRY_CAST({v} AS DECIMAL(38,8))) AS VARCHAR), '-999') ELSE {v} END"
+        if c == "symbol":
+            v = "CASE WHEN NOT variant THEN symbol WHEN variant_is = 0 THEN lower(symbol) WHEN variant_is = 1 THEN ' ' || symbol || ' ' ELSE replace(symbol, 'USDT', '/USDT') END"
+        cells.append(f"{v} AS {qi(c)}")
+    return f"""dropping AS (SELECT *, {_first('row_id', 61, '0.03', 5, 'n - 1')} AS dropped FROM (SELECT *, count(*) OVER () AS n FROM candle_text)),
+    staying AS (SELECT * EXCLUDE (n, twice), twice FROM (SELECT *, {_first('row_id', 71, '0.03', 5)} AS twice
+                FROM (SELECT * EXCLUDE (n), count(*) OVER () AS n FROM dropping WHERE NOT dropped))),
+    doubled AS (SELECT *, row_id * 2 AS k FROM staying UNION ALL SELECT *, row_id * 2 + 1 FROM staying WHERE twice),
+    marked AS (
+        SELECT *, {_first('k', 11, '0.05', 10)} AS blank, {hash_sql('k', 12)} % 11 AS blank_at,
+               {_first('k', 21, '0.04', 8)} AS word, {hash_sql('k', 22)} % 9 AS word_at, {hash_sql('k', 23)} % 4 AS word_is,
+               {_first('k', 31, '0.03', 6)} AS odd_time, {hash_sql('k', 32)} % 2 AS odd_time_at, {hash_sql('k', 33)} % 3 AS odd_time_is,
+               {_first('k', 41, '0.04', 8)} AND symbol IS NOT NULL AS variant, {hash_sql('k', 42)} % 3 AS variant_is,
+               {_first('k', 51, '0.03', 6)} AS negative, {hash_sql('k', 52)} % 4 AS negative_at
+        FROM (SELECT *, count(*) OVER () AS n FROM doubled)),
+    messy AS (SELECT {', '.join(cells)} FROM marked)"""
 
 
 def _coerced_sql() -> str:
@@ -153,18 +183,41 @@ def log_sql(interval: str = "1h", limit: int = 1000) -> str:
 
 
 def parsed_sql() -> str:
-    def ex(pattern: str, src: str = "msg") -> str:
-        return f"nullif(regexp_extract({src}, {lit(pattern)}, 1), '')"
-
-    kind = "CASE " + " ".join(f"WHEN regexp_matches(msg, {lit(p)}) THEN {lit(k)}" for k, p in rl.KIND_PATTERNS) + " ELSE 'OTHER' END"
-    return f"""SELECT try_strptime({ex(rl.LINE_PATTERN, 'value')}, '%Y-%m-%dT%H:%M:%SZ') AS ts,
-           kind, {ex(rl.SYMBOL_PATTERN)} AS symbol, {ex(rl.INTERVAL_PATTERN)} AS "interval",
-           CAST({ex(rl.LIMIT_PATTERN)} AS BIGINT) AS "limit",
-           CASE WHEN kind IN ('END', 'WROTE', 'DOWNLOADED') THEN CAST({ex(rl.RECORDS_PATTERN)} AS BIGINT) END AS records,
-           CAST({ex(rl.WAIT_PATTERN)} AS DOUBLE) AS wait_seconds, {ex(rl.CSV_PATTERN)} AS csv,
-           CAST({ex(rl.ID_PATTERN)} AS BIGINT) AS request_id, {ex(rl.ERROR_PATTERN)} AS error, msg AS message
-    FROM (SELECT value, msg, {kind} AS kind
-          FROM (SELECT value, regexp_extract(value, {lit(rl.LINE_PATTERN)}, 2) AS msg FROM log_lines))"""
+    def ex(pattern: str) -> str:
+        return f"nullif(regexp_extract(msg, {lit(pattern)}, 1), '')"
+
+    return f"""SELECT try_strptime(nullif(stamp, ''), '%Y-%m-%dT%H:%M:%SZ') AS ts,
+           kind, {ex('(?:symbol=|^Downloaded )([^:[:space:]]+)')} AS symbol, {ex('interval=([^[:space:]]+)')} AS "interval",
+           TRY_CAST({ex('limit=([0-9]+)')} AS BIGINT) AS "limit",
+           CASE WHEN kind IN ('END', 'WROTE', 'DOWNLOADED') THEN TRY_CAST({ex('(?:records=|: )([0-9]+)(?: records)?')} AS BIGINT) END AS records,
+           TRY_CAST({ex('^RATE_LIMIT wait ([0-9.]+)s')} AS DOUBLE) AS wait_seconds, {ex('csv=([^[:space:]]+)')} AS csv,
+           TRY_CAST({ex('[^A-Za-z0-9_]id=([0-9]+)')} AS BIGINT) AS request_id,
+           {ex('^ERROR request symbol=[^:[:space:]]+(?: id=[0-9]+)?: (.*)$')} AS error, msg AS message
+    FROM (SELECT *, CASE WHEN stamp = '' THEN 'OTHER' WHEN msg LIKE 'START request %' THEN 'START' WHEN msg LIKE 'END request %' THEN 'END'
+                         WHEN msg LIKE 'ERROR request %' THEN 'ERROR' WHEN msg LIKE 'RATE_LIMIT wait %' THEN 'RATE_LIMIT'
+                         WHEN msg LIKE 'WROTE %' THEN 'WROTE' WHEN msg LIKE 'Downloaded %' THEN 'DOWNLOADED' ELSE 'OTHER' END AS kind
+          FROM (SELECT regexp_extract(value, '^([^[:space:]]+) [|] (.*)$', 1) AS stamp,
+                       CASE WHEN regexp_matches(value, '^([^[:space:]]+) [|] (.*)$') THEN regexp_extract(value, '^([^[:space:]]+) [|] (.*)$', 2) ELSE value END AS msg
+                FROM log_lines))"""
+
+
+#: The lines of the log without ids, as typed rows in the order they are written (t, k,
+#: seq), numbered over the whole log: run, and place among the starts or ends of a symbol.
+RUN_LINES = """day_log AS (
+        SELECT CAST(start_ts AS DATE) AS day, request_id AS k, client, failed, epoch(date_trunc('second', start_ts))::BIGINT AS t0,
+               least(epoch(date_trunc('second', end_ts))::BIGINT, epoch(CAST(start_ts AS DATE) + INTERVAL 1 DAY)::BIGINT - 2) AS t1,
+               CASE WHEN request_id % 101 <> 0 THEN records END AS n, records,
+               CASE WHEN request_id % 77 <> 0 THEN (request_id % 6000) / 100.0 END AS wait FROM requests),
+    days AS (SELECT day, epoch(day)::BIGINT AS t, sum(records)::BIGINT AS n FROM day_log GROUP BY day),
+    run_lines AS (
+        SELECT *, count(*) FILTER (kind = 'RUN') OVER (ORDER BY t, k, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM (
+            SELECT t, -1 AS k, 0 AS seq, 'RUN' AS kind, NULL AS symbol, NULL::BIGINT AS n, NULL::DOUBLE AS wait,
+                   CASE WHEN day(day) % 2 = 1 THEN 'serial' ELSE 'multithreaded' END AS mode FROM days
+            UNION ALL SELECT t + 86399, -1, 1, 'WROTE', NULL, n, NULL, NULL FROM days
+            UNION ALL SELECT t0, k, 0, 'RATE_LIMIT', NULL, NULL, wait, NULL FROM day_log WHERE k % 7 = 0
+            UNION ALL SELECT t0, k, 1, 'START', client, NULL, NULL, NULL FROM day_log
+            UNION ALL SELECT t1, k, 2, CASE WHEN failed THEN 'ERROR' ELSE 'END' END, client, CASE WHEN NOT failed THEN n END, NULL, NULL FROM day_log
+            UNION ALL SELECT t1, k, 3, 'DOWNLOADED', client, n, NULL, NULL FROM day_log WHERE NOT failed))"""
 
 
 IMPOSSIBLE = "coalesce(volume < 0 OR trade_count < 0 OR high < low, false)"
@@ -177,8 +230,7 @@ DERIVED = """high - low AS price_range,
 def base_ctes() -> str:
     return f"""WITH candles AS ({candles_sql()}),
     candle_text AS ({_text_sql()}),
-    {_flagged_sql()},
-    messy AS (SELECT {', '.join(qi(c) for c in FIELDNAMES)} FROM flagged WHERE NOT _dropped),
+    {_messy_ctes()},
     coerced AS ({_coerced_sql()}),
     deduped AS (SELECT DISTINCT * FROM coerced),
     possible AS (SELECT * FROM deduped WHERE NOT {IMPOSSIBLE}),
@@ -211,33 +263,37 @@ def _long(rows: list[tuple[str, str]], name_col: str, value_col: str, src: str)
 
 
 def _summary_sql() -> str:
-    """CTEs ``vol``, ``act`` and ``summary``: one grouping with filtered aggregates, then
-    the two rankings by their own conditions; no join back to the candles."""
+    """CTEs ``vol``, ``act`` and ``summary``.
+
+    The symbols of the summary are those that have a range, a trade row and a move each:
+    an intersection of three lists.  Every other figure is a subquery of its own.
+    """
     ranged, traded = "price_range IS NOT NULL", "trade_count IS NOT NULL AND quote_volume IS NOT NULL"
     moved = "percent_change IS NOT NULL AND candle_direction IS NOT NULL"
     score = score_sql("total_trades", "total_quote_volume")
-    directions = ", ".join(f"count(*) FILTER ({moved} AND candle_direction = '{d}') AS {d}_count" for d in ("up", "down", "flat"))
-    return f"""per_symbol AS (
-        SELECT symbol, count(*) AS row_count,
-               count(*) FILTER ({ranged}) AS n_ranged, count(*) FILTER ({traded}) AS n_traded, count(*) FILTER ({moved}) AS n_moved,
-               fsum(price_range) / nullif(n_ranged, 0) AS avg_price_range, min(price_range) AS min_price_range, max(price_range) AS max_price_range,
-               stddev_samp(price_range) AS stddev_price_range,
-               sum(trade_count) FILTER ({traded}) AS total_trades, (fsum(quote_volume) FILTER ({traded})) AS total_quote_volume,
-               fsum(volume) FILTER ({traded}) / nullif(count(volume) FILTER ({traded}), 0) AS avg_volume,
-               fsum(percent_change) FILTER ({moved}) / nullif(n_moved, 0) AS avg_percent_change, {directions}
-        FROM featured GROUP BY symbol),
-    vol AS (
-        SELECT symbol, avg_price_range, min_price_range, max_price_range, stddev_price_range,
-               CAST(row_number() OVER (ORDER BY avg_price_range DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS volatility_rank
-        FROM per_symbol WHERE n_ranged > 0),
-    scored AS (SELECT *, {score} AS symbol_activity_score FROM per_symbol WHERE n_traded > 0),
+
+    def figure(what: str, where: str = "true") -> str:
+        return f"(SELECT {what} FROM featured f WHERE f.symbol = s.symbol AND {where})"
+
+    directions = ", ".join(f"{figure('count(*)', moved + f' AND candle_direction = {lit(d)}')} AS {d}_count" for d in ("up", "down", "flat"))
+    own = ["avg_price_range", "min_price_range", "max_price_range", "stddev_price_range", "volatility_rank"]
+    acts = ["total_trades", "total_quote_volume", "avg_volume", "symbol_activity_score", "symbol_activity_rank"]
+    picked = ", ".join(f"(SELECT {c} FROM vol WHERE vol.symbol = s.symbol) AS {c}" for c in own)
+    picked += ", " + ", ".join(f"(SELECT {c} FROM act WHERE act.symbol = s.symbol) AS {c}" for c in acts)
+    return f"""vol AS (
+        SELECT *, CAST(row_number() OVER (ORDER BY avg_price_range DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS volatility_rank
+        FROM (SELECT symbol, {xavg('price_range')} AS avg_price_range, min(price_range) AS min_price_range, max(price_range) AS max_price_range,
+                     {stddev_sql('price_range')} AS stddev_price_range
+              FROM featured WHERE {ranged} GROUP BY symbol)),
     act AS (
-        SELECT symbol, total_trades, total_quote_volume, avg_volume, symbol_activity_score,
-               CAST(row_number() OVER (ORDER BY symbol_activity_score DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS symbol_activity_rank
-        FROM scored),
+        SELECT *, CAST(row_number() OVER (ORDER BY symbol_activity_score DESC NULLS LAST, symbol ASC NULLS FIRST) AS INTEGER) AS symbol_activity_rank
+        FROM (SELECT *, {score} AS symbol_activity_score
+              FROM (SELECT symbol, sum(trade_count) AS total_trades, {xsum('quote_volume')} AS total_quote_volume, {xavg('volume')} AS avg_volume
+                    FROM featured WHERE {traded} GROUP BY symbol))),
+    listed AS (SELECT symbol FROM featured WHERE {ranged} INTERSECT SELECT symbol FROM featured WHERE {traded} INTERSECT SELECT symbol FROM featured WHERE {moved}),
     summary AS (
-        SELECT symbol, row_count, vol.* EXCLUDE (symbol), act.* EXCLUDE (symbol), avg_percent_change, up_count, down_count, flat_count
-        FROM per_symbol JOIN vol USING (symbol) JOIN act USING (symbol) WHERE n_moved > 0)
+        SELECT symbol, {figure('count(*)')} AS row_count, {picked}, {figure(xavg('percent_change'), moved)} AS avg_percent_change, {directions}
+        FROM listed s WHERE symbol IS NOT NULL)
     """
 
 
@@ -293,18 +349,18 @@ def oracle_sql() -> dict[str, str]:
 
     # ------------------------------------------------------------ defects
     sql["inject_defects"] = _q("SELECT * FROM messy")
-    counters = [
-        ("original_rows", "count(*) FILTER (WHERE _copy = 0)"),
-        ("dropped_rows", "count(*) FILTER (WHERE _copy = 0 AND _dropped)"),
-        ("duplicated_rows", "count(*) FILTER (WHERE _copy = 1)"),
-        ("missing_values", "count(*) FILTER (WHERE NOT _dropped AND _m_missing)"),
-        ("text_in_numeric_columns", "count(*) FILTER (WHERE NOT _dropped AND _m_text)"),
-        ("invalid_times", "count(*) FILTER (WHERE NOT _dropped AND _m_time)"),
-        ("inconsistent_symbols", "count(*) FILTER (WHERE NOT _dropped AND _m_symbol)"),
-        ("negative_volumes", "count(*) FILTER (WHERE NOT _dropped AND _m_negative)"),
-        ("final_rows", "count(*) FILTER (WHERE NOT _dropped)"),
-    ]
-    sql["defect_summary"] = _q(_long(counters, "metric", "value", "flagged"))
+    counters = {
+        "original_rows": "FROM candle_text",
+        "dropped_rows": "FROM dropping WHERE dropped",
+        "duplicated_rows": "FROM staying WHERE twice",
+        "missing_values": "FROM marked WHERE blank",
+        "text_in_numeric_columns": "FROM marked WHERE word",
+        "invalid_times": "FROM marked WHERE odd_time",
+        "inconsistent_symbols": "FROM marked WHERE variant",
+        "negative_volumes": "FROM marked WHERE negative",
+        "final_rows": "FROM marked",
+    }
+    sql["defect_summary"] = _q(" UNION ALL ".join(f"SELECT {i} AS position, {lit(m)} AS metric, count(*) AS value {src}" for i, (m, src) in enumerate(counters.items())))
 
     # ------------------------------------------------------------ cleaning
     num = ", ".join(
@@ -493,6 +549,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT client, sum(d) OVER (PARTITION BY client ORDER BY t, d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
             FROM ev) GROUP BY client"""
     )
+    sql["concurrency_breaches"] = _q(
+        """, ev AS (SELECT client, epoch_us(start_ts) AS t, 1 AS d FROM requests
+                 UNION ALL SELECT client, epoch_us(end_ts) AS t, -1 AS d FROM requests)
+        SELECT client, count(*) AS requests, count(*) FILTER (running > 5) AS over_cap FROM (
+            SELECT client, d, sum(d) OVER (PARTITION BY client ORDER BY t, d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+            FROM ev) WHERE d = 1 GROUP BY client"""
+    )
     sql["request_latency"] = _q(
         """SELECT symbol, request_id,
                min(CASE WHEN kind = 'START' THEN ts END) AS start_ts,
@@ -502,5 +565,53 @@ def oracle_sql() -> dict[str, str]:
                (epoch_us(min(CASE WHEN kind <> 'START' THEN ts END)) - epoch_us(min(CASE WHEN kind = 'START' THEN ts END))) / 1000000.0 AS latency_seconds
         FROM parsed WHERE kind IN ('START', 'END', 'ERROR') AND request_id IS NOT NULL GROUP BY symbol, request_id"""
     )
+    sql["request_runs"] = _q(
+        f""", {RUN_LINES}, tries AS (
+            SELECT *, row_number() OVER (PARTITION BY run, symbol, kind = 'START' ORDER BY t, k, seq) AS attempt
+            FROM run_lines WHERE kind IN ('START', 'END', 'ERROR')),
+        ends AS (SELECT * FROM tries WHERE kind <> 'START'), starts AS (SELECT * FROM tries WHERE kind = 'START')
+        SELECT coalesce(s.run, e.run) AS run, coalesce(s.symbol, e.symbol) AS symbol, coalesce(s.attempt, e.attempt) AS attempt,
+               make_timestamp(s.t * 1000000) AS start_ts, make_timestamp(e.t * 1000000) AS end_ts, e.n AS records,
+               CASE WHEN e.kind = 'ERROR' THEN '500 Server Error' END AS error, coalesce(e.kind = 'ERROR', false) AS failed,
+               CAST(e.t - s.t AS DOUBLE) AS latency_seconds
+        FROM starts s FULL OUTER JOIN ends e ON s.run = e.run AND s.symbol = e.symbol AND s.attempt = e.attempt"""
+    )
+    sql["run_report"] = _q(
+        f""", {RUN_LINES}
+        SELECT run, max(mode) AS mode, make_timestamp(min(t) * 1000000) AS first_ts, make_timestamp(max(t) * 1000000) AS last_ts, count(*) AS lines,
+               count(*) FILTER (kind = 'START') AS started, count(*) FILTER (kind = 'END') AS ended, count(*) FILTER (kind = 'ERROR') AS failed,
+               CAST(sum(n) FILTER (kind = 'DOWNLOADED') AS BIGINT) AS downloaded_records, count(*) FILTER (kind = 'RATE_LIMIT') AS rate_limit_waits,
+               count(*) FILTER (kind = 'RATE_LIMIT' AND wait IS NULL) AS unread_waits, fsum(wait) AS wait_seconds,
+               count(*) FILTER (kind = 'WROTE') AS files_written, CAST(sum(n) FILTER (kind = 'WROTE') AS BIGINT) AS written_records
+        FROM run_lines GROUP BY run"""
+    )
+    # ------------------------------------------------------------ files and hand-offs
+    sql["scan_messy"] = _q("SELECT * FROM messy")
+    sql["scan_nonempty"] = _q("SELECT * FROM candle_text")
+    sql["scan_cleaned"] = _q("SELECT * FROM cleaned")
+    sql["write_csv"] = "SELECT doc_id, source, text FROM documents"
+    sql["write_summary"] = sql["market_summary"]
+    sql["rerun_one_day"] = _q("SELECT * FROM cleaned WHERE open_time IS NULL OR CAST(open_time AS DATE) <> DATE '2024-01-10' OR candle_direction <> 'flat'")
+    sql["clean_job_reports"] = (
+        f"SELECT 'dq_report' AS report, metric AS name, value FROM ({sql['dq_report']}) a "
+        f"UNION ALL SELECT 'missing', column_name, missing_count FROM ({sql['missing_by_column']}) b "
+        f"UNION ALL SELECT 'most_affected', column_name, missing_count FROM ({sql['missing_by_column']}) c WHERE most_affected "
+        f"UNION ALL SELECT 'invalid', column_name, invalid_count FROM ({sql['invalid_by_column']}) d "
+        f"UNION ALL SELECT 'impossible', name, value FROM (UNPIVOT ({sql['impossible_counts']}) ON COLUMNS(*) INTO NAME name VALUE value) e"
+    )
+    sql["kline_outcomes"] = _q(
+        """SELECT symbol, CASE WHEN odd THEN 'cells' ELSE 'whole' END AS tag, CASE WHEN odd THEN 'volume' END AS cells,
+               count(*) AS records, count(*) FILTER (NOT odd) AS volumes
+        FROM (SELECT *, row_id % 59 = 0 OR row_id % 61 = 0 AS odd FROM candles) GROUP BY symbol, odd"""
+    )
+    sql["symbol_domain_sketch"] = _q(
+        f"""SELECT 'symbol' AS column_name, count(DISTINCT symbol) AS exact, count(DISTINCT symbol) AS estimate, true AS within FROM messy
+        UNION ALL SELECT 'normalised', count(DISTINCT {normalise_sql('symbol')}), count(DISTINCT {normalise_sql('symbol')}), true FROM messy"""
+    )
+    sql["market_summary_sql"] = sql["market_summary"]
+    sql["symbol_history_sql"] = _q(
+        """SELECT trade_date, count(*) AS candles, min(low) AS low, max(high) AS high, CAST(sum(trade_count) AS BIGINT) AS trades,
+               count(*) FILTER (candle_direction = 'up') AS moves
+        FROM featured WHERE symbol = 'CLICKUSDT' AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY trade_date"""
+    )
     return sql
-

@@ -8,6 +8,8 @@ session time zone, AQE) on whatever session it is given.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +72,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate files, in the shared folder (``spark.checkpoint.dir``).
+
+    Where that is unset, only a session in local mode gets a folder of this machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="candlewick-")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"

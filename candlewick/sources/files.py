@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 
 from candlewick.functions.scalar import safe_timestamp
 from candlewick.schema import CLEANED_SCHEMA, FIELDNAMES, TIME_COLS
+from candlewick.sources.sinks import CSV_EXACT_FORM, CSV_READ_FORM
 
 
-def _scan_by_header(spark: SparkSession, path: str, types: dict[str, T.DataType], rejects: str | None) -> DataFrame:
-    header = spark.read.option("header", True).csv(path).columns
+def _scan_by_header(spark: SparkSession, path: str, types: dict[str, T.DataType], rejects: str | None, multi_line: bool = False, form: dict = CSV_READ_FORM) -> DataFrame:
+    header = spark.read.options(**form).option("multiLine", multi_line).csv(path).columns
     fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = spark.read.options(**form).option("enforceSchema", False).option("multiLine", multi_line)
     if rejects:
         fields.append(T.StructField(rejects, T.StringType(), True))
         # a line's cells are only counted when all its columns are parsed
@@ -28,6 +29,16 @@ def _scan_by_header(spark: SparkSession, path: str, types: dict[str, T.DataType]
     return reader.schema(T.StructType(fields)).csv(path)
 
 
+def scan_typed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Any CSV of ``write_csv``, bound by header name, with the types of ``schema``; empty
+    texts and NULL stay apart.
+
+    ``multi_line`` reads cells that hold line breaks; each file is then read by one task.
+    """
+    df = _scan_by_header(spark, path, {f.name: f.dataType for f in schema.fields}, None, multi_line, CSV_EXACT_FORM)
+    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
 def scan_messy(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
     """Dirty candle CSV, every column as text; empty fields are NULL.
 

@@ -3,6 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: How cells are written and read back: quotes are doubled, blanks around a cell are part
+#: of it, an empty cell is NULL and an empty text is a pair of quotes.
+CSV_FORM = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "",
+    "emptyValue": '""',
+}
+#: ``emptyValue`` is what is written; on reading it is what such a cell becomes: NULL, too,
+#: as most readers have it, or (with a mark for NULL that no text is) the empty text.
+CSV_READ_FORM = {**CSV_FORM, "emptyValue": ""}
+CSV_EXACT_FORM = {**CSV_READ_FORM, "nullValue": "\x01NULL\x01"}
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -10,7 +27,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     header-only part file.  ``single_file`` coalesces to one task -- only for
     small, bounded outputs such as the per-symbol summary."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_FORM).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -20,11 +37,21 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def write_by_date(df: DataFrame, path: str, time: str = "open_time") -> None:
+    """Parquet in one folder a ``trade_date`` (the date of ``time``; none for NULL).
+
+    Only the dates that ``df`` holds are replaced, so a day can be run again by itself.
+    """
+    dated = df.drop("trade_date").withColumn("trade_date", F.to_date(time))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path)
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
     """The summary has one row per symbol, so a single CSV part is cheap."""
     write_csv(summary, path, single_file=True)
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
+    """Name frames for SQL; a name that is taken is given to the new frame."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)

@@ -24,15 +24,47 @@ def flagged(text):
     return defects.defect_flags(text, seed=42).cache()
 
 
-def test_rates_are_close_to_targets(flagged):
-    kept = flagged.filter(~F.col("_dropped"))
-    n = kept.count()
-    r = defects.DefectRates()
-    for flag, rate in [("_m_missing", r.missing), ("_m_text", r.numeric_text), ("_m_time", r.invalid_time), ("_m_symbol", r.symbol), ("_m_negative", r.negative_volume)]:
-        share = kept.filter(F.col(flag)).count() / n
-        assert abs(share - rate) < 0.015, (flag, share)
-    dropped = flagged.filter((F.col("_copy") == 0) & F.col("_dropped")).count() / N
-    assert abs(dropped - r.drop) < 0.015
+def counters(text, **kw):
+    return {r["metric"]: r["value"] for r in defects.text_defect_summary(text, **kw).collect()}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 10, 200, N])
+def test_each_defect_takes_its_exact_number_of_rows(text, n):
+    got = counters(text.filter(F.col("row_id") < n))
+    dropped = max(0, min(max(5, int(n * 0.03)), n - 1))
+    kept = n - dropped
+    final = kept + min(kept, max(5, int(kept * 0.03)))
+
+    def rows(least, fraction):
+        return min(final, max(least, int(final * fraction)))
+
+    assert got == {
+        "original_rows": n, "dropped_rows": dropped, "duplicated_rows": final - kept, "missing_values": rows(10, 0.05), "text_in_numeric_columns": rows(8, 0.04),
+        "invalid_times": rows(6, 0.03), "inconsistent_symbols": rows(8, 0.04), "negative_volumes": rows(6, 0.03), "final_rows": final,
+    }
+
+
+def test_counts_do_not_depend_on_partitions(text):
+    plans = [defects.plan_defects(text.repartition(k), seed=7) for k in (1, 13)]
+    assert plans[0] == plans[1]
+
+
+def test_cutoffs_equal_a_sort_by_hash_and_key(spark, monkeypatch):
+    from candlewick.functions.hashing import mix_sql
+    from candlewick.operators import exact_pick
+
+    monkeypatch.setattr(exact_pick, "KEY_BUCKETS", 3)
+    # many keys share a hash: keys that differ by the period of the mix
+    df = spark.range(40).selectExpr("explode(transform(sequence(0, 24), i -> id + i * 1000003L * 999983L)) AS id").unionByName(spark.range(100, 900).toDF("id"))
+    salts = {"a": 11, "b": 21}
+    keyed = {x: sorted((r[0], r[1]) for r in df.selectExpr(mix_sql("id", s, 42, "spark"), "id").collect()) for x, s in salts.items()}
+    assert len({h for h, _ in keyed["a"]}) < 900
+    for k in (1, 3, 30, 777, 1799, 1800):
+        cutoffs, n = exact_pick.exact_cutoffs(df, "id", salts, 42, lambda _, n: k)
+        assert n == 1800
+        for x, salt in salts.items():
+            picked = df.where(cutoffs[x].sql(mix_sql("id", salt, 42, "spark"), "id"))
+            assert sorted(r[0] for r in picked.collect()) == sorted(key for _, key in keyed[x][:k])
 
 
 def test_tokens_and_variants(flagged):

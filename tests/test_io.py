@@ -163,3 +163,64 @@ def test_unreadable_payloads_and_records_are_reported(spark):
     rejects = sorted((r["symbol"], r["reason"], r["content"]) for r in klines.kline_rejects(df).na.fill("").collect())
     assert [r[:2] for r in rejects] == [("A", "record"), ("A", "record"), ("B", "payload"), ("D", "payload")]
     assert rejects[2][2] == rows[1][2]
+
+
+ODD_TEXTS = ['say "hi"', "a,b", "two\nlines", "cr\r\nlf", "", None, "  padded  ", '"', "back\\slash", "\\", "#x", '""', "tab\t"]
+
+
+def test_any_text_goes_through_a_csv_unchanged(spark, tmp):
+    df = spark.createDataFrame([(i, t, str(i)) for i, t in enumerate(ODD_TEXTS)], "id int, text string, last string").repartition(3)
+    path = os.path.join(tmp, "texts")
+    sinks.write_csv(df, path)
+    back = files.scan_typed(spark, path, df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [(i, t, str(i)) for i, t in enumerate(ODD_TEXTS)]
+    empty = os.path.join(tmp, "none")
+    sinks.write_csv(df.limit(0), empty)
+    assert files.scan_typed(spark, empty, df.schema, multi_line=True).collect() == []
+
+
+def test_quotes_are_doubled_as_other_csv_readers_expect(spark, tmp):
+    import csv
+
+    path = os.path.join(tmp, "quoted")
+    sinks.write_csv(spark.createDataFrame([('say "hi"', " BTCUSDT ")], "a string, symbol string"), path, single_file=True)
+    with open(glob.glob(os.path.join(path, "part-*.csv"))[0], newline="") as fh:
+        assert list(csv.reader(fh)) == [["a", "symbol"], ['say "hi"', " BTCUSDT "]]
+
+
+def test_one_day_is_replaced_and_read_alone(spark, tmp):
+    from candlewick.plans.jobs import read_cleaned
+
+    rows = [("A", f"2026-06-0{d} 0{h}:00:00", d * 10 + h) for d in (1, 2, 3) for h in range(4)] + [("A", None, 0)]
+    df = spark.createDataFrame(rows, "symbol string, t string, v int").selectExpr("symbol", "cast(t as timestamp_ntz) open_time", "v")
+    path = os.path.join(tmp, "dated")
+    sinks.write_by_date(df, path)
+    sinks.write_by_date(df.where("v between 20 and 21").selectExpr("symbol", "open_time", "-v as v"), path)
+    got = sorted(r.v for r in read_cleaned(spark, path).collect())
+    assert got == sorted([0, *range(10, 14), -20, -21, *range(30, 34)])
+    day = read_cleaned(spark, path, "2026-06-02", "2026-06-02")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "trade_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r.v for r in day.collect()) == [-21, -20]
+    assert len(day.inputFiles()) >= 1 and day.count() == 2
+
+
+def test_replacing_a_view_changes_later_answers_only(spark):
+    from candlewick.operators.summary import market_summary
+    from candlewick.plans import views
+    from candlewick.plans.tables import Stages
+
+    cleaned = Stages(spark, "/root/testdata/sf0.001").cleaned()
+    views.register_market_views(spark, cleaned)
+    before = views.market_summary_sql(spark)
+    whole = {r.symbol: r for r in before.collect()}
+    frame = {r.symbol: r for r in market_summary(Stages(spark, "/root/testdata/sf0.001").featured()).collect()}
+    assert {s: (r.row_count, r.volatility_rank, r.symbol_activity_rank, r.up_count, r.total_trades) for s, r in whole.items()} == {
+        s: (r.row_count, r.volatility_rank, r.symbol_activity_rank, r.up_count, r.total_trades) for s, r in frame.items()
+    }
+    views.register_market_views(spark, cleaned.where("symbol = 'CLICKUSDT'"))
+    assert [r.symbol for r in views.market_summary_sql(spark).collect()] == ["CLICKUSDT"]
+    assert before.count() == len(whole)
+    assert views.market_summary_sql(spark, least_rows=10**6).count() == 0
+    quoted = "x' OR '1'='1"
+    assert views.symbol_history_sql(spark, quoted, "2024-01-01", "2024-02-01").count() == 0

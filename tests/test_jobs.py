@@ -74,3 +74,31 @@ def test_collect_fails_after_writing_when_symbols_missing(spark, landed, tmp_pat
         jobs.collect(spark, landing, str(tmp_path / "c"))
     status = spark.read.option("header", True).csv(str(tmp_path / "c" / "ingest_status"))
     assert status.filter("status = 'missing'").count() == 10
+
+
+def test_clean_job_reads_the_csv_once_and_counts_as_the_reports_do(spark, tmp_path):
+    from candlewick.operators import clean, quality
+    from candlewick.plans.tables import Stages
+    from candlewick.sources import files, sinks
+
+    sinks.write_csv(Stages(spark, SF_SMALL).messy(), str(tmp_path / "messy"))
+    raw = files.scan_messy(spark, str(tmp_path / "messy"))
+    reports = jobs.clean_to(raw, str(tmp_path / "out"))
+    wanted = {
+        "dq_report": quality.dq_report(raw), "missing_by_column": quality.missing_by_column(raw), "invalid_by_column": quality.invalid_by_column(raw),
+        "impossible_counts": quality.impossible_counts(clean.drop_duplicates(clean.coerce_and_normalise(raw))),
+    }
+    for name, frame in wanted.items():
+        assert sorted(map(tuple, reports[name].select(*frame.columns).collect())) == sorted(map(tuple, frame.collect())), name
+    # what comes after the typed table reads that table, not the CSV
+    files_read = spark.read.parquet(str(tmp_path / "out" / "typed")).inputFiles()
+    assert files_read and all("/typed/" in f for f in files_read)
+
+
+def test_clean_job_of_rows_that_all_go(spark, tmp_path):
+    path = tmp_path / "messy"
+    path.mkdir()
+    (path / "part-0.csv").write_text(",".join(FIELDNAMES) + "\nA,1h,2026-06-01T00:00:00Z,1,2,0.5,1,-9,2026-06-01T00:59:59Z,9,3,1,1\n")
+    jobs.clean_job(spark, str(path), str(tmp_path / "out"))
+    report = {r["metric"]: int(r["value"]) for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "dq_report")).collect()}
+    assert (report["rows_before"], report["rows_after"], report["dropped_impossible"]) == (1, 0, 1)

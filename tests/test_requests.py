@@ -74,7 +74,7 @@ def test_rate_window_matches_brute_force(spark, seed):
         [(i, c, base + dt.timedelta(seconds=s)) for i, (c, s) in enumerate(rows)], "id int, client string, ts timestamp_ntz"
     )
     want = _brute_window(rows, 60)
-    for bucket in (None, 25, 7):  # bucket = window, and narrower buckets with more copies
+    for bucket in (None, 25, 7):  # one bucket for all, and buckets narrower than the window
         out = requests.rate_window_counts(df, window_seconds=60, cap=5, bucket_seconds=bucket).collect()
         assert {r["id"]: r["in_window"] for r in out} == want
 
@@ -140,7 +140,7 @@ RUN_LOG = """2026-07-03T08:59:21Z | Starting serial download for 2 symbols
 def test_latency_by_run_without_ids(spark):
     lines = spark.createDataFrame([(line,) for line in RUN_LOG.splitlines()], "value string").coalesce(1)
     parsed = requestlog.parse_request_log(lines, with_line_order=True)
-    runs = requests.assign_runs(parsed, bucket_seconds=2)  # small buckets: offsets carry the count across
+    runs = requests.assign_runs(parsed, block_lines=2)  # small blocks: offsets carry the count across
     assert [r["run"] for r in runs.orderBy("ts", "line_order").collect()] == [1, 1, 1, 1, 1, 2, 2, 2, 2, 2]
     got = {(r["symbol"], r["request_id"]): (r["latency_seconds"], r["failed"], r["records"]) for r in requests.request_latency(runs).collect()}
     assert got == {
@@ -149,3 +149,52 @@ def test_latency_by_run_without_ids(spark):
         ("BTCUSDT", 2): (5.0, False, 999),
         ("ETHUSDT", 2): (2.0, True, None),
     }
+
+
+TRIES = """2026-07-03T08:00:00Z | Starting multithreaded download for 2 symbols
+2026-07-03T08:00:00Z | START request symbol=A interval=1h limit=1000
+2026-07-03T08:00:01Z | ERROR request symbol=A: 500 Server Error
+2026-07-03T08:00:01Z | RATE_LIMIT wait 1.2.3s
+2026-07-03T08:00:05Z | START request symbol=A interval=1h limit=99999999999999999999
+2026-07-03T08:00:05Z | START request symbol=B interval=1h limit=1000
+2026-07-03T08:00:09Z | END request symbol=A records=7
+not a log line
+2026-07-03T08:00:09Z | RATE_LIMIT wait 2.50s
+2026-07-03T08:00:09Z | WROTE csv=out.csv records=99999999999999999999"""
+
+
+@pytest.mark.parametrize("block_lines", [1, 3, 1000])
+def test_tries_of_one_symbol_in_one_run_stay_apart(spark, block_lines):
+    lines = spark.createDataFrame([(line,) for line in TRIES.splitlines()], "value string").coalesce(1)
+    log = requestlog.parse_request_log(lines, with_line_order=True)
+    got = {(r.run, r.symbol, r.attempt): (r.latency_seconds, r.failed, r.records, r.error) for r in requests.request_runs(log, block_lines).collect()}
+    assert got == {(1, "A", 1): (1.0, True, None, "500 Server Error"), (1, "A", 2): (4.0, False, 7, None), (1, "B", 1): (None, False, None, None)}
+    assert {(r["symbol"], r["request_id"], r["failed"]) for r in requests.request_latency(log).collect()} == {("A", 1, True), ("A", 1, False), ("B", 1, False)}
+
+
+def test_unreadable_numbers_and_lines_keep_their_text(spark):
+    rows = requestlog.parse_request_log(spark.createDataFrame([(line,) for line in TRIES.splitlines()], "value string")).collect()
+    assert (rows[3].kind, rows[3].wait_seconds, rows[3].message) == ("RATE_LIMIT", None, "RATE_LIMIT wait 1.2.3s")
+    assert (rows[4].kind, rows[4].limit) == ("START", None)
+    assert (rows[7].kind, rows[7].ts, rows[7].message) == ("OTHER", None, "not a log line")
+    assert (rows[9].kind, rows[9].records, rows[9].csv) == ("WROTE", None, "out.csv")
+
+
+def test_runs_follow_file_order_across_files(spark, tmp_path):
+    lines = [f"2026-07-03T08:00:00Z | {'Starting serial download for 1 symbols' if k % 10 == 0 else f'line {k}'}" for k in range(95)]
+    for part in range(5):  # the stamps are all equal: only the files tell the order
+        (tmp_path / f"log-{part}.txt").write_text("".join(f"{line}\n" for line in lines[part * 19 : part * 19 + 19]))
+    log = requestlog.parse_request_log(requestlog.read_log_lines(spark, str(tmp_path)), with_line_order=True)
+    runs = {r.message: r.run for r in requests.assign_runs(log, block_lines=4).collect() if r.message.startswith("line")}
+    assert runs == {f"line {k}": k // 10 + 1 for k in range(95) if k % 10}
+    report = {r.run: (r.mode, r.lines) for r in requests.run_report(log).collect()}
+    assert report == {k + 1: ("serial", 10 if k < 9 else 5) for k in range(10)}
+
+
+def test_window_counts_do_not_copy_rows_and_keep_untimed_ones(spark):
+    base = dt.datetime(2026, 1, 1)
+    rows = [(i, "hot" if i % 3 else None, base + dt.timedelta(seconds=i % 50)) for i in range(300)] + [(999, "hot", None)]
+    df = spark.createDataFrame(rows, "id int, client string, ts timestamp_ntz")
+    got = {r.id: r.in_window for r in requests.rate_window_counts(df, window_seconds=10, bucket_seconds=2).collect()}
+    want = {i: sum(c2 == c and t - dt.timedelta(seconds=10) < t2 <= t for _, c2, t2 in rows[:-1]) for i, c, t in rows[:-1]}
+    assert got == {**want, 999: None}

@@ -98,3 +98,83 @@ def test_stream_state_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_times_of_payloads_are_never_lost_silently(spark):
+    import json
+
+    from candlewick.sources.klines import decode_klines, kline_rejects
+
+    whole = [0, "1", "2", "0.5", "1.5", "10", 3599999, "15", 3, "4", "6"]
+    odd = [["1.5e12", *whole[1:]], ["99999999999999999", *whole[1:]], [*whole[:6], "x", *whole[7:]], [*whole[:8], "2.5", *whole[9:]], whole, [None, *whole[1:]]]
+    df = spark.createDataFrame([("A", "1h", json.dumps(odd))], "symbol string, interval string, payload string")
+    candles = decode_klines(df).collect()
+    assert len(candles) == 3  # a time that the payload leaves out is a NULL cell; none that it holds is lost
+    assert sorted(r.open_time is None for r in candles) == [False, False, True] and all(r.close_time is not None for r in candles)
+    rejects = {(r.reason, tuple(r.cells)) for r in kline_rejects(df).collect()}
+    assert rejects == {("record", ("open_time",)), ("record", ("close_time",)), ("record", ("trade_count",))}
+    assert kline_rejects(df).count() == 5
+
+
+def test_candles_and_rejects_come_from_one_parse(spark):
+    from candlewick.sources.klines import decode_tagged
+
+    df = spark.createDataFrame([("A", "1h", "[]")], "symbol string, interval string, payload string")
+    plan = decode_tagged(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 1 or plan.count("Generate explode") == 1
+    assert plan.count("Generate ") == 1
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e4])
+def test_moments_are_the_same_bits_for_any_partitioning(spark, scale):
+    import random
+    import statistics
+
+    from candlewick.functions.scalar import exact_moments
+
+    rng = random.Random(4)
+    values = [round(rng.uniform(90, 110), 2) * scale - round(rng.uniform(80, 90), 2) * scale for _ in range(3000)] + [None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    mean, spread = exact_moments("x")
+    got = {tuple(df.repartition(k).agg(mean.alias("m"), spread.alias("s")).first()) for k in (1, 7, 200)}
+    assert len(got) == 1
+    some = [v for v in values if v is not None]
+    assert got.pop() == (pytest.approx(statistics.fmean(some), rel=1e-14), pytest.approx(statistics.stdev(some), rel=1e-12))
+
+
+@pytest.mark.parametrize("values", [[], [None], [3.25], [1e300, 2.0], [1.0, float("inf")], [-5.5, 5.5, 0.0], [1e-17, 3e-17], [7.1] * 9])
+def test_moments_of_odd_groups(spark, values):
+    from candlewick.functions.scalar import exact_moments
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    mean, spread = exact_moments("x")
+    got = df.agg(mean.alias("m"), spread.alias("s"), F.avg("x").alias("am"), F.stddev_samp("x").alias("ss")).first()
+    for mine, native in ((got.m, got.am), (got.s, got.ss)):
+        assert mine == native or mine == pytest.approx(native, rel=1e-12, abs=1e-14, nan_ok=True)
+
+
+def test_volatility_ranking_reruns_alike(spark):
+    from candlewick.operators.rankings import volatility_ranking
+
+    featured = Stages(spark, "/root/testdata/sf0.001").featured().select("symbol", "price_range")
+    rows = [sorted(map(tuple, volatility_ranking(featured.repartition(k)).collect())) for k in (1, 50)]
+    assert rows[0] == rows[1]
+
+
+def test_candle_key_dedup_has_one_scan_and_no_window(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(None, "1h", 5.0, None), ("A", "1h", 1.0, 2.0), ("A", "1h", 1.0, None), ("A", "1h", 0.5, 2.0)]
+    spark.createDataFrame(rows, "symbol string, interval string, open double, high double").write.parquet(path)
+    deduped = dedup_by_candle_key(spark.read.parquet(path), ("symbol", "interval"))
+    assert sorted(map(tuple, deduped.collect()), key=str) == sorted([rows[0], rows[3]], key=str)
+    plan = deduped._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1 and "Window" not in plan
+
+
+def test_batches_merge_by_sketch_as_exactly_as_they_are_told(spark):
+    from candlewick.operators.quality import domain_check, domain_sketches, exact_domains, merged_domains
+
+    df = spark.range(60_000).selectExpr("cast(id % 20000 as string) AS many", "if(id % 3 = 0, null, cast(id % 7 as string)) AS few", "id % 5 AS batch")
+    got = {r.column_name: r for r in domain_check(exact_domains(df, ["many", "few"]), merged_domains(domain_sketches(df, "batch", ["many", "few"]))).collect()}
+    assert got["few"].exact == got["few"].estimate == 7 and got["few"].within
+    assert got["many"].exact == 20000 and got["many"].within and abs(got["many"].estimate - 20000) < 1000
