@@ -3,12 +3,16 @@
 Unit vectors at cosine ``c`` or more are at squared distance ``2 - 2c`` or less.  A
 fixed random rotation (signs and Hadamard steps, twice) spreads that distance over all
 coordinates, which are cut into blocks of ``BLOCK``; a linked pair is within the
-block's proportional share of the squared distance in at least one block.  Each block
-is range-joined on its own: slabs as wide as the block's radius along its first
-coordinate meet themselves and their neighbour, full slabs are cut into chunks, and
-every pair of chunks is one bounded task.  A candidate counts only in the first block
-that admits it, so the union of the blocks has each pair once, and is verified there by
-its cosine in double precision.
+block's proportional share of the squared distance in at least one block.
+
+Each block is range-joined on its own, in all of its coordinates.  Median splits, fitted
+on a bounded sample, cut its space into boxes; a vector goes to the box it lies in and
+visits every earlier box that comes within the block's radius of it, so each close pair
+meets in one box.  Inside a box, rows are split further into leaves, and a leaf only meets
+the rows that come within the radius of its bounds.  A box with too many rows is cut into
+chunks, and every pair of chunks is one bounded task.  A candidate counts only in
+the first block that admits it, so the union of the blocks has each pair once, and is
+verified there by its cosine in double precision.
 
 Equal vectors are one row with a count.  A task sends on, for each vector, how many
 others it linked and its root in a spanning forest, so dense groups cost rows in
@@ -16,11 +20,14 @@ proportion to their vectors, not to their pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without an id, link with nothing; vectors of different lengths
-never link; equal vectors link with each other.
+never link; equal vectors link with each other; rows that repeat an id are
+one node, with the links of all its vectors; an empty table gives an empty result; columns
+that are not named play no part, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +41,12 @@ from candlewick.llm.shared import cut, ship_code
 
 LEAST_COSINE = 0.95
 BLOCK = 8
-#: Rows of a chunk; a task holds two chunks.  Pairs looked at in one step of a task.
-CHUNK, TILE_ROWS, TILE_PAIRS = 16_384, 256, 1 << 19
+#: Rows of a chunk; a task holds two chunks.  Rows of a leaf, and pairs verified in one
+#: step of a task.
+CHUNK, LEAF_ROWS, TILE_PAIRS = 16_384, 128, 1 << 19
+#: Vectors that the splits are fitted on, at most, for each vector length; any splits give
+#: the same links.
+SAMPLE = 20_000
 SLACK = 1 + 1e-9
 
 
@@ -78,35 +89,102 @@ def _by_size(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         yield int(size), np.flatnonzero(sizes == size)
 
 
+def fit_splits(part: np.ndarray, depth: int) -> list[tuple[int, float]]:
+    """Axis and value of ``2**depth - 1`` median splits, node k's children being 2k+1 and
+    2k+2; each node is cut where its sample is widest."""
+    splits, todo = [], [part]
+    for node in range(2**depth - 1):
+        rows = todo[node]
+        axis = int(np.argmax(rows.std(axis=0))) if len(rows) else node % part.shape[1]
+        value = float(np.median(rows[:, axis])) if len(rows) else 0.0
+        splits.append((axis, value))
+        upper = rows[:, axis] >= value
+        todo += [rows[~upper], rows[upper]]
+    return splits
+
+
+def boxes_met(part: np.ndarray, splits: list[tuple[int, float]], limit: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Box number, rows and whether they lie in it, of every box that a row lies in or (an
+    earlier one than its own) is within ``limit``, squared, of."""
+
+    def walk(node: int, rows: np.ndarray, home: np.ndarray, gap: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if not len(rows):
+            return
+        if node >= len(splits):
+            yield node - len(splits), rows, home
+            return
+        axis, value = splits[node]
+        x = part[rows, axis] - value
+        for child, here in ((2 * node + 1, x < 0), (2 * node + 2, x >= 0)):
+            # a row that is still at home may only stray to the lower side
+            go = here | ~home if child % 2 == 0 else np.ones(len(rows), bool)
+            away = gap[go].copy()
+            out = ~here[go]
+            away[out, axis] = np.maximum(away[out, axis], np.abs(x[go][out]))
+            near = (away * away).sum(axis=1) <= limit
+            yield from walk(child, rows[go][near], (home & here)[go][near], away[near])
+
+    yield from walk(0, np.arange(len(part)), np.ones(len(part), bool), np.zeros(part.shape))
+
+
+def _leaves(part: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows`` cut at medians of their widest coordinate into leaves."""
+    if len(rows) <= LEAF_ROWS:
+        if len(rows):
+            yield rows
+        return
+    some = part[rows]
+    axis = int(np.argmax(some.max(axis=0) - some.min(axis=0)))
+    order = np.argpartition(some[:, axis], len(rows) // 2)
+    yield from _leaves(part, rows[order[: len(rows) // 2]])
+    yield from _leaves(part, rows[order[len(rows) // 2 :]])
+
+
+def close_rows(low: np.ndarray, home: np.ndarray, side: np.ndarray, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Index pairs of one task within ``limit``, squared, in the block; and how many pairs
+    were compared for them.  Pairs of two visitors belong to another box."""
+    norm = np.einsum("ij,ij->i", low, low)
+    two = bool((side == 1).any())
+    left = np.flatnonzero(side == 0)
+    leaves = list(_leaves(low, left if two else left[home[left]]))
+    others = [] if two else [left[~home[left]]]
+    # of one chunk: a leaf meets itself, the leaves after it, and the visitors
+    right = np.flatnonzero(side == 1) if two else np.concatenate([*leaves, *others]) if leaves else left[:0]
+    upto = np.cumsum([0, *map(len, leaves)])
+    wide = np.sqrt(np.float32(limit)) * np.float32(1.0001) + np.float32(1e-4)
+    for k, a in enumerate(leaves):
+        b = right if two else right[upto[k] :]
+        box = low[a]
+        gap = np.maximum(np.maximum(box.min(axis=0) - low[b], low[b] - box.max(axis=0)), 0)
+        b = b[np.einsum("ij,ij->i", gap, gap) <= wide * wide]
+        near = norm[a][:, None] + norm[b][None, :] - 2 * (box @ low[b].T) <= limit + 1e-4
+        if two:
+            near &= home[a][:, None] | home[b][None, :]
+        ia, ib = np.nonzero(near)
+        ia, ib = a[ia], b[ib]
+        if not two:  # inside the leaf, each pair once
+            place = np.full(len(low), -1)
+            place[a] = np.arange(len(a))
+            keep = (place[ib] < 0) | (place[ia] < place[ib])
+            ia, ib = ia[keep], ib[keep]
+        yield ia, ib, len(a) * len(b)
+
+
 def block_pairs(ids: np.ndarray, vectors: np.ndarray, weight: np.ndarray, home: np.ndarray, side: np.ndarray, block: int, least_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links of one task: ``(id, root of its local forest, weight of the vectors linked)``.
 
     ``side`` 0 and 1 are two chunks whose rows meet each other; a task of one chunk has
-    side 0 only, and its rows meet among themselves.  Pairs of two visitors (not
-    ``home``) belong to another slab.
+    side 0 only, and its rows meet among themselves.  Rows that are not at ``home`` visit.
     """
     turned = rotate(vectors)
     width = turned.shape[1]
     limit = _budget(width, least_cosine)
-    part = turned[:, block * BLOCK : (block + 1) * BLOCK]
-    low = part.astype(np.float32)
-    norm = np.einsum("ij,ij->i", low, low)
+    low = turned[:, block * BLOCK : (block + 1) * BLOCK].astype(np.float32)
     x = vectors.astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     length = np.sqrt(np.einsum("ij,ij->i", x, x))
-    left = np.flatnonzero(side == 0)
-    two = bool((side == 1).any())
-    right = np.flatnonzero(side == 1) if two else left
     links, degree = [], np.zeros(len(ids), np.int64)
-    for at in range(0, len(left), TILE_ROWS):
-        a = left[at : at + TILE_ROWS]
-        b = right if two else right[at:]
-        near = norm[a][:, None] + norm[b][None, :] - 2 * (low[a] @ low[b].T) <= limit + 1e-4
-        near &= home[a][:, None] | home[b][None, :]
-        ia, ib = np.nonzero(near)
-        ia, ib = a[ia], b[ib]
-        if not two:
-            ia, ib = ia[ia < ib], ib[ia < ib]
+    for ia, ib, _ in close_rows(low, home, side, limit):
         for k in range(0, len(ia), TILE_PAIRS // width):
             i, j = ia[k : k + TILE_PAIRS // width], ib[k : k + TILE_PAIRS // width]
             gap = (turned[i] - turned[j]) ** 2
@@ -128,61 +206,78 @@ def block_pairs(ids: np.ndarray, vectors: np.ndarray, weight: np.ndarray, home:
     return ids[some], ids[root[some]], degree[some]
 
 
+def block_splits(reps: DataFrame, sample: int = SAMPLE, chunk: int = CHUNK) -> dict[int, list[list[tuple[int, float]]]]:
+    """Splits of every block, for each vector length, fitted on at most about ``sample``
+    vectors of that length, chosen by a hash; more vectors give more boxes."""
+    counts = {r[0]: r[1] for r in reps.groupBy(F.size("embedding").alias("size")).count().collect()}
+    shares = [F.when(F.size("embedding") == size, F.lit(min(1.0, sample / n))) for size, n in counts.items()]
+    if not counts:
+        return {}
+    picked = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < F.coalesce(*shares) * (1 << 20)
+    out: dict[int, list] = {}
+    for size, n in counts.items():
+        rows = reps.where(picked & (F.size("embedding") == size)).select("embedding").toArrow().column(0).combine_chunks()
+        turned = rotate(_matrix(rows, np.arange(len(rows)), size)) if len(rows) else np.zeros((0, max(BLOCK, size)))
+        # visitors grow with the boxes, so these grow slower than the vectors
+        depth = max(0, round(0.75 * np.log2(max(1.0, 5 * n / chunk))))
+        out[size] = [fit_splits(turned[:, at : at + BLOCK], depth) for at in range(0, turned.shape[1], BLOCK)]
+    return out
+
+
 def vector_links(reps: DataFrame, least_cosine: float = LEAST_COSINE, chunk: int = CHUNK) -> DataFrame:
     """``(a, b, weight)`` for distinct valid vectors (columns ``rep, n, embedding``):
     b is a vector linked to a through others (or a itself), and the weights of a's rows
     add up to the count of vectors linked to a directly."""
     ship_code(reps.sparkSession)
 
-    def slabs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    splits = reps.sparkSession.sparkContext.broadcast(block_splits(reps, chunk=chunk))
+
+    def met(column: pa.Array) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+        """Vector length, block, box, rows and whether they are at home."""
         for size, rows in _by_size(column):
             turned = rotate(_matrix(column, rows, size))
-            step = np.sqrt(_budget(turned.shape[1], least_cosine)) * (1 + 1e-6)
-            yield size, rows, turned, np.floor(turned[:, ::BLOCK] / step).astype(np.int64)
+            limit = _budget(turned.shape[1], least_cosine) * (1 + 1e-6)
+            for block, cuts in enumerate(splits.value[size]):
+                for box, some, home in boxes_met(turned[:, block * BLOCK : (block + 1) * BLOCK], cuts, limit):
+                    yield size, block, box, rows[some], home
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
         for batch in batches:
-            for size, rows, _, slab in slabs(batch.column(2)):
-                for block in range(slab.shape[1]):
-                    value, n = np.unique(slab[:, block], return_counts=True)
-                    k = len(value)
-                    yield pa.RecordBatch.from_arrays([pa.array([size] * k), pa.array([block] * k), pa.array(value), pa.array(n)], ["size", "block", "slab", "n"])
+            for start in range(0, len(batch), 2048):
+                for size, block, box, rows, _ in met(batch.column(2).slice(start, 2048)):
+                    total[size, block, box] += len(rows)
+        if total:
+            yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*total)), pa.array(list(total.values()))], ["size", "block", "box", "n"])
 
-    # slabs are bounded by the geometry: at most 2 / radius of them in each block
-    sizes = reps.mapInArrow(measure, "size long, block long, slab long, n long").groupBy("size", "block", "slab").agg(F.sum("n").alias("n")).collect()
-    homes = {(r["size"], r.block, r.slab): r.n for r in sizes}
-    pieces = {k: -(-(n + homes.get((k[0], k[1], k[2] + 1), 0)) // chunk) for k, n in homes.items()}
+    # one row a box: there are fewer of them than of vectors
+    sizes = reps.mapInArrow(measure, "size long, block long, box long, n long").groupBy("size", "block", "box").agg(F.sum("n").alias("n")).collect()
+    pieces = {(r["size"], r.block, r.box): -(-r.n // chunk) for r in sizes}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, len(whole), 2048):
                 batch = whole.slice(start, 2048)
                 ids = batch.column(0).to_numpy()
-                for size, rows, _, slab in slabs(batch.column(2)):
-                    out = []
-                    for block in range(slab.shape[1]):
-                        for shift in (0, 1):  # at home, and visiting the slab below
-                            for value in np.unique(slab[:, block]):
-                                k = pieces.get((size, block, int(value) - shift), 0)
-                                mine = rows[slab[:, block] == value]
-                                piece = (ids[mine].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(max(k, 1))
-                                for other in range(k):
-                                    lo, hi = np.minimum(piece, other), np.maximum(piece, other)
-                                    n = len(mine)
-                                    out.append((np.full(n, block), np.full(n, value - shift), lo.astype(np.int64), hi.astype(np.int64), np.where(piece == lo, 0, 1), np.full(n, shift == 0), mine))
-                    if not out:
-                        continue
-                    block, value, lo, hi, side, home, mine = (np.concatenate(c) for c in zip(*out))
-                    for at in range(0, len(mine), 20_000):
-                        s = slice(at, at + 20_000)
-                        take = pa.array(mine[s])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(take), size)), *(pa.array(c[s]) for c in (block, value, lo, hi, side)), pa.array(home[s]), *(batch.column(c).take(take) for c in (0, 1, 2))],
-                            ["size", "block", "slab", "lo", "hi", "side", "home", "rep", "n", "embedding"],
-                        )
+                out = []
+                for size, block, box, rows, home in met(batch.column(2)):
+                    k, n = pieces[size, block, box], len(rows)
+                    piece = ((ids[rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(k)).astype(np.int64)
+                    for other in range(k):
+                        lo, hi = np.minimum(piece, other), np.maximum(piece, other)
+                        out.append((np.full(n, size), np.full(n, block), np.full(n, box), lo, hi, np.where(piece == lo, 0, 1), home, rows))
+                if not out:
+                    continue
+                *columns, rows = (np.concatenate(c) for c in zip(*out))
+                for at in range(0, len(rows), 20_000):
+                    take = pa.array(rows[at : at + 20_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(c[at : at + 20_000]) for c in columns), *(batch.column(c).take(take) for c in (0, 1, 2))],
+                        ["size", "block", "box", "lo", "hi", "side", "home", "rep", "n", "embedding"],
+                    )
 
     kind = reps.schema["embedding"].dataType.simpleString()
-    dealt = reps.mapInArrow(deal, f"size long, block long, slab long, lo long, hi long, side long, home boolean, rep long, n long, embedding {kind}")
+    dealt = reps.mapInArrow(deal, f"size long, block long, box long, lo long, hi long, side long, home boolean, rep long, n long, embedding {kind}")
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         vectors = np.stack(rows["embedding"].to_numpy())
@@ -190,7 +285,7 @@ def vector_links(reps: DataFrame, least_cosine: float = LEAST_COSINE, chunk: int
         a, b, degree = block_pairs(rows["rep"].to_numpy(), vectors, rows["n"].to_numpy(), rows["home"].to_numpy(bool), rows["side"].to_numpy(), block, least_cosine)
         return pd.DataFrame({"a": a, "b": b, "weight": degree})
 
-    return dealt.groupBy("size", "block", "slab", "lo", "hi").applyInPandas(join, "a long, b long, weight long")
+    return dealt.groupBy("size", "block", "box", "lo", "hi").applyInPandas(join, "a long, b long, weight long")
 
 
 def embedding_components(vectors: DataFrame, least_cosine: float = LEAST_COSINE, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:

@@ -215,6 +215,42 @@ def test_small_chunks_find_the_same_links(spark):
     assert degrees(37) == degrees(16_384) == Counter({k: int(d) for k, d in enumerate(want) if d})
 
 
+def test_boxes_and_leaves_compare_few_pairs_and_lose_none():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 64))
+    x[2000:2400] = x[:400] + rng.normal(size=(400, 64)) * 0.03  # copies
+    x[3000:3300] = x[5] + rng.normal(size=(300, 64)) * 0.02  # a dense group
+    turned = embedding_dedup.rotate(x)
+    limit = embedding_dedup._budget(64, 0.95)
+    compared = met = 0
+    for block in range(8):
+        part = turned[:, block * 8 : block * 8 + 8]
+        cuts = embedding_dedup.fit_splits(part[rng.permutation(4000)[:700]], 4)
+        found, homes = set(), np.zeros(4000, int)
+        for box, rows, home in embedding_dedup.boxes_met(part, cuts, limit * (1 + 1e-6)):
+            homes[rows[home]] += 1
+            met += len(rows)
+            for i, j, n in embedding_dedup.close_rows(part[rows].astype(np.float32), home, np.zeros(len(rows), int), limit):
+                compared += n
+                pairs = [tuple(sorted(p)) for p in zip(rows[i].tolist(), rows[j].tolist())]
+                assert not found.intersection(pairs) and len(set(pairs)) == len(pairs)
+                found.update(pairs)
+        assert (homes == 1).all()
+        gap = ((part[:, None, :] - part[None, :, :]) ** 2).sum(axis=2) <= limit
+        assert {(i, j) for i, j in np.argwhere(np.triu(gap, 1)).tolist()} <= found
+    print(f"rows sent: {met / 8 / 4000:.2f} copies a block; pairs compared: {compared / (8 * 4000 * 3999 / 2):.3f} of all, a block")
+    assert compared < 0.35 * 8 * 4000 * 3999 / 2
+
+
+def test_vectors_of_empty_and_odd_tables(spark):
+    schema = "vec_id long, embedding array<float>, rep long, n long, links long, root long, a long, b long, size int, block int, box int, node long"
+    extra = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)
+    assert embedding_dedup.embedding_components(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (2, [0.0, 1.0]), (3, None), (None, [1.0, 0.0]), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0])]
+    got = embedding_dedup.embedding_components(spark.createDataFrame([(*r, *extra) for r in rows], schema)).collect()
+    assert sorted(((r.vec_id, r.n_links) for r in got), key=str) == sorted([(1, 1), (2, 1), (2, 1), (3, 0), (None, 0), (4, 0), (5, 0), (6, 0)], key=str)
+
+
 def test_filter_never_loses_a_count():
     rng = np.random.default_rng(1)
     hashes = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.int64).astype(np.uint64))
