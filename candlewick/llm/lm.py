@@ -4,9 +4,14 @@ Counts of words and word pairs over all training texts are quantised on a log sc
 count at level q is stored as q entries (n-gram, 1) to (n-gram, q).  A lookup probes
 level after level until one is missing, which gives the count's level: errors are
 one-sided and shrink geometrically.  The filter is cut into segments by n-gram hash, each
-sized by its entries, and never gathered: texts are cut into units, a unit sends each of
-its distinct n-grams, with its count in training texts, to the task that has the n-gram's
-hash range; that task builds its segment, probes it and sends back the levels.
+sized by its entries; there are as many as the counted tokens ask for, so a segment is
+bounded and the filter grows with the training texts, without a cap.
+
+Training n-grams are sent once, added up within about ``UNIT_BYTES`` of text, to the task
+that builds their segment; after that only the segments are left.  A filter of up to
+``BROADCAST_BYTES`` (it is measured) is broadcast, and each task scores its texts by
+probing it.  A larger one stays where it is: the texts' n-gram hashes go to their segments,
+and the levels come back.  Both ways probe the same segments and give the same scores.
 
 Smoothing: words mix a Good-Turing share for unknown words (all of them one outcome, as
 in the base score) with known counts; pairs add to that with weight ``PRIOR``:
@@ -17,7 +22,9 @@ The base score needs exact counts.  The most frequent words (``TOP_WORDS`` at mo
 with theirs; all other words of all texts are joined with the count table.
 
 Defined results: null text counts as empty: it has one token, the end.  With no training
-texts every token is unknown.
+texts every token is unknown.  Repeated rows count and are scored each, null ids too.  A
+text of any length is scored whole, as a unit of its own.  An empty table gives an empty
+result; columns that are not named play no part.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import build_struct, cut, factorize, most_frequent, raw, segment_sum, ship_code, slices, struct_type, written
+from candlewick.llm.shared import build_struct, cut, factorize, most_frequent, per_slice, raw, segment_sum, ship_code, slices, struct_type, written
 
 #: The token after the last word; no word is empty.
 END = b""
@@ -48,6 +55,9 @@ TOP_WORDS, TOP_BYTES = 131_072, 64
 HELD_WORDS = 250_000
 #: Text of a unit (bytes).  A unit's n-grams are sent and answered together.
 UNIT_BYTES = 8 << 20
+#: Training tokens of a segment, and the largest filter that is broadcast.
+PART_TOKENS = 2 << 20
+BROADCAST_BYTES = 256 << 20
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _LOW, _HALF = np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
@@ -99,12 +109,13 @@ def entry_seeds(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return seed >> np.uint64(32), (seed & _HALF) | np.uint64(1)
 
 
-def build_segment(low: np.ndarray, counts: np.ndarray, most_bytes: int = 1 << 29) -> bytes:
-    """The segment that holds the n-grams' quantised counts, at most of the size that
-    probes can address."""
+def build_segment(low: np.ndarray, counts: np.ndarray) -> bytes:
+    """The segment that holds the n-grams' quantised counts."""
     levels = level_of(counts)
     entries = int(levels.sum())
-    size = min(most_bytes, max(64, -(-entries * BITS_PER_ENTRY // 8)))
+    size = max(64, -(-entries * BITS_PER_ENTRY // 8))
+    if size > 1 << 29:
+        raise ValueError("a segment is larger than its probes can address: use more parts")
     bits = np.zeros(size * 8, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         start, step = entry_seeds(low[levels >= level], level)
@@ -230,46 +241,82 @@ _UNIT = pa.struct([(name, pa.binary()) for name in ("sizes", "learn", "ids", "wo
 _LOW_BYTES, _COUNT_BYTES = 5, 4
 
 
-def pack_grams(unit: int, grams: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
-    """A unit's sorted n-grams and their counts as one row a part."""
+def by_part(grams: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """Part, start and end of each part's share of sorted n-grams."""
     edges = np.searchsorted(part_of(grams, parts), np.arange(parts + 1))
     used = np.flatnonzero(np.diff(edges))
-    low = grams & _LOW
-    body = [to_planes(low[a:b], _LOW_BYTES) + to_planes(counts[a:b], _COUNT_BYTES) for a, b in zip(edges[used].tolist(), edges[used + 1].tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(used), unit)), pa.array(used), pa.array(body, pa.binary())], ["unit", "part", "body"])
+    return list(zip(used.tolist(), edges[used].tolist(), edges[used + 1].tolist()))
+
+
+def _messages(number: int, shares: list[tuple[int, int, int]], body) -> pa.RecordBatch:
+    bodies = [body(a, b) for _, a, b in shares]
+    return pa.RecordBatch.from_arrays([pa.array([number] * len(shares), pa.int64()), pa.array([p for p, _, _ in shares], pa.int64()), pa.array(bodies, pa.binary())], ["unit", "part", "body"])
+
+
+def make_unit(texts: pa.Array, learn: np.ndarray) -> tuple[Unit, list[bytes]]:
+    """The unit of some texts, and its distinct words."""
+    split = [split_words(t) for t in raw(texts)]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    distinct, ids = factorize(list(chain.from_iterable(split)))
+    return Unit(sizes, learn, ids, word_hashes(distinct)), distinct
 
 
-def answer_part(bodies: list[bytes]) -> list[bytes]:
-    """Build the segment of a part from all units' n-grams; the level of each n-gram of
-    each unit, one byte each."""
+def segment_of(bodies: list[bytes]) -> bytes:
+    """Segment of a part from the n-grams and counts that were sent to it."""
     sizes = [len(b) // (_LOW_BYTES + _COUNT_BYTES) for b in bodies]
     low = np.concatenate([from_planes(b, _LOW_BYTES, 0, n) for b, n in zip(bodies, sizes)])
     counts = np.concatenate([from_planes(b, _COUNT_BYTES, _LOW_BYTES * n, n) for b, n in zip(bodies, sizes)]).astype(np.int64)
-    distinct, total = merge_counts(low, counts)
-    segment = build_segment(distinct[total > 0], total[total > 0])
-    found = CountFilter(np.frombuffer(segment, np.uint8), np.array([0, len(segment)])).levels(distinct)
-    levels = found.astype(np.uint8)[np.searchsorted(distinct, low)]
-    return [x.tobytes() for x in np.split(levels, np.cumsum(sizes)[:-1])]
+    return build_segment(*merge_counts(low, counts))
 
 
-def gram_levels(units: DataFrame, parts: int) -> DataFrame:
+def filter_segments(learn: DataFrame, parts: int, text: str = "text") -> DataFrame:
+    """``(part, segment)`` of the filter over all n-grams of all texts of ``learn``."""
+    ship_code(learn.sparkSession)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch.column(0), UNIT_BYTES):
+                unit, _ = make_unit(piece, np.ones(len(piece), bool))
+                grams, place = unit.grams()
+                low, counts = grams & _LOW, unit.counts(place)
+                yield _messages(0, by_part(grams, parts), lambda a, b: to_planes(low[a:b], _LOW_BYTES) + to_planes(counts[a:b], _COUNT_BYTES))
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "segment": [segment_of(rows["body"].tolist())]})
+
+    sent = learn.select(F.col(text).alias("text")).mapInArrow(send, "unit long, part long, body binary")
+    return sent.select("part", "body").groupBy("part").applyInPandas(build, "part long, segment binary")
+
+
+def gather_filter(segments: DataFrame, parts: int) -> CountFilter:
+    """The whole filter; only for one that has been measured."""
+    found = {r.part: bytes(r.segment) for r in segments.collect()}
+    bodies = [found.get(p, b"") for p in range(parts)]
+    return CountFilter(np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *map(len, bodies)]))
+
+
+def gram_levels(units: DataFrame, segments: DataFrame, parts: int) -> DataFrame:
     """``(unit, part, levels)``: the levels of a unit's n-grams, part after part in the
-    order of ``Unit.grams``.  ``units``: rows of ``unit`` and a packed ``Unit``."""
+    order of ``Unit.grams``, probed where the segments are.  ``units``: rows of ``unit`` and
+    a packed ``Unit``."""
     ship_code(units.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(len(batch)):
                 number, *packed = (column[at].as_py() for column in batch.columns)
-                unit = Unit.unpack(*packed)
-                grams, place = unit.grams()
-                yield pack_grams(number, grams, unit.counts(place), parts)
+                grams, _ = Unit.unpack(*packed).grams()
+                low = grams & _LOW
+                yield _messages(number, by_part(grams, parts), lambda a, b: to_planes(low[a:b], _LOW_BYTES))
 
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"unit": rows["unit"], "part": rows["part"], "levels": answer_part(rows["body"].tolist())})
+    def answer(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        segment = bytes(held["segment"].iloc[0]) if len(held) else b""
+        one = CountFilter(np.frombuffer(segment, np.uint8), np.array([0, len(segment)]))
+        levels = [one.levels(from_planes(bytes(b), _LOW_BYTES)).astype(np.uint8).tobytes() for b in asked["body"]]
+        return pd.DataFrame({"unit": asked["unit"], "part": asked["part"], "levels": levels})
 
     sent = units.select("unit", *_UNIT.names).mapInArrow(send, "unit long, part long, body binary")
-    return sent.groupBy("part").applyInPandas(answer, "unit long, part long, levels binary")
+    return sent.groupBy("part").cogroup(segments.groupBy("part")).applyInPandas(answer, "unit long, part long, levels binary")
 
 
 @dataclass
@@ -302,15 +349,15 @@ class LanguageModel:
 
 
 RESULT = struct_type(
-    n_tokens=pa.int64(), known=pa.int64(), logs=pa.float64(),
+    n_tokens=pa.int64(), known=pa.int64(), logs=pa.float64(), score=pa.float64(),
     rare=pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])),
     unit=_UNIT,
 )
-_DDL = "n_tokens long, known long, logs double, rare array<struct<word binary, n int>>, unit struct<sizes binary, learn binary, ids binary, words binary>"
+_DDL = "n_tokens long, known long, logs double, score double, rare array<struct<word binary, n int>>, unit struct<sizes binary, learn binary, ids binary, words binary>"
 _TOP: dict[int, dict[bytes, int]] = {}
 
 
-def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id", extra: dict | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id", extra: dict | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row a text: ``doc_id, n_tokens, n_known, train_tokens, base_score, score`` and
     ``extra``, learned from the rows where ``training`` holds."""
     spark = docs.sparkSession
@@ -323,19 +370,22 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
     known_total = float((count_of(per_level["level"].to_numpy(np.int64)) * per_level["words"].to_numpy()).sum()) if len(per_level) else 1.0
     model = LanguageModel(total, distinct, once, known_total)
     top = most_frequent(counts.where(F.octet_length("word") <= TOP_BYTES), TOP_WORDS).toPandas()
-    shared = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)))
-
-    def one(texts: pa.Array, learns: pa.Array) -> pa.Array:
-        words, exact = shared.value
+    parts = max(1, -(-total // PART_TOKENS))
+    segments = written(filter_segments(learn, parts, text), "lm-filter", compression="none")
+    size = segments.agg(F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()[0]
+    small = size <= broadcast_bytes
+    words_and_filter = ([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), gather_filter(segments, parts) if small else None)
+    shared = spark.sparkContext.broadcast(words_and_filter)
+
+    def one(texts: pa.Array) -> pa.Array:
+        words, exact, held = shared.value
         place = _TOP.get(id(words))
         if place is None:
             _TOP.clear()
             place = _TOP[id(words)] = dict(zip(words, range(len(words))))
-        split = [split_words(t) for t in raw(texts)]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        unit, distinct = make_unit(texts, np.zeros(len(texts), bool))
+        ids, sizes = unit.ids, unit.sizes
         offsets = np.concatenate([[0], np.cumsum(sizes)])
-        distinct, ids = factorize(list(chain.from_iterable(split)))
-        unit = Unit(sizes, learns.to_numpy(zero_copy_only=False), ids, word_hashes(distinct))
         at = np.fromiter((place.get(w, -1) for w in distinct), np.int64, len(distinct))
         common = at >= 0
         logs = np.where(common, np.log10(np.append(exact, 0)[at] + 0.1), 0.0)
@@ -345,16 +395,16 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         words_of = pa.array(distinct, pa.binary()).take(pa.array(pairs & 0xFFFFFFFF))
         entries = pa.StructArray.from_arrays([words_of, pa.array(n, pa.int32())], ["word", "n"])
         rare = pa.ListArray.from_arrays(pa.array(edges), entries)
-        first = pa.array([unit.pack(), *[None] * (len(texts) - 1)], _UNIT)  # on its first text
-        return build_struct(RESULT, sizes, segment_sum(common.astype(np.int64)[ids], offsets), segment_sum(logs[ids], offsets), rare.cast(RESULT.field("rare").type), first)
+        if held is None:
+            score = pa.nulls(len(texts), pa.float64())
+            first = pa.array([unit.pack(), *[None] * (len(texts) - 1)], _UNIT)  # on its first text
+        else:
+            grams, spot = unit.grams()
+            score, first = pa.array(model.score(unit, spot, held.levels(grams))), pa.nulls(len(texts), _UNIT)
+        return build_struct(RESULT, sizes, segment_sum(common.astype(np.int64)[ids], offsets), segment_sum(logs[ids], offsets), score, rare.cast(RESULT.field("rare").type), first)
 
-    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for texts, learns in batches:
-            parts, at = [], 0
-            for piece in slices(texts, UNIT_BYTES):
-                parts.append(one(piece, learns.slice(at, len(piece))))
-                at += len(piece)
-            yield pa.concat_arrays(parts) if parts else pa.array([], RESULT)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from per_slice(batches, one, RESULT, UNIT_BYTES)
 
     def finish(answers: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
         first, *fields = packed.iloc[0].tolist()
@@ -363,22 +413,24 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         score = model.score(unit, unit.grams()[1], levels.astype(np.int64))
         return pd.DataFrame({"row": first + np.arange(len(score)), "score": score})
 
-    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     more = [c.alias(n) for n, c in (extra or {}).items()]
-    judged = F.arrow_udf(run, _DDL)(F.col(text), F.coalesce(training, F.lit(False)))
+    judged = F.arrow_udf(run, _DDL)(F.col(text))
     # numbered as written: all branches below read the same files, and a unit's texts
     # have the numbers from that of its first text on
     scored = written(docs.select(F.col(doc_id).alias("doc_id"), *more, judged.alias("r")).withColumn("row", F.monotonically_increasing_id()), "lm-texts", compression="zstd")
-    units = scored.where(F.col("r.unit").isNotNull()).select(F.col("row").alias("unit"), "r.unit.*")
-    levels = gram_levels(units, min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 24))
-    scores = levels.groupBy("unit").cogroup(units.groupBy("unit")).applyInPandas(finish, "row long, score double")
     rare = scored.select("row", F.explode("r.rare").alias("e")).select("row", F.col("e.word").alias("w"), F.col("e.n").alias("times"))
     found = rare.join(counts, F.col("w") == F.col("word"), "left")
     each = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)
     sums = found.groupBy("row").agg(F.sum(each).alias("rare_logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"))
-    out = scored.join(sums.withColumnRenamed("row", "row2"), F.col("row") == F.col("row2"), "left").join(scores.withColumnRenamed("row", "row3"), F.col("row") == F.col("row3"), "left")
-    base = F.col("r.logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("r.n_tokens") * F.log10(F.lit(total + 0.1 * (distinct + 1)))
+    out = scored.select("row", "doc_id", *(extra or {}), "r.n_tokens", "r.known", "r.logs", "r.score").join(sums.withColumnRenamed("row", "row2"), F.col("row") == F.col("row2"), "left")
+    if not small:
+        units = scored.where(F.col("r.unit").isNotNull()).select(F.col("row").alias("unit"), "r.unit.*")
+        levels = gram_levels(units, segments, parts)
+        scores = levels.groupBy("unit").cogroup(units.groupBy("unit")).applyInPandas(finish, "row long, score double")
+        out = out.drop("score").join(scores.withColumnRenamed("row", "row3"), F.col("row") == F.col("row3"), "left")
+    base = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(total + 0.1 * (distinct + 1)))
     return out.select(
-        "doc_id", *(extra or {}), "r.n_tokens", (F.col("r.known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        "doc_id", *(extra or {}), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
     )
