@@ -10,8 +10,11 @@ Counting is numpy sorting of packed n-gram codes, a slice of texts at a time; Sp
 sums the counts by language and n-gram.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter, and when
-there is nothing to learn from.  Equal distances go to the language first in order.
-The score is one minus the distance as a share of the largest possible one.
+there is nothing to learn from.  Equal distances go to the language first in order;
+n-grams of equal count are ranked by code.  The score is one minus the distance as a share
+of the largest possible one.  Repeated rows count and are judged each.  Long texts
+are counted whole, in pieces that end with a word (a run of letters stays in one piece).
+An empty table gives an empty result; columns not named play no part.
 """
 
 from __future__ import annotations
@@ -100,11 +103,18 @@ def count_all(texts: list[str], owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
     except OverflowError:
         half = len(texts) // 2
         parts = [count_all(texts[:half], owner[:half]), count_all(texts[half:], owner[half:])]
-        who, grams, counts = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((grams, who))
-        who, grams, counts = who[order], grams[order], counts[order]
-        new = np.flatnonzero((np.diff(who, prepend=-1) != 0) | (np.diff(grams, prepend=-1) != 0))
-        return who[new], grams[new], np.add.reduceat(counts, new) if len(new) else counts
+        return added_up(parts)
+
+
+def added_up(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of several ``count_ngrams`` as one, in the same order: owner, then shorter
+    n-grams first, then code points."""
+    who, grams, counts = (np.concatenate(x) for x in zip(*parts))
+    shorter = -((grams >> 2 * _WIDE == _NONE).astype(np.int8) + (grams >> _WIDE & _NONE == _NONE))
+    order = np.lexsort((grams, shorter, who))
+    who, grams, counts = who[order], grams[order], counts[order]
+    new = np.flatnonzero((np.diff(who, prepend=-1) != 0) | (np.diff(grams, prepend=-1) != 0))
+    return who[new], grams[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
 def ranked(who: np.ndarray, grams: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,12 +136,48 @@ def ranked(who: np.ndarray, grams: np.ndarray, counts: np.ndarray, most: int) ->
     return who[ok], grams[ok], rank[ok]
 
 
+def _breaks(c: str) -> bool:
+    """Whether a text may be cut after this character without changing an n-gram."""
+    return c.isspace() or c in ",;!?()" or c in "\u3001\u3002\uff0c\uff01\uff1b\uff1f"
+
+
+def in_pieces(texts: list[str], size: int = SLICE) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Runs of (texts, their numbers) of about ``size`` characters.  A longer text is cut
+    after a character that ends a word, so its pieces' n-grams are the whole text's; a run
+    of letters is never cut, however long."""
+    held, owner, total = [], [], 0
+    for i, t in enumerate(texts):
+        at = 0
+        while at < len(t) or at == 0:
+            end = min(len(t), at + size)
+            while end < len(t) and not _breaks(t[end - 1]):
+                end += 1
+            held.append(t[at:end])
+            owner.append(i)
+            total += end - at
+            at = max(end, 1)
+            if total >= size:
+                yield held, np.array(owner)
+                held, owner, total = [], [], 0
+    if held:
+        yield held, np.array(owner)
+
+
+def count_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``count_all`` of each text, taken a piece at a time."""
+    parts = [count_all(held, owner) for held, owner in in_pieces(texts)]
+    return parts[0] if len(parts) == 1 else added_up(parts)
+
+
 @dataclass
 class Profiles:
-    """Ranks of the languages' n-grams: ``ranks[i, l]`` of ``grams[i]`` in ``languages[l]``."""
+    """The languages' n-grams with their ranks: n-gram ``grams[i]`` has the entries
+    ``starts[i]`` to ``starts[i + 1]`` of ``owners`` (languages) and ``ranks``."""
 
     languages: list[str]
     grams: np.ndarray
+    starts: np.ndarray
+    owners: np.ndarray
     ranks: np.ndarray
     most: int
 
@@ -140,14 +186,17 @@ class Profiles:
         total = np.zeros((len(texts), len(self.languages)))
         if not texts or not self.languages:
             return total, np.zeros(len(texts), np.int64)
-        who, grams, rank = ranked(*count_all(texts, np.arange(len(texts))), self.most)
+        who, grams, rank = ranked(*count_pieces(texts), self.most)
+        length = np.bincount(who, minlength=len(texts))
+        total += (length * self.most)[:, None]  # as if no n-gram was known
         at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        known = self.grams[at] == grams
-        for k in range(len(self.languages)):
-            theirs = np.where(known, self.ranks[at, k], -1)
-            cost = np.where(theirs >= 0, np.abs(rank - theirs), self.most)
-            total[:, k] = np.bincount(who, cost, len(texts))
-        return total, np.bincount(who, minlength=len(texts))
+        known = np.flatnonzero(self.grams[at] == grams)
+        first, n = self.starts[at[known]], self.starts[at[known] + 1] - self.starts[at[known]]
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        mine = np.repeat(known, n)
+        saved = self.most - np.abs(rank[mine] - self.ranks[entry])
+        flat = np.bincount(who[mine] * len(self.languages) + self.owners[entry], saved, total.size)
+        return total - flat.reshape(total.shape), length
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         total, length = self.distances(texts)
@@ -170,20 +219,26 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", most
             for part in slices(batch.column(0), SLICE):
                 langs = batch.column(1).slice(done, len(part)).dictionary_encode()
                 done += len(part)
-                who, grams, counts = count_all(part.to_pylist(), langs.indices.to_numpy(zero_copy_only=False).astype(np.int64))
-                names = langs.dictionary.take(pa.array(who))
-                yield pa.RecordBatch.from_arrays([names.cast(pa.string()), pa.array(grams), pa.array(counts)], ["lang", "gram", "n"])
+                number = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                for texts, owner in in_pieces(part.to_pylist()):
+                    who, grams, counts = count_all(texts, number[owner])
+                    names = langs.dictionary.take(pa.array(who))
+                    yield pa.RecordBatch.from_arrays([names.cast(pa.string()), pa.array(grams), pa.array(counts)], ["lang", "gram", "n"])
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
     sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # Spark keeps the first rows of each language in every task before it gathers them
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = sums.withColumn("rank", place - 1).where(F.col("rank") < most).select("lang", "gram", "rank").toPandas()
-    languages = sorted(top["lang"].unique())
-    grams = np.unique(top["gram"].to_numpy(np.int64))
-    ranks = np.full((len(grams), len(languages)), -1, np.int64)
-    number = {name: k for k, name in enumerate(languages)}
-    ranks[np.searchsorted(grams, top["gram"].to_numpy(np.int64)), top["lang"].map(number).to_numpy(np.int64)] = top["rank"]
-    return Profiles(languages, grams, ranks, most)
+    top = sums.withColumn("place", place).where(F.col("place") <= most).select("lang", "gram", (F.col("place") - 1).alias("rank")).toPandas()
+    return make_profiles(top["lang"].to_numpy(object), top["gram"].to_numpy(np.int64), top["rank"].to_numpy(np.int64), most)
+
+
+def make_profiles(langs: np.ndarray, grams: np.ndarray, ranks: np.ndarray, most: int) -> Profiles:
+    """Profiles from one row for each language and n-gram."""
+    languages, owners = np.unique(langs.astype(str), return_inverse=True) if len(langs) else (np.zeros(0, str), np.zeros(0, np.int64))
+    order = np.lexsort((owners, grams))
+    distinct, first = np.unique(grams[order], return_index=True)
+    return Profiles(languages.tolist(), distinct, np.append(first, len(order)), owners[order], ranks[order], most)
 
 
 def with_language(docs: DataFrame, profiles: Profiles, text: str = "text", into: str = "__cw_lang") -> DataFrame:
