@@ -13,6 +13,10 @@ one number, taken once for each distinct word of a slice of texts.
 
 Defined results: null and empty texts, and texts without a letter, get the score of the
 bias alone; with no labels of one of the classes, all scores are 0 or 1 for that class.
+Repeated rows are each scored, and each counted in the sample; labels that differ for
+one id count on both sides; texts of equal hash order are taken by id, length, hash.  A
+text of any length is scored whole, by itself where it is long.  An empty table gives an
+empty result.  Columns that are not named play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,13 +25,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.shared import pack, per_slice, segment_sum, ship_code
+from candlewick.llm.shared import cut, pack, per_slice, segment_sum, ship_code
 
 #: Labelled texts of each class to learn from, and their bytes in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 40 << 20
@@ -184,11 +189,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str,
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__cw_id"), F.col(label).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     sized = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     marked = sized.drop("text").join(marks, F.col("d") == F.col("__cw_id"))
-    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.sum("n").alias("n")).collect()}
-    order = Window.partitionBy("y").orderBy(F.xxhash64("__cw_id"), "__cw_id", "size", "h")
-    ranked = marked.where(F.col("size") <= most_bytes).withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows)
-    ranked = ranked.select("__cw_id", "size", "h", "k", "y")
-    found = sorted(ranked.collect(), key=lambda r: (r.k, r.y))
+    # rows that are alike in all of this are one group with a count
+    groups = cut(marked.groupBy("y", "__cw_id", "size", "h").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("times")))
+    counts = {r.y: r.n for r in groups.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    ranked = groups.where(F.col("size") <= most_bytes).select("__cw_id", "size", "h", "y", "times")
+    found = first_rows(ranked, rows)
     picked = [found[at] for at in within([(r.y, r.size) for r in found], most_bytes)]
     keys = docs.sparkSession.createDataFrame(list(dict.fromkeys((r["__cw_id"], r["size"], r["h"]) for r in picked)), ranked.select("__cw_id", F.col("size").alias("size2"), F.col("h").alias("h2")).schema)
     # two classes of at most ``rows`` keys: small enough to broadcast
@@ -199,6 +204,44 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str,
     return [texts[r["__cw_id"], r["size"], r["h"]] for r in picked], np.array([r.y for r in picked], np.float64), counts.get(1, 0) / total if total else 0.0
 
 
+def first_rows(groups: DataFrame, rows: int) -> list:
+    """The first ``rows`` rows of each class ``y`` in order of (hash of id, id, size, h), as
+    one list in order of place, then class.
+
+    Counts of rows by ranges of the hash tell where each class reaches ``rows``; only the
+    groups up to there come to the driver.  The range that holds the boundary is refined
+    once, to a share of 1 / 2^24 of all hashes, so no class is ever sorted or gathered.
+    """
+    order = F.xxhash64("__cw_id")
+
+    def boundary(part: DataFrame, bits: int, before: dict[int, int]) -> dict[int, tuple[int, int]]:
+        """Of each class, the range of hashes in which it reaches ``rows`` (or its last one),
+        and the rows of the class before that."""
+        sums = part.groupBy("y", F.shiftright(order, 64 - bits).alias("b")).agg(F.sum("times").alias("n")).collect()
+        out: dict[int, tuple[int, int]] = {}
+        reached = {y: (n, False) for y, n in before.items()}
+        for y, b, n in sorted(tuple(r) for r in sums):
+            passed, done = reached.get(y, (0, False))
+            if not done:
+                out[y] = (b, passed)
+                reached[y] = (passed + n, passed + n >= rows)
+        return out
+
+    def any_of(tests: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+    coarse = boundary(groups, 12, {})
+    inside = groups.where(any_of([(F.col("y") == y) & (F.shiftright(order, 52) == b) for y, (b, _) in coarse.items()]))
+    fine = boundary(inside, 24, {y: n for y, (_, n) in coarse.items()})
+    upto = any_of([(F.col("y") == y) & (F.shiftright(order, 40) <= b) for y, (b, _) in fine.items()])
+    found, place = [], {}
+    for r in sorted(groups.where(upto).withColumn("o", order).collect(), key=lambda r: (r.o, r["__cw_id"], r["size"], r.h)):
+        for _ in range(min(r.times, rows - place.get(r.y, 0))):
+            place[r.y] = place.get(r.y, 0) + 1
+            found.append((place[r.y], r.y, r))
+    return [r for _, _, r in sorted(found, key=lambda x: x[:2])]
+
+
 def within(rows: list[tuple[int, int]], most: int) -> list[int]:
     """Places of the rows ``(class, size)`` to take, in order: first as each class's half
     of ``most`` allows, then as the rest does.  A row that does not fit is skipped."""
