@@ -11,6 +11,9 @@ The tokenizer file is a parameter and is read on the driver; nothing is trained.
 
 Defined results: null text counts as empty (0 ids, the digests of empty strings); the
 strings of added tokens in a text become those tokens, as in the tokenizers library.
+Texts and words of any length are encoded whole.  Repeated rows are each encoded; words of
+equal frequency may or may not be in the lexicon.  An empty table gives an empty result;
+columns that are not named play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import re
 import tempfile
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from heapq import heappop, heappush
 from operator import itemgetter
 
 import numpy as np
@@ -40,6 +44,8 @@ ASCII_WORDS = r" ?(?:[A-Za-z]++|[0-9]++)|'(?:[stmd]|re|ve|ll)| ?[^\t-\r A-Za-z0-
 LEXICON_WORDS, LEXICON_BYTES = 65_536, 64
 #: Entries that a worker's memory of words, or a counting task's table, may reach.
 MEMORY_WORDS = 250_000
+#: Words from this many bytes on are merged one by one, with a heap.
+LONG_WORD = 1024
 
 
 def word_finder() -> Callable[[str], list[str]]:
@@ -73,9 +79,51 @@ class BpeModel:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)  # by rank
+        self.rank_of: dict[int, int] | None = None  # made where a long word needs it
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word: merge the pair of least rank until there is none."""
+        if any(len(w) >= LONG_WORD for w in words):
+            short = iter(self._merge_short([w for w in words if len(w) < LONG_WORD]))
+            return [self._merge_long(w) if len(w) >= LONG_WORD else next(short) for w in words]
+        return self._merge_short(words)
+
+    def _merge_long(self, word: bytes) -> np.ndarray:
+        """One long word: its pairs wait in a heap, least rank and then leftmost first, so
+        the time is about that of sorting its bytes."""
+        if self.rank_of is None:
+            self.rank_of = dict(zip(self.keys.tolist(), self.ranks.tolist()))
+        rank_of = self.rank_of
+        merged = self.merged.tolist()
+        ids = self.byte_id[np.frombuffer(word, np.uint8)]
+        key = ids[:-1] << 20 | ids[1:]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == key)
+        heap = np.sort(self.ranks[at[known]] << 32 | known).tolist()  # a sorted list is a heap
+        ids, n = ids.tolist(), len(word)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            item = heappop(heap)
+            rank, left = item >> 32, item & 0xFFFFFFFF
+            right = after[left]
+            if ids[left] < 0 or right >= n or rank_of.get(ids[left] << 20 | ids[right]) != rank:
+                continue  # one of the two was merged meanwhile
+            ids[left], ids[right] = merged[rank], -1
+            beyond = after[left] = after[right]
+            if beyond < n:
+                before[beyond] = left
+                new = rank_of.get(ids[left] << 20 | ids[beyond])
+                if new is not None:
+                    heappush(heap, new << 32 | left)
+            ahead = before[left]
+            if ahead >= 0:
+                new = rank_of.get(ids[ahead] << 20 | ids[left])
+                if new is not None:
+                    heappush(heap, new << 32 | ahead)
+        out = np.array(ids, np.int64)
+        return out[out >= 0]
+
+    def _merge_short(self, words: list[bytes]) -> list[np.ndarray]:
         data, offsets = pack(words)
         done: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
         ids, owner = self.byte_id[data], np.repeat(np.arange(len(words)), np.diff(offsets))
