@@ -43,7 +43,7 @@ LEAST_COSINE = 0.95
 BLOCK = 8
 #: Rows of a chunk; a task holds two chunks.  Rows of a leaf, and pairs verified in one
 #: step of a task.
-CHUNK, LEAF_ROWS, TILE_PAIRS = 16_384, 128, 1 << 19
+CHUNK, LEAF_ROWS, TILE_PAIRS = 32_768, 128, 1 << 19
 #: Vectors that the splits are fitted on, at most, for each vector length; any splits give
 #: the same links.
 SAMPLE = 20_000
