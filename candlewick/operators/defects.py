@@ -58,7 +58,7 @@ class DefectRates:
 
 # hash salts, one per decision
 SALT = {
-    "drop": 61, "duplicate": 71,
+    "drop": 61,
     "missing": 11, "missing_col": 12,
     "text": 21, "text_col": 22, "text_token": 23,
     "time": 31, "time_col": 32, "time_token": 33,
@@ -130,29 +130,39 @@ def _present(cols: set[str]) -> dict[str, list[str]]:
 
 
 def plan_defects(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRates()) -> dict[str, Cutoff]:
-    """Which rows each defect takes, as thresholds.  Reads the ids of ``text`` three times,
-    more often where millions of rows share a hash bucket; at most some thousand counts
-    come to the driver each time."""
+    """Which rows each defect takes, as thresholds.
+
+    Dropped rows are the first in order of one hash, duplicated ones the last of the same
+    order; the cell defects are chosen among the rows that are then there.  Reads the ids of
+    ``text`` twice, more often where a histogram bucket has to be refined; at most some
+    thousand counts come to the driver each time."""
     present = _present(set(text.columns))
     ids = text.select("row_id").persist()
     try:
-        drop, _ = exact_cutoffs(ids, "row_id", {"drop": SALT["drop"]}, seed, lambda _, n: min(rates.drop.rows(n), n - 1))
-        kept = ids.where(f"NOT {_chosen('row_id', 'drop', drop, seed)}")
-        twice, _ = exact_cutoffs(kept, "row_id", {"duplicate": SALT["duplicate"]}, seed, lambda _, n: rates.duplicate.rows(n))
-        again = _chosen("row_id", "duplicate", twice, seed)
-        keys = kept.selectExpr(f"explode(CASE WHEN {again} THEN array(row_id * 2, row_id * 2 + 1) ELSE array(row_id * 2) END) AS _key")
+        def rows(name: str, n: int) -> int:
+            dropped = max(0, min(rates.drop.rows(n), n - 1))
+            return dropped if name == "drop" else n - rates.duplicate.rows(n - dropped)
+
+        plan, _ = exact_cutoffs(ids, "row_id", {"drop": SALT["drop"], "once": SALT["drop"]}, seed, rows)
+        kept = ids.where(f"NOT {_chosen('row_id', 'drop', plan, seed)}")
+        keys = kept.selectExpr(f"explode(CASE WHEN {_doubled(plan, seed)} THEN array(row_id * 2, row_id * 2 + 1) ELSE array(row_id * 2) END) AS _key")
         shares = {"missing": ("blank", rates.missing), "text": ("num", rates.numeric_text), "time": ("time", rates.invalid_time), "symbol": ("symbol", rates.symbol), "negative": ("vol", rates.negative_volume)}
         shares = {name: share for name, (group, share) in shares.items() if present[group]}
         cells, _ = exact_cutoffs(keys, "_key", {name: SALT[name] for name in shares}, seed, lambda name, n: shares[name].rows(n))
     finally:
         ids.unpersist()
-    return {**drop, **twice, **cells}
+    return {**plan, **cells}
 
 
 def _chosen(key_sql: str, name: str, plan: dict[str, Cutoff], seed: int) -> str:
     return plan.get(name, NOTHING).sql(mix_sql(key_sql, SALT[name], seed, "spark"), key_sql)
 
 
+def _doubled(plan: dict[str, Cutoff], seed: int) -> str:
+    """Rows behind the last one that comes only once."""
+    return f"NOT {plan['once'].sql(mix_sql('row_id', SALT['drop'], seed, 'spark'), 'row_id')}"
+
+
 def decision_sql(copy: int, seed: int, plan: dict[str, Cutoff], present: dict[str, list[str]]) -> dict[str, str]:
     """Every decision for one copy of a row (defect key = row_id * 2 + copy), as SQL text."""
     k = f"(row_id * 2 + {copy})"
@@ -230,7 +240,7 @@ def defect_flags(text: DataFrame, seed: int = 42, rates: DefectRates = DefectRat
     plan = plan_defects(text, seed, rates) if plan is None else plan
     decisions = {
         "_dropped": _chosen("row_id", "drop", plan, seed),
-        "_dup": _chosen("row_id", "duplicate", plan, seed),
+        "_dup": _doubled(plan, seed),
         **decision_sql(0, seed, plan, present),
         **decision_sql(1, seed, plan, present),
     }

@@ -106,10 +106,10 @@ def hash_sql(key: str, salt: int, seed: int = SEED) -> str:
     return f"((({a} * {a} + {high} * {7001 + 2 * salt} + {12345 * salt + 1}) % 999983 * 7 + {a}) % 1000000)"
 
 
-def _first(key: str, salt: int, fraction: str, least: int, most: str = "n") -> str:
+def _first(key: str, salt: int, fraction: str, least: int, most: str = "n", way: str = "ASC") -> str:
     """Whether a row is among the first so many in order of hash, then key."""
     many = f"greatest(0, least({most}, greatest({least}, CAST(floor(n * {fraction}::DOUBLE) AS BIGINT))))"
-    return f"row_number() OVER (ORDER BY {hash_sql(key, salt)}, {key}) <= {many}"
+    return f"row_number() OVER (ORDER BY {hash_sql(key, salt)} {way}, {key} {way}) <= {many}"
 
 
 def _messy_ctes() -> str:
@@ -133,7 +133,7 @@ def _messy_ctes() -> str:
             v = "CASE WHEN NOT variant THEN symbol WHEN variant_is = 0 THEN lower(symbol) WHEN variant_is = 1 THEN ' ' || symbol || ' ' ELSE replace(symbol, 'USDT', '/USDT') END"
         cells.append(f"{v} AS {qi(c)}")
     return f"""dropping AS (SELECT *, {_first('row_id', 61, '0.03', 5, 'n - 1')} AS dropped FROM (SELECT *, count(*) OVER () AS n FROM candle_text)),
-    staying AS (SELECT * EXCLUDE (n, twice), twice FROM (SELECT *, {_first('row_id', 71, '0.03', 5)} AS twice
+    staying AS (SELECT * EXCLUDE (n, twice), twice FROM (SELECT *, {_first('row_id', 61, '0.03', 5, way='DESC')} AS twice
                 FROM (SELECT * EXCLUDE (n), count(*) OVER () AS n FROM dropping WHERE NOT dropped))),
     doubled AS (SELECT *, row_id * 2 AS k FROM staying UNION ALL SELECT *, row_id * 2 + 1 FROM staying WHERE twice),
     marked AS (
@@ -362,6 +362,20 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["defect_summary"] = _q(" UNION ALL ".join(f"SELECT {i} AS position, {lit(m)} AS metric, count(*) AS value {src}" for i, (m, src) in enumerate(counters.items())))
 
+    # how many rows each defect takes follows from the number of rows alone
+    sql["guarded_defect_summary"] = _q(
+        """, a AS (SELECT count(*) AS n FROM candles),
+        b AS (SELECT n, greatest(0, least(n - 1, greatest(5, CAST(floor(n * 0.03::DOUBLE) AS BIGINT)))) AS gone FROM a),
+        c AS (SELECT n, gone, least(n - gone, greatest(5, CAST(floor((n - gone) * 0.03::DOUBLE) AS BIGINT))) AS again FROM b),
+        d AS (SELECT *, n - gone + again AS m FROM c)
+        SELECT unnest(range(9))::INTEGER AS position,
+               unnest(['original_rows', 'dropped_rows', 'duplicated_rows', 'missing_values', 'text_in_numeric_columns', 'invalid_times',
+                       'inconsistent_symbols', 'negative_volumes', 'final_rows']) AS metric,
+               unnest([n, gone, again, least(m, greatest(10, CAST(floor(m * 0.05::DOUBLE) AS BIGINT))), least(m, greatest(8, CAST(floor(m * 0.04::DOUBLE) AS BIGINT))),
+                       0, least(m, greatest(8, CAST(floor(m * 0.04::DOUBLE) AS BIGINT))), 0, m]) AS value
+        FROM d"""
+    )
+
     # ------------------------------------------------------------ cleaning
     num = ", ".join(
         f"{safe_double_sql(qi(c))} AS {qi(c)}" if c in NUMERIC_COLS else qi(c) for c in FIELDNAMES

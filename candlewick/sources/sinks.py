@@ -37,13 +37,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def write_by_date(df: DataFrame, path: str, time: str = "open_time") -> None:
+def write_by_date(df: DataFrame, path: str, time: str = "open_time", replace_all: bool = False) -> None:
     """Parquet in one folder a ``trade_date`` (the date of ``time``; none for NULL).
 
-    Only the dates that ``df`` holds are replaced, so a day can be run again by itself.
+    Only the dates that ``df`` holds are replaced, so a day can be run again by itself;
+    with ``replace_all`` every date goes.
     """
     dated = df.drop("trade_date").withColumn("trade_date", F.to_date(time))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path)
+    mode = "static" if replace_all else "dynamic"
+    dated.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("trade_date").parquet(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.schema import FIELDNAMES
+from candlewick.sources.sinks import write_by_date
 from candlewick.session import checkpoint_dir, ensure_session_defaults
 from candlewick.sources.events import INTERVALS, bar_aggregates, finish_bars, symbol_from_event_type
 from candlewick.sources.klines import decode_klines
@@ -79,8 +80,10 @@ def new_candles(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """
     key = ["symbol", "interval", "open_time", "_cells"]
     cells = F.when(F.col("open_time").isNull(), F.to_json(F.struct(*FIELDNAMES)))
-    span = batch.agg(F.min("open_time"), F.max("open_time")).first()
-    held = stored.where(F.col("open_time").between(*[F.lit(t) for t in span]) | F.col("open_time").isNull())
+    first, last = batch.agg(F.min("open_time"), F.max("open_time")).first()
+    held = stored.where(F.col("open_time").between(first, last) | F.col("open_time").isNull())
+    if "trade_date" in stored.columns:  # only the folders of the batch's dates are read
+        held = held.where(F.col("trade_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))) | F.col("trade_date").isNull())
     held = held.withColumn("_cells", cells).select(*[F.col(c).alias(f"_held_{c}") for c in key])
     fresh = batch.withColumn("_cells", cells).dropDuplicates(key)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in key])
@@ -88,10 +91,12 @@ def new_candles(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def start_klines_to_parquet(stream: DataFrame, output_path: str, name: str, trigger_available_now: bool = True) -> StreamingQuery:
-    """Append each trigger's new candles to ``output_path``, in a folder ``batch_id=N`` of its own.
+    """Append each trigger's new candles to ``output_path``, in a folder ``batch_id=N`` of its
+    own, by ``trade_date``.
 
-    A trigger that is run again after a failure replaces its folder and is compared only
-    with the folders of earlier triggers, so its result is the same.
+    A trigger is decoded once and compared with the stored candles of its own dates.  One
+    that is run again after a failure replaces its folder and is compared only with the
+    folders of earlier triggers, so its result is the same.
     """
     spark = stream.sparkSession
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
@@ -101,8 +106,13 @@ def start_klines_to_parquet(stream: DataFrame, output_path: str, name: str, trig
         session = batch.sparkSession
         # an empty frame makes the folder, so the first trigger can read it
         batch.limit(0).write.mode("append").parquet(output_path)
-        stored = session.read.schema(f"{columns}, batch_id BIGINT").parquet(output_path).where(F.col("batch_id") < batch_id).drop("batch_id")
-        new_candles(batch, stored).write.mode("overwrite").parquet(os.path.join(output_path, f"batch_id={batch_id}"))
+        stored = session.read.schema(f"{columns}, batch_id BIGINT, trade_date DATE").parquet(output_path)
+        batch = batch.persist()
+        try:
+            fresh = new_candles(batch, stored.where(F.col("batch_id") < batch_id))
+            write_by_date(fresh, os.path.join(output_path, f"batch_id={batch_id}"), replace_all=True)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer

@@ -62,3 +62,20 @@ def test_stream_klines_keeps_every_candle_of_a_later_payload(spark, tmp_path):
     deliver("ETHUSDT.1.json", range(90, 110))  # half of it seen before
     counts = {r["symbol"]: r["count"] for r in spark.read.parquet(out).groupBy("symbol").count().collect()}
     assert counts == {"BTCUSDT": 101, "ETHUSDT": 111}
+
+
+def test_only_the_dates_of_a_batch_are_read_of_what_is_stored(spark, tmp_path):
+    from candlewick.sources.sinks import write_by_date
+    from candlewick.streaming.ingest import new_candles
+
+    rows = spark.sql("SELECT 'A' AS symbol, '1h' AS `interval`, timestamp_ntz'2026-06-01 00:00:00' + make_interval(0, 0, 0, id) AS open_time FROM (SELECT cast(id AS int) AS id FROM range(9))")
+    from candlewick.schema import FIELDNAMES
+
+    rows = rows.selectExpr("symbol", "`interval`", "open_time", *[f"cast(null as double) AS {c}" for c in FIELDNAMES if c not in ("symbol", "interval", "open_time")])
+    write_by_date(rows, str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    batch = rows.where("open_time between timestamp_ntz'2026-06-03 00:00:00' and timestamp_ntz'2026-06-04 00:00:00'").unionByName(rows.limit(1).selectExpr("'B' AS symbol", "* except (symbol)"))
+    fresh = new_candles(batch.where("open_time >= timestamp_ntz'2026-06-03 00:00:00' or symbol = 'B'"), stored)
+    assert [r.symbol for r in fresh.collect()] == ["B"]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert any("trade_date" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
