@@ -23,7 +23,7 @@ Defined results: a null text is empty; a text without words has no features, wei
 is never drawn when ``least_words`` is above 0; a null id is hashed as an empty one;
 repeated rows are documents of their own; texts of any length are read whole, in pieces
 that share two words; empty tables give empty results, an empty target table counts as
-T = 0; columns not named here play no part.
+T = 0; columns not named here play no part, whatever their names.
 """
 
 from __future__ import annotations

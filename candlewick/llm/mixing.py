@@ -11,7 +11,9 @@ raising a source's weight only adds documents.
 
 Defined results: null text has size 0; a null source is a source of its own, sorted
 last; documents with the same id share a key and are taken together; a source of size
-0 has target 0 and none of its documents is taken.  An empty table gives no rows.
+0 has target 0 and none of its documents is taken.  An empty table gives no rows.  A text of
+any length is counted whole; repeated rows share a key and so a fate, as do ties; columns
+that are not named are kept, whatever their names.
 """
 
 from __future__ import annotations

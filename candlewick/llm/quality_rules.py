@@ -73,7 +73,7 @@ def quality_counts(df: DataFrame, text: str = "text") -> DataFrame:
     positions, so the count is exact and costs n log n in the text's words.
     """
     base = df.withColumn("__cw_words", _array_words(text)).withColumn("__cw_n", F.size("__cw_words"))
-    base = base.withColumn("__cw_lines", F.expr(rf"filter(split(coalesce({text}, ''), '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
+    base = base.withColumn("__cw_lines", F.expr(rf"filter(split(coalesce(`{text}`, ''), '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     parts = ", ".join(f"__cw_words[i + {k}]" for k in range(WINDOW))
     base = base.withColumn("__cw_hashes", F.expr(f"CASE WHEN __cw_n >= {WINDOW} THEN transform(sequence(0, __cw_n - {WINDOW}), i -> xxhash64({parts})) END"))
     base = base.withColumn("__cw_suspect", F.expr("size(array_distinct(__cw_hashes)) < size(__cw_hashes)"))

@@ -18,6 +18,10 @@ Equal fingerprints are one node from the start, so copies cost one row.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like
 any other; texts of fewer words than a shingle have one shingle, the whole sequence.
+A text of any length is hashed whole.  A component's id is its least id, whichever order
+rows come in; rows that repeat an id, or lack one, each keep the fingerprint of their own
+text, and a component without any id has a null one.  An empty table gives an empty result;
+columns that are not named are kept, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ bit before it.  One pass over the bytes of a URL moves all globs together, and n
 moves all URLs of a batch together.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and
-matches no rule.  A URL's verdict does not depend on other rows.
+matches no rule.  A URL's verdict does not depend on other rows, so repeated rows get equal
+ones.  Of two host rules that fit, the longer wins, of equal ones the first.  A URL of any
+length is read whole.  An empty table gives an empty result; other columns are kept, but for
+those named like a result (``host, path, rule, verdict, glob``), which it replaces.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ words of a slice of texts walk the automaton together.
 A word (run of characters other than ASCII white space) that can't be cut into pieces
 counts as one unknown token.
 
-Defined results: null and empty texts have no words and no tokens.
+Defined results: null and empty texts have no words and no tokens.  Texts and words of any
+length are read whole.  Of several pieces that fit, the longest is taken, so there are no
+ties.  Repeated rows are counted each; an empty table gives an empty result; columns that are
+not named are kept, whatever their names.
 """
 
 from __future__ import annotations

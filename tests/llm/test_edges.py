@@ -106,3 +106,30 @@ def test_toxicity_of_odd_texts(spark):
     assert len(scored) == len(ROWS) and all(0 <= r["__cw_toxic"] <= 1 for r in scored)
     nothing = toxicity.learn_toxicity(docs.limit(0), labels)
     assert toxicity.with_toxicity(docs, nothing).where("`__cw_toxic` > 0.5").count() == 0
+
+
+def test_columns_of_any_name_can_hold_the_text(spark):
+    docs = frame(spark, ROWS).withColumnRenamed("text", "my text")
+    assert [r["__cw_n_words"] for r in quality_rules.quality_counts(docs.where("doc_id = 5").limit(1), "my text").select("__cw_n_words").collect()] == [36]
+
+
+def test_url_rules_on_an_empty_table_and_clashing_names(spark):
+    from candlewick.llm.url_filter import judge_urls
+
+    schema = "page_id long, url string, html string, n int, bits int, subject string"
+    assert judge_urls(spark.createDataFrame([], schema)).count() == 0
+    urls = ["http://a.net/x", None, "nothing", "http://a.net/x", "http://x.org/" + "y" * 200_000]
+    got = judge_urls(spark.createDataFrame([(k, u, "h", 1, 2, "s") for k, u in enumerate(urls)], schema)).collect()
+    assert [r.verdict for r in sorted(got, key=lambda r: r.page_id)] == ["block", "allow", "allow", "block", "allow"]
+
+
+def test_very_long_texts_and_empty_tables_of_scores(spark):
+    long = "stupid things and good words are here " * 30_000
+    docs = spark.createDataFrame([(1, long), (2, "x" * 1_000_000), (3, "good day"), (3, "good day")], "doc_id long, text string")
+    model = toxicity.learn_toxicity(docs, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int"))
+    scored = toxicity.with_toxicity(docs, model)
+    assert len({r["__cw_toxic"] for r in scored.where("doc_id = 3").collect()}) == 1
+    assert toxicity.with_toxicity(docs.limit(0), model).count() == 0
+    assert len({r.component_id for r in simhash.simhash_components(docs).collect()}) == 3
+    assert {r.doc_id: r["__cw_pieces"].n_words for r in wordpiece.with_piece_counts(docs, tokenizer_path()).collect()} == {1: 210_000, 2: 1, 3: 2}
+    assert [r["__cw_bpe"].decoded == r.text for r in bpe.with_bpe(docs, tokenizer_path()).collect()] == [True] * 4
