@@ -57,7 +57,9 @@ HELD_WORDS = 250_000
 UNIT_BYTES = 8 << 20
 #: Training tokens of a segment, and the largest filter that is broadcast.
 PART_TOKENS = 2 << 20
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 96 << 20
+#: Text scored at once beside a broadcast filter (bytes).
+SCORE_BYTES = 2 << 20
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _LOW, _HALF = np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
@@ -289,10 +291,14 @@ def filter_segments(learn: DataFrame, parts: int, text: str = "text") -> DataFra
 
 
 def gather_filter(segments: DataFrame, parts: int) -> CountFilter:
-    """The whole filter; only for one that has been measured."""
-    found = {r.part: bytes(r.segment) for r in segments.collect()}
-    bodies = [found.get(p, b"") for p in range(parts)]
-    return CountFilter(np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *map(len, bodies)]))
+    """The whole filter; only for one that has been measured.  Segments come one file at a
+    time into the one array, so the driver holds it once."""
+    sizes = {r.part: r.n for r in segments.select("part", F.octet_length("segment").alias("n")).collect()}
+    starts = np.cumsum([0, *(sizes.get(p, 0) for p in range(parts))])
+    flags = np.zeros(int(starts[-1]), np.uint8)
+    for r in segments.toLocalIterator():
+        flags[starts[r.part] : starts[r.part + 1]] = np.frombuffer(r.segment, np.uint8)
+    return CountFilter(flags, starts)
 
 
 def gram_levels(units: DataFrame, segments: DataFrame, parts: int) -> DataFrame:
@@ -404,7 +410,7 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         return build_struct(RESULT, sizes, segment_sum(common.astype(np.int64)[ids], offsets), segment_sum(logs[ids], offsets), score, rare.cast(RESULT.field("rare").type), first)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from per_slice(batches, one, RESULT, UNIT_BYTES)
+        yield from per_slice(batches, one, RESULT, SCORE_BYTES if small else UNIT_BYTES)
 
     def finish(answers: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
         first, *fields = packed.iloc[0].tolist()
