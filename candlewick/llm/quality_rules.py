@@ -62,7 +62,7 @@ def _is_stop_word(word: Column) -> Column:
 
 
 def _array_words(column: str) -> Column:
-    return F.expr(rf"filter(split(coalesce({column}, ''), '[\\x20\\x09-\\x0D]+'), w -> w != '')")
+    return F.expr(rf"filter(split(coalesce(`{column}`, ''), '[\\x20\\x09-\\x0D]+'), w -> w != '')")
 
 
 def quality_counts(df: DataFrame, text: str = "text") -> DataFrame:
